@@ -10,6 +10,7 @@ from finmart.operators import aggregate as ops
 from finmart.operators import correlation, ordering, quality
 from finmart.plans.insights import ask
 from finmart.plans.summary import summary_view
+from finmart.session import spread, written
 
 K = ", ".join(KEYS)
 SUMMARY = {"inst": "NomeInstituicao", "seg": "SegmentoTb", "atividade": "Atividade", "pl": "Patrimonio_Liquido",
@@ -137,9 +138,14 @@ def stats_rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, p) for c, p in PLACES.items() if c in df.columns})
 
 
+def _profits(t: Tables, key) -> DataFrame:
+    """A key and the profit; stored, because describing reads them more than once and the join should run once."""
+    return written(fact(t, heavy=True).select(key, "lucro"), "profits")
+
+
 @query("SELECT inst, round(avg(lucro), 2) AS media, round(median(lucro), 6) AS mediana FROM fact GROUP BY 1", "fact")
 def group_mean_median(t: Tables) -> DataFrame:
-    return stats_rounded(ops.mean_median(fact(t), "inst", "lucro"))
+    return stats_rounded(ops.mean_median(_profits(t, "inst"), "inst", "lucro"))
 
 
 STATES = [f"NATION_{i}" for i in range(25)]
@@ -149,7 +155,7 @@ STATES = [f"NATION_{i}" for i in range(25)]
        FROM (SELECT uf, 'media' AS estatistica, round(avg(lucro), 2) AS valor FROM fact GROUP BY uf
              UNION ALL SELECT uf, 'mediana', round(median(lucro), 6) FROM fact GROUP BY uf) GROUP BY 1""", "fact")
 def transpose_stats(t: Tables) -> DataFrame:
-    stats = stats_rounded(ops.mean_median(fact(t), "uf", "lucro"))
+    stats = stats_rounded(ops.mean_median(_profits(t, "uf"), "uf", "lucro"))
     return ops.transpose(stats, "uf", ["media", "mediana"], STATES)
 
 
@@ -161,7 +167,7 @@ def describe_sql(measure: str) -> str:
 
 @query(f"SELECT CAST(month(dt) AS INTEGER) AS mes, {describe_sql('lucro')} FROM fact GROUP BY 1", "fact")
 def group_describe(t: Tables) -> DataFrame:
-    return stats_rounded(ops.describe(fact(t).withColumn("mes", F.month("dt")), "lucro", ["mes"]))
+    return stats_rounded(ops.describe(_profits(t, F.month("dt").alias("mes")), "lucro", ["mes"]))
 
 
 @query(" UNION ALL ".join(f"SELECT '{c}' AS coluna, {describe_sql(f'CAST({c} AS DOUBLE)')} FROM part" for c in PART_NUMBERS))
@@ -199,7 +205,7 @@ _GAPS = "(SELECT * REPLACE (CASE WHEN l_linenumber <> 3 THEN l_tax END AS l_tax)
 
 
 def _with_gaps(t: Tables) -> DataFrame:
-    return t.lineitem.withColumn("l_tax", F.when(F.col("l_linenumber") != 3, F.col("l_tax")))
+    return spread(t.lineitem).withColumn("l_tax", F.when(F.col("l_linenumber") != 3, F.col("l_tax")))
 
 
 @query(" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM {_GAPS}" for a, b in PAIRS))
@@ -223,7 +229,7 @@ _BOX = """SELECT {keys}, CAST(month(l_shipdate) AS INTEGER) AS mes, l_extendedpr
 
 
 def _box_input(t: Tables) -> DataFrame:
-    return t.lineitem.select(*KEYS, F.month("l_shipdate").alias("mes"),
+    return spread(t.lineitem).select(*KEYS, F.month("l_shipdate").alias("mes"),
                              (F.col("l_extendedprice") * F.col("l_quantity") * F.col("l_discount")).alias("m"))
 
 

@@ -9,11 +9,28 @@ from pyspark.sql import functions as F
 
 from finmart.functions.dates import period_list
 from finmart.operators.joins import lookup
+from finmart.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+# The schemas of the given tables, so that opening one reads no file.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 class Tables:
     """The given tables of one folder; a table is opened when asked for."""
 
@@ -22,7 +39,7 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
 
 def query(sql: str, *inputs: str, name: str | None = None):
@@ -67,11 +84,15 @@ INPUTS = {
 }
 
 
-def fact(t: Tables) -> DataFrame:
-    """Line items as institution facts: institution, state, period, assets, equity, credit, signed profit."""
+def fact(t: Tables, heavy: bool = False) -> DataFrame:
+    """Line items as institution facts: institution, state, period, assets, equity, credit, signed profit.
+
+    ``heavy`` says that much work per row follows, so all cores should get rows.
+    """
     # nation has 25 rows at every scale; Spark broadcasts it by its file size
     suppliers = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    rows = lookup(t.lineitem, suppliers.withColumnRenamed("s_suppkey", "l_suppkey"), ["l_suppkey"], "inner")
+    items = spread(t.lineitem) if heavy else t.lineitem
+    rows = lookup(items, suppliers.withColumnRenamed("s_suppkey", "l_suppkey"), ["l_suppkey"], "inner")
     sign = F.when(F.col("l_quantity") < 10, -1).otherwise(1)
     return rows.select(
         *KEYS, F.col("l_suppkey").alias("cod"), F.col("s_name").alias("inst"), F.col("n_name").alias("uf"),
@@ -81,10 +102,10 @@ def fact(t: Tables) -> DataFrame:
         F.col("l_returnflag").alias("atividade"), F.col("l_linestatus").alias("seg"))
 
 
-def nfact(t: Tables) -> DataFrame:
+def nfact(t: Tables, heavy: bool = False) -> DataFrame:
     """:func:`fact` with gaps and zeros at known places."""
     line = F.col("l_linenumber")
-    return fact(t).withColumns({
+    return fact(t, heavy).withColumns({
         "lucro": F.when(line != 3, F.col("lucro")),
         "cart": F.when(line == 2, F.lit(0.0)).when(line != 4, F.col("cart")),
         "seg": F.when(line != 5, F.col("seg")),

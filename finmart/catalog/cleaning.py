@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from finmart.catalog.base import KEYS, Tables, fact, nfact, query, reg, regp, regq
 from finmart.operators import filters, joins, quality
 from finmart.operators.quality import Expected
+from finmart.session import written
 
 K = ", ".join(KEYS)
 BRANDS = ["Brand#1", "Brand#5", "Brand#9", "Brand#13", "Brand#17"]
@@ -208,7 +209,8 @@ def _profile_sql() -> str:
 
 @query(_profile_sql(), "nfact")
 def column_profile(t: Tables) -> DataFrame:
-    profile = quality.column_profile(nfact(t).select(*PROFILED))
+    # stored: the profile reads it several times, the join should run once
+    profile = quality.column_profile(written(nfact(t, heavy=True).select(*PROFILED), "profiled"))
     return profile.withColumns({c: F.round(c, 2) for c in ["media", "desvio", "q1", "mediana", "q3"]})
 
 

@@ -16,11 +16,12 @@ from finmart.operators.joins import lookup, registry_join
 from finmart.plans import branches as branch_job
 from finmart.plans import cards, channels, credit, income, indebtedness, loans, precatorios, publish, quotes, registry, summary
 from finmart.plans.fixed_values import BRANCH_COLUMNS, BRANCH_FOOTER, BRANCH_LETTERS, BRANCH_SKIP, INDEBTEDNESS_PERCENTAGES
-from finmart.session import new_folder, written
+from finmart.session import new_folder, spread, written
 from finmart.sources import sinks
 from finmart.sources.envelope import envelope, open_envelopes
-from finmart.sources.files import parse_positional
-from finmart.sources.layouts import QUOTE_COLUMNS, QUOTES_2019, QUOTES_2020, QUOTES_2022, REPORT_VALUES, strings
+from finmart.sources.files import read_csv, read_positional_csv
+from finmart.sources.layouts import (
+    QUOTE_COLUMNS, QUOTES_2019, QUOTES_2020, QUOTES_2021_HEADER, QUOTES_2022, REPORT_VALUES, strings)
 
 K = ", ".join(KEYS)
 
@@ -97,28 +98,30 @@ def job_summary_by_place(t: Tables) -> DataFrame:
 TICKERS = [f"BANK{i}" for i in range(1, 7)]
 TICKERS_2022 = TICKERS + ["BANK7"]
 NAMES = {f"EMISSOR {c}   {share}": f"EMISSOR {c}" for c in "ANR" for share in "OPU"}
+HEADERLESS = {2019: QUOTES_2019, 2020: QUOTES_2020, 2022: QUOTES_2022}
 # which layout a ship year is dressed in
 LAYOUT_OF = {2019: [1995, 1999], 2020: [1996, 2000], 2021: [1997, 2001], 2022: [1998, 2002]}
 
 
-def _quote_cells(t: Tables, layout_year: int) -> DataFrame:
-    """Line items of some years as quote texts."""
-    rows = t.lineitem.where(F.year("l_shipdate").isin(LAYOUT_OF[layout_year]))
-    name = F.concat(F.lit("EMISSOR "), F.col("l_returnflag"))
+def _quote_texts(t: Tables) -> DataFrame:
+    """Line items as quote texts, each in the dress (``layout``) of its ship year."""
+    layout = F.coalesce(*(F.when(F.year("l_shipdate").isin(years), y) for y, years in LAYOUT_OF.items()))
+    new = layout == 2022
+    share = F.when(F.col("l_linestatus") == "O", "O").when(F.col("l_quantity") > 25, "P").otherwise("U")
+    name = F.concat(F.lit("EMISSOR "), F.col("l_returnflag"), F.when(new, F.concat(F.lit("   "), share)).otherwise("   "))
     volume = F.round(F.col("l_extendedprice") / 7, 2).cast("string")
-    if layout_year == 2022:
-        share = F.when(F.col("l_linestatus") == "O", "O").when(F.col("l_quantity") > 25, "P").otherwise("U")
-        name, volume = F.concat(name, F.lit("   "), share), F.translate(volume, ".", ",")
-    cells = {"CODNEG": F.concat(F.lit("BANK"), _text("l_linenumber")), "NOMES": name,
+    cells = {"CODNEG": F.concat(F.lit("BANK"), _text("l_linenumber"), F.lit("  ")), "NOMES": name,
              "ABERTURA": _text("l_extendedprice"), "MAXIMO": _text("l_extendedprice"), "MINIMO": _text("l_quantity"),
              "MEDIO": _text("l_discount"), "ULTIMO": _text("l_tax"), "PREOFC": _text("l_discount"), "PREOFV": _text("l_tax"),
-             "TOTNEG": _text("l_orderkey"), "QUATOT": _text("l_partkey"), "VOLTOT": volume,
+             "TOTNEG": _text("l_orderkey"), "QUATOT": _text("l_partkey"),
+             "VOLTOT": F.when(new, F.translate(volume, ".", ",")).otherwise(volume),
              "CODISI": F.concat(F.lit("BR"), _text("l_suppkey")), "DISMES": _text("l_linenumber")}
-    return rows.select(*(c.alias(n) for n, c in cells.items()), F.to_date("l_shipdate").alias("dia"))
+    return spread(t.lineitem).select(layout.alias("layout"), F.to_date("l_shipdate").alias("dia"),
+                                     *(c.alias(n) for n, c in cells.items()))
 
 
-def _as_lines(df: DataFrame, layout: dict) -> DataFrame:
-    """Quote texts as the raw lines of a headerless layout, parsed into positions again."""
+def _line(layout: dict) -> Column:
+    """A quote as a raw line of a headerless layout."""
     fields = [F.lit("0")] * layout["width"]
     if len(layout["date"]) == 1:
         fields[layout["date"][0]] = F.date_format("dia", "yyyyMMdd")
@@ -127,8 +130,21 @@ def _as_lines(df: DataFrame, layout: dict) -> DataFrame:
             fields[place] = part.cast("string")
     for name, place in layout["at"].items():
         fields[place] = F.col(name)
-    lines = df.select(F.concat_ws(";", *fields).alias("line"))
-    return parse_positional(lines, "line", layout["width"])
+    return F.concat_ws(";", *fields)
+
+
+def _write_quotes(t: Tables) -> dict[int, str]:
+    """The yearly raw files: one folder per layout."""
+    root = new_folder(t.spark, "quotes")
+    texts = written(_quote_texts(t), "quote-texts")
+    lines = F.coalesce(*(F.when(F.col("layout") == y, _line(shape)) for y, shape in HEADERLESS.items()))
+    texts.where(F.col("layout").isin(list(HEADERLESS))).select("layout", lines.alias("line")).write.partitionBy("layout").text(root)
+    dated = {"ANO": F.year("dia"), "MES": F.month("dia"), "DIA": F.dayofmonth("dia")}
+    headed = texts.where(F.col("layout") == 2021).select(*(
+        dated[n].alias(n) if n in dated else F.col(n) if n in QUOTE_COLUMNS else F.lit("1").alias(n)
+        for n in QUOTES_2021_HEADER.fieldNames()))
+    headed.write.option("header", True).csv(f"{root}/layout=2021")
+    return {year: f"{root}/layout={year}" for year in LAYOUT_OF}
 
 
 @query(f"""SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS "PERIODO", 'BANK' || l_linenumber AS "CODNEG",
@@ -138,20 +154,13 @@ def _as_lines(df: DataFrame, layout: dict) -> DataFrame:
                   'BR' || l_suppkey AS "CODISI", l_linenumber AS "DISMES"
            FROM lineitem WHERE l_linenumber <= 6 OR (l_linenumber = 7 AND year(l_shipdate) IN {tuple(LAYOUT_OF[2022])})""")
 def job_quotes_union(t: Tables) -> DataFrame:
-    headed = _quote_cells(t, 2021).select(
-        F.lit("1").alias("TIPREG"), _as_text(F.year("dia")).alias("ANO"), _as_text(F.month("dia")).alias("MES"),
-        _as_text(F.dayofmonth("dia")).alias("DIA"),
-        *((F.concat(F.col(c), F.lit("   ")) if c in ("CODNEG", "NOMES") else F.col(c)).alias(c) for c in QUOTE_COLUMNS))
-    df = quotes.quotes_union(
-        _as_lines(_quote_cells(t, 2019), QUOTES_2019), _as_lines(_quote_cells(t, 2020), QUOTES_2020), headed,
-        _as_lines(_quote_cells(t, 2022), QUOTES_2022), TICKERS, TICKERS_2022, NAMES)
+    at = _write_quotes(t)
+    raw = {year: read_positional_csv(t.spark, at[year], shape["width"]) for year, shape in HEADERLESS.items()}
+    headed = read_csv(t.spark, at[2021], QUOTES_2021_HEADER)
+    df = quotes.quotes_union(raw[2019], raw[2020], headed, raw[2022], TICKERS, TICKERS_2022, NAMES)
     return df.withColumn("PERIODO", _text("PERIODO"))
 
 
-def _as_text(c: Column) -> Column:
-    return c.cast("string")
-
-
 REGISTRY_FIELDS = ["CodInst", "NomeInstituicao", "SegmentoTb", "Uf", "Situacao"]
 
 
@@ -221,7 +230,7 @@ def _income_stats_sql() -> str:
 
 @query(_income_stats_sql(), "fact")
 def job_income_stats(t: Tables) -> DataFrame:
-    clean = written(fact(t).select(F.month("dt").alias("Mes"), F.year("dt").alias("Ano"), "lucro"), "income")
+    clean = written(fact(t, heavy=True).select(F.month("dt").alias("Mes"), F.year("dt").alias("Ano"), "lucro"), "income")
     return stats_rounded(income.income_stats(clean, "lucro"))
 
 
@@ -234,7 +243,8 @@ def job_loans_union(t: Tables) -> DataFrame:
     root = new_folder(t.spark, "loans")
     rows.write.partitionBy("ano").option("header", True).option("sep", ";").csv(root)
     schema = T.StructType([T.StructField("o_orderkey", T.LongType()), *strings("modalidade", "uf", "valor").fields])
-    present = [r["ano"] for r in rows.select("ano").distinct().collect()]  # a handful of years
+    years = t.orders.select(F.year("o_orderdate").alias("ano")).distinct()
+    present = [r["ano"] for r in years.collect()]  # a handful of years
     return loans.loans_union(t.spark, {y: f"{root}/ano={y}" for y in sorted(present)}, schema, ["valor"])
 
 

@@ -40,6 +40,11 @@ def group_sum_desc(df: DataFrame, key: str, measure: str, name: str) -> DataFram
     return sums.orderBy(F.desc(name), key)
 
 
+def _moments(column: str) -> list[Column]:
+    return [F.count(column).alias("n"), F.avg(column).alias("media"), F.stddev(column).alias("desvio"),
+            F.min(column).alias("minimo"), F.max(column).alias("maximo")]
+
+
 def describe(df: DataFrame, measure: str, keys: list[str], in_task: int = IN_TASK_ROWS) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per key (NULL keys dropped).
 
@@ -48,15 +53,12 @@ def describe(df: DataFrame, measure: str, keys: list[str], in_task: int = IN_TAS
     present = df.select(*(quoted(k) for k in keys), quoted(measure).alias("_m"))
     for k in keys:
         present = present.where(quoted(k).isNotNull())
-    stats = [F.count("_m").alias("n"), F.avg("_m").alias("media"), F.stddev("_m").alias("desvio"),
-             F.min("_m").alias("minimo"), F.max("_m").alias("maximo")]
     if fits_task(present, in_task):
-        packed = present.groupBy(*keys).agg(*stats, F.percentile("_m", QUARTILES).alias("_q"))
+        packed = present.groupBy(*keys).agg(*_moments("_m"), F.percentile("_m", QUARTILES).alias("_q"))
         return packed.withColumns({n: F.col("_q")[i] for i, n in enumerate(QUARTILE_NAMES)}).drop("_q")
     # both sides hold one row per key
-    keys, present, drop = (keys, present, []) if keys else (["_all"], present.withColumn("_all", F.lit(0)), ["_all"])
     points = quantiles(present, "_m", QUARTILES, keys, QUARTILE_NAMES, in_task)
-    return present.groupBy(*keys).agg(*stats).join(points, keys, "left").drop(*drop)
+    return present.groupBy(*keys).agg(*_moments("_m")).join(points, keys, "left")
 
 
 def mean_median(df: DataFrame, key: str, measure: str, in_task: int = IN_TASK_ROWS) -> DataFrame:
@@ -81,10 +83,18 @@ def texts_to_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.unpivot([], [quoted(c) for c in columns], "coluna", "valor")
 
 
-def describe_numeric(df: DataFrame, columns: list[str] | None = None, **options) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: list[str] | None = None, in_task: int = IN_TASK_ROWS) -> DataFrame:
     """:func:`describe` of every numeric column, one row per column."""
     columns = columns or numeric_columns(df)
-    return describe(numbers_to_rows(df, columns), "valor", ["coluna"], **options)
+    wide = df.select(*(quoted(c).cast("double").alias(c) for c in columns))
+    if not fits_task(wide, in_task // max(len(columns), 1)):
+        return describe(numbers_to_rows(df, columns), "valor", ["coluna"], in_task=0)
+    cells = []
+    for c in columns:
+        quartiles = F.percentile(quoted(c), QUARTILES)
+        cells.append(F.struct(F.lit(c).alias("coluna"), *_moments(f"`{c}`"), quartiles.alias("_q")))
+    packed = wide.agg(F.array(*cells).alias("_all")).selectExpr("inline(_all)")
+    return packed.withColumns({n: F.col("_q")[i] for i, n in enumerate(QUARTILE_NAMES)}).drop("_q")
 
 
 def describe_columns(df: DataFrame) -> DataFrame:
@@ -122,32 +132,40 @@ def describe_all(df: DataFrame, **options) -> DataFrame:
         describe_numeric(df, **options).drop("n"), "coluna", "left")
 
 
-def box_stats(df: DataFrame, measure: str, keys: list[str], whisker: float = 1.5, **options) -> DataFrame:
-    """Box-plot numbers per key: quartiles, fences, whisker ends, and how many rows lie outside."""
-    fenced = _fenced(df, measure, keys, whisker, **options)
+def describe_boxes(df: DataFrame, measure: str, keys: list[str], whisker: float = 1.5, **options) -> DataFrame:
+    """:func:`describe` per key, with the whisker ends and how many rows lie beyond the fences (``fora``)."""
+    stats = _with_fences(describe(df, measure, keys, **options), whisker)
+    rows = df.where(quoted(measure).isNotNull()).select(*(quoted(k) for k in keys), quoted(measure).alias("_m"))
+    fences = stats.select(*keys, "cerca_inf", "cerca_sup")
     inside = F.col("_m").between(F.col("cerca_inf"), F.col("cerca_sup"))
-    out = fenced.groupBy(*keys).agg(
-        F.count("_m").alias("n"), *(F.max(c).alias(c) for c in ["q1", "mediana", "q3"]),
+    ends = lookup(rows, fences, keys, "inner").groupBy(*keys).agg(
         F.min(F.when(inside, F.col("_m"))).alias("bigode_inf"), F.max(F.when(inside, F.col("_m"))).alias("bigode_sup"),
         F.count_if(~inside).alias("fora"))
-    return out
+    # both sides hold one row per key
+    return stats.drop("cerca_inf", "cerca_sup").join(ends, keys, "left")
+
+
+def box_stats(df: DataFrame, measure: str, keys: list[str], whisker: float = 1.5, **options) -> DataFrame:
+    """Box-plot numbers per key, or of the whole table without keys."""
+    wanted = ["n", *QUARTILE_NAMES, "bigode_inf", "bigode_sup", "fora"]
+    group = keys or ["_all"]
+    return describe_boxes(df.withColumn("_all", F.lit(0)), measure, group, whisker, **options).select(*keys, *wanted)
 
 
 def box_outliers(df: DataFrame, measure: str, keys: list[str], whisker: float = 1.5, **options) -> DataFrame:
     """The rows beyond the fences, with all their columns."""
-    fenced = _fenced(df, measure, keys, whisker, **options)
-    return fenced.where(~F.col("_m").between(F.col("cerca_inf"), F.col("cerca_sup"))).select(
-        *(quoted(c) for c in df.columns))
+    rows = df.where(quoted(measure).isNotNull()).withColumn("_all", F.lit(0))
+    group = keys or ["_all"]
+    points = quantiles(rows, measure, QUARTILES, group, QUARTILE_NAMES, **options)
+    fences = _with_fences(points, whisker).select(*group, "cerca_inf", "cerca_sup")
+    beyond = ~quoted(measure).between(F.col("cerca_inf"), F.col("cerca_sup"))
+    return lookup(rows, fences, group, "inner").where(beyond).select(*(quoted(c) for c in df.columns))
 
 
-def _fenced(df: DataFrame, measure: str, keys: list[str], whisker: float, **options) -> DataFrame:
-    """Rows with a measure, each with the quartiles and fences of its group (the whole table without keys)."""
-    rows = df.where(quoted(measure).isNotNull()).withColumns({"_m": quoted(measure), "_all": F.lit(0)})
-    group = keys or ["_all"]
-    points = quantiles(rows, "_m", QUARTILES, group, QUARTILE_NAMES, **options)
+def _with_fences(points: DataFrame, whisker: float) -> DataFrame:
+    """Stored, because the quartiles are needed twice: to measure the table and to join it."""
     reach = whisker * (F.col("q3") - F.col("q1"))
-    fences = points.withColumns({"cerca_inf": F.col("q1") - reach, "cerca_sup": F.col("q3") + reach})
-    return lookup(rows, written(fences, "fences"), group, "inner")
+    return written(points.withColumns({"cerca_inf": F.col("q1") - reach, "cerca_sup": F.col("q3") + reach}), "fences")
 
 
 def whole_sum(df: DataFrame, measure: str, name: str) -> DataFrame:

@@ -138,8 +138,9 @@ def _order_statistics(placed: DataFrame, value: str, probs: list[float], keyed:
     at_hi = (F.col("hi") >= F.col("_start")) & (F.col("hi") < F.col("_end"))
     pairs = hits.where(at_lo | at_hi).groupBy(*keyed, "i").agg(
         F.max(F.when(at_lo, F.col("_v"))).alias("_lo"), F.max(F.when(at_hi, F.col("_v"))).alias("_hi"),
-        F.max(F.col("at") - F.col("lo")).alias("_part_of"))
-    points = pairs.withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part_of"))
+        F.max(F.col("at") - F.col("lo")).alias("_share"))
+    between = (1 - F.col("_share")) * F.col("_lo") + F.col("_share") * F.col("_hi")
+    points = pairs.withColumn("_q", F.when(F.col("_share") == 0, F.col("_lo")).otherwise(between))
     return points.groupBy(*keyed).agg(*(
         F.max(F.when(F.col("i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names))).select(*keys, *names)
 

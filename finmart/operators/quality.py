@@ -78,10 +78,11 @@ def column_profile(df: DataFrame, **options) -> DataFrame:
         (F.count_if(quoted(n) == 0) if n in numeric else F.lit(None)).cast("long").alias("zeros"))
         for n, t in df.dtypes]
     base = df.agg(F.array(*cells).alias("_all")).selectExpr("inline(_all)")
-    stats = describe_numeric(df, **options).select("coluna", "media", "desvio", "minimo", *QUARTILE_NAMES, "maximo")
-    # every side holds one row per column
-    return base.join(top_values(df, df.columns), "coluna", "left").join(stats, "coluna", "left").fillna(
-        0, subset=["distintos"])
+    out = base.join(top_values(df, df.columns), "coluna", "left")  # every side holds one row per column
+    if numeric:
+        stats = describe_numeric(df, **options).select("coluna", "media", "desvio", "minimo", *QUARTILE_NAMES, "maximo")
+        out = out.join(stats, "coluna", "left")
+    return out.fillna(0, subset=["distintos"])
 
 
 @dataclass(frozen=True)

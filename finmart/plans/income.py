@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from finmart.functions.dates import iso_date
 from finmart.functions.names import rename_by, without_spaces
 from finmart.functions.numbers import nan_to_null
-from finmart.operators.aggregate import box_stats, describe
+from finmart.operators.aggregate import describe_boxes
 from finmart.operators.columns import numeric_columns, quoted, union_by_name
 from finmart.operators.filters import exclude_containing, exclude_values, fill
 from finmart.operators.joins import registry_join
@@ -58,10 +58,7 @@ def income_stats(clean: DataFrame, measure: str = NET_INCOME, periods: tuple[str
     """Describe and box-plot numbers of a measure per month and per year, one row per period value."""
     parts = []
     for period in periods:
-        stats = describe(clean, measure, [period])
-        boxes = box_stats(clean, measure, [period]).select(period, "bigode_inf", "bigode_sup", "fora")
-        # both sides hold one row per period value
-        parts.append(stats.join(boxes, period).select(F.lit(period).alias("periodo"), F.col(period).alias("valor"),
-                                                      *(c for c in stats.columns if c != period),
-                                                      "bigode_inf", "bigode_sup", "fora"))
+        boxes = describe_boxes(clean, measure, [period])
+        parts.append(boxes.select(F.lit(period).alias("periodo"), F.col(period).alias("valor"),
+                                  *(c for c in boxes.columns if c != period)))
     return union_by_name(*parts)
