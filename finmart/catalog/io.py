@@ -15,7 +15,7 @@ from finmart.session import new_folder
 from finmart.sources import files, sinks
 from finmart.sources.envelope import envelope, open_envelopes
 from finmart.sources.layouts import strings
-from finmart.sources.odata import PeriodService, service_options
+from finmart.sources.odata import PeriodService
 from finmart.sources.sheets import shape_sheet, workbook_cells
 from finmart.sources.workbook_writer import to_workbooks
 from finmart.streaming.ingest import ingest_new, ingested, landed_files
@@ -148,7 +148,18 @@ def sheet_shape(t: Tables) -> DataFrame:
                        to_number("c_acctbal").alias("c_acctbal"))
 
 
-PAGES = 4
+ROWS_PER_PAGE = 50_000
+
+
+def paged(df: DataFrame, period: str, key: str) -> tuple[DataFrame, int]:
+    """Add ``page``: the fullest period is cut into pages of about ``ROWS_PER_PAGE`` rows, so no page grows with the data.
+
+    The rows of a page are brought together from at most 16 shares, which keeps the files few and a hot period spread.
+    """
+    fullest = df.groupBy(period).count().agg(F.max("count")).first()[0] or 0
+    pages = max(1, -(-fullest // ROWS_PER_PAGE))
+    cut = df.withColumn("page", F.pmod(F.xxhash64(key), F.lit(pages)))
+    return cut.repartition(F.col(period), F.col("page"), F.pmod(F.spark_partition_id(), F.lit(16))), pages
 
 
 def quarter_period(date: str) -> Column:
@@ -160,13 +171,13 @@ def quarter_period(date: str) -> Column:
                  o_orderpriority FROM orders""")
 def odata_source(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "service")
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", quarter_period("o_orderdate").alias("AnoMes"),
-                             F.pmod("o_orderkey", F.lit(PAGES)).alias("page"))
+    orders, pages = paged(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", quarter_period("o_orderdate").alias("AnoMes")),
+                          "AnoMes", "o_orderkey")
     orders.write.partitionBy("AnoMes", "page").option("header", True).csv(path)
     span = t.orders.agg(F.date_format(F.min("o_orderdate"), "yyyy").alias("lo"), F.date_format(F.max("o_orderdate"), "yyyy").alias("hi")).first()
     t.spark.dataSource.register(PeriodService)
     rows = (t.spark.read.format(PeriodService.name()).schema(strings("AnoMes", "o_orderkey", "o_custkey", "o_orderpriority"))
-            .options(**service_options(t.spark)).options(url=path + "/AnoMes={period}/page={page}", pages=PAGES, missing="empty",
+            .options(url=path + "/AnoMes={period}/page={page}", pages=pages, missing="empty",
                      periods=",".join(period_list(f"{span['lo']}-03", f"{int(span['hi']) + 1}-01")))
             .load())
     return rows.withColumns({"o_orderkey": F.col("o_orderkey").cast("long"), "o_custkey": F.col("o_custkey").cast("long")})

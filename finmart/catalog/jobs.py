@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from finmart.catalog.aggregates import PRIORITIES, stats_rounded
 from finmart.catalog.base import KEYS, Tables, fact, nfact, query, regp, regq, rounded
 from finmart.catalog.columns import YEARS
-from finmart.catalog.io import PAGES, as_cells, quarter_period
+from finmart.catalog.io import as_cells, paged, quarter_period
 from finmart.operators.joins import lookup, registry_join
 from finmart.plans import branches as branch_job
 from finmart.plans import cards, channels, credit, income, indebtedness, loans, precatorios, publish, quotes, registry, summary
@@ -174,10 +174,10 @@ def _registry(t: Tables) -> DataFrame:
                  seg AS "SegmentoTb", uf AS "Uf", sit AS "Situacao" FROM regq""", "regq")
 def job_registry(t: Tables) -> DataFrame:
     service, listing = new_folder(t.spark, "service"), new_folder(t.spark, "listing")
-    pages = F.pmod("CodInst", F.lit(PAGES)).alias("page")
-    _registry(t).select("*", pages).write.partitionBy("AnoMes", "page").option("header", True).csv(service)
+    cut, pages = paged(_registry(t), "AnoMes", "CodInst")
+    cut.write.partitionBy("AnoMes", "page").option("header", True).csv(service)
     schema = strings("AnoMes", *REGISTRY_FIELDS)
-    fetched = registry.fetch_registry(t.spark, service + "/AnoMes={period}/page={page}", pages=PAGES, schema=schema,
+    fetched = registry.fetch_registry(t.spark, service + "/AnoMes={period}/page={page}", pages=pages, schema=schema,
                                       missing="empty")
     sinks.write_csv(fetched, listing, "append")
     return registry.appended_listings(t.spark.read.schema(schema).option("header", True).csv(listing))

@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from finmart.functions.dates import period_list
 from finmart.operators.filters import drop_header_rows
 from finmart.sources.layouts import REGISTRY, strings
-from finmart.sources.odata import PeriodService, service_options
+from finmart.sources.odata import PeriodService
 
 
 def fetch_registry(spark: SparkSession, url: str, start: str = "2019-03", end: str = "2021-10", pages: int = 1,
                    schema=None, **options: str) -> DataFrame:
-    """All listings from the period service, requested in parallel, with their period."""
+    """The listings of all quarters from ``start`` to ``end``, requested in parallel, with their period."""
     schema = schema or strings("AnoMes", *REGISTRY.fieldNames())
     spark.dataSource.register(PeriodService)
     return (spark.read.format(PeriodService.name()).schema(schema)
-            .options(**service_options(spark)).options(url=url, periods=",".join(period_list(start, end)), pages=pages, **options).load())
+            .options(url=url, periods=",".join(period_list(start, end)), pages=pages, **options).load())
 
 
 def appended_listings(raw: DataFrame, key: str = "CodInst") -> DataFrame:

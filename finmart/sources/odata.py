@@ -9,8 +9,9 @@ Options: ``url`` template with ``{period}``, ``{columns}`` and, for paged servic
 ``periods`` comma list; ``pages`` pages per period (default 1); ``payload`` ``csv`` or ``json``
 (an envelope); ``period_column`` (default ``AnoMes``); ``missing`` ``empty`` takes an absent file or folder for
 an empty page (default ``error``). Each (period, page) is one partition, so requests run
-on the executors in parallel. With ``pushdown`` ``true``, which needs ``spark.sql.python.filterPushdown.enabled``, a
-filter on the period column drops the requests it excludes.
+on the executors in parallel. Name only the periods wanted: that is what saves requests. Filters are not taken over
+from Spark, because Spark 4.1 keeps a Python source's pushed filters for later uses of the same frame, which would
+lose rows there.
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ import contextlib
 import csv
 import io
 import json
+import sys
 import urllib.request
 from collections.abc import Iterator
 from urllib.parse import quote
 
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
+from pyspark import cloudpickle
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 
@@ -62,8 +64,7 @@ class PeriodService(DataSource):
         raise ValueError("declare a schema: .schema(...)")
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        prunes = self.options.get("pushdown", "false") == "true"
-        return (PruningPeriodReader if prunes else PeriodReader)(schema, dict(self.options))
+        return PeriodReader(schema, dict(self.options))
 
 
 class PeriodReader(DataSourceReader):
@@ -100,21 +101,5 @@ class PeriodReader(DataSourceReader):
         return None if value is None or value == "" else str(value)
 
 
-class PruningPeriodReader(PeriodReader):
-    """Drops the periods that a filter excludes before any request is made."""
-
-    def pushFilters(self, filters):
-        for f in filters:
-            on_period = getattr(f, "attribute", None) == (self.period_column,)
-            if on_period and isinstance(f, EqualTo):
-                self.periods = [p for p in self.periods if p == str(f.value)]
-            elif on_period and isinstance(f, In):
-                wanted = {str(v) for v in f.value}
-                self.periods = [p for p in self.periods if p in wanted]
-            else:
-                yield f
-
-
-def service_options(spark: SparkSession) -> dict[str, str]:
-    """Ask for pruning where the session allows Python sources to take filters."""
-    return {"pushdown": spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")}
+# Executors need not have this package installed: what runs there travels with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

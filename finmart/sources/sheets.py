@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,3 +98,7 @@ def header_names(cells: DataFrame, letters: list[str]) -> dict[str, str]:
     """The first row of a sheet as letter -> name, for at most the given letters (metadata, bounded)."""
     rows = cells.where((F.col("row") == 1) & F.col("col").isin(letters)).select("col", "value").distinct().collect()
     return {r["col"]: r["value"] for r in rows}
+
+
+# Executors need not have this package installed: what runs there travels with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,12 +7,14 @@ Spark cuts the rows into Arrow batches; a batch becomes one workbook, so no work
 from __future__ import annotations
 
 import io
+import sys
 import uuid
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 # The package parts every workbook needs.
@@ -74,3 +76,7 @@ def to_workbooks(df: DataFrame, sheet: str, lead: list[list] | None = None) -> D
             yield pd.DataFrame({"path": [f"{sheet}-{uuid.uuid4().hex}.xlsx"], "content": [content]})
 
     return df.mapInPandas(pack, "path string, content binary")
+
+
+# Executors need not have this package installed: what runs there travels with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
