@@ -91,12 +91,12 @@ def fact(t: Tables, heavy: bool = False) -> DataFrame:
     """
     # nation has 25 rows at every scale; Spark broadcasts it by its file size
     suppliers = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    items = spread(t.lineitem) if heavy else t.lineitem
+    items = spread(t.lineitem, "l_orderkey", "l_partkey") if heavy else t.lineitem
     rows = lookup(items, suppliers.withColumnRenamed("s_suppkey", "l_suppkey"), ["l_suppkey"], "inner")
     sign = F.when(F.col("l_quantity") < 10, -1).otherwise(1)
     return rows.select(
         *KEYS, F.col("l_suppkey").alias("cod"), F.col("s_name").alias("inst"), F.col("n_name").alias("uf"),
-        F.date_format("l_shipdate", "yyyyMM").cast("int").alias("anomes"), F.to_date("l_shipdate").alias("dt"),
+        (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("anomes"), F.to_date("l_shipdate").alias("dt"),
         F.col("l_extendedprice").alias("ativo"), F.col("s_acctbal").alias("pl"), F.col("l_quantity").alias("cart"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount")) * sign).alias("lucro"),
         F.col("l_returnflag").alias("atividade"), F.col("l_linestatus").alias("seg"))

@@ -116,7 +116,7 @@ def _quote_texts(t: Tables) -> DataFrame:
              "TOTNEG": _text("l_orderkey"), "QUATOT": _text("l_partkey"),
              "VOLTOT": F.when(new, F.translate(volume, ".", ",")).otherwise(volume),
              "CODISI": F.concat(F.lit("BR"), _text("l_suppkey")), "DISMES": _text("l_linenumber")}
-    return spread(t.lineitem).select(layout.alias("layout"), F.to_date("l_shipdate").alias("dia"),
+    return spread(t.lineitem, "l_orderkey", "l_partkey").select(layout.alias("layout"), F.to_date("l_shipdate").alias("dia"),
                                      *(c.alias(n) for n, c in cells.items()))
 
 

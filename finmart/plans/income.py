@@ -9,7 +9,7 @@ from finmart.functions.dates import iso_date
 from finmart.functions.names import rename_by, without_spaces
 from finmart.functions.numbers import nan_to_null
 from finmart.operators.aggregate import describe_boxes
-from finmart.operators.columns import numeric_columns, quoted, union_by_name
+from finmart.operators.columns import numeric_columns, quoted
 from finmart.operators.filters import exclude_containing, exclude_values, fill
 from finmart.operators.joins import registry_join
 from finmart.operators.ordering import row_index
@@ -56,9 +56,7 @@ def income_clean(joined: DataFrame, measure: str = NET_INCOME, tie_break: list[s
 
 def income_stats(clean: DataFrame, measure: str = NET_INCOME, periods: tuple[str, ...] = ("Mes", "Ano")) -> DataFrame:
     """Describe and box-plot numbers of a measure per month and per year, one row per period value."""
-    parts = []
-    for period in periods:
-        boxes = describe_boxes(clean, measure, [period])
-        parts.append(boxes.select(F.lit(period).alias("periodo"), F.col(period).alias("valor"),
-                                  *(c for c in boxes.columns if c != period)))
-    return union_by_name(*parts)
+    # every row counts once per kind of period, so one pass serves all kinds
+    kinds = F.array(*(F.struct(F.lit(p).alias("periodo"), F.col(p).alias("valor")) for p in periods))
+    long = clean.select(F.explode(kinds).alias("p"), quoted(measure).alias("_v")).select("p.*", "_v")
+    return describe_boxes(long, "_v", ["periodo", "valor"])

@@ -71,13 +71,11 @@ def fits_task(df: DataFrame, limit: int = IN_TASK_ROWS) -> bool:
     return df.count() <= limit
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Hand the rows of a table that is read in fewer tasks than there are cores to all cores.
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Hand the rows of a table that is read in fewer tasks than there are cores to all cores, by the hash of columns.
 
-    For heavy per-row work on a small or badly split input; a table with enough splits is left as it is. Rows go by
-    the hash of all their columns, which needs no sort.
+    For heavy per-row work on a small or badly split input; a table with enough splits is left as it is. ``by`` should
+    be nearly unique. Only the columns used later, and ``by``, are read and moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *(F.col(f"`{c}`") for c in df.columns))
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)
