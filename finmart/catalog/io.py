@@ -119,29 +119,30 @@ def sheet_cells(t: Tables) -> DataFrame:
                        to_number("c_acctbal").alias("c_acctbal"))
 
 
-def as_cells(df: DataFrame, position: str, letters: dict[str, str], lead: int, footer: int, sheet: str = "quadro 4",
-             file: str = "quadros.xlsx") -> DataFrame:
-    """A table as the cells of one sheet, with ``lead`` title rows above and ``footer`` note rows below.
+def as_cells(df: DataFrame, file: Column, position: str, letters: dict[str, str], lead: int, footer: int,
+             sheet: str = "quadro 4") -> DataFrame:
+    """A table as cells: one workbook per ``file``, with ``lead`` title rows above and ``footer`` note rows below.
 
-    ``position`` is the 0-based place of a row; ``letters`` maps columns to column letters.
+    ``position`` is the 0-based place of a row in its sheet; ``letters`` maps columns to column letters.
     """
     texts = [quoted(c).cast("string").alias(letter) for c, letter in letters.items()]
-    body = df.select((F.col(position) + lead + 1).cast("int").alias("row"), *texts).unpivot(
-        ["row"], list(letters.values()), "col", "value")
+    body = df.select(file.alias("file"), (F.col(position) + lead + 1).cast("int").alias("row"), *texts).unpivot(
+        ["file", "row"], list(letters.values()), "col", "value")
     first = next(iter(letters.values()))
-    last = body.agg(F.max("row").alias("last"))
-    notes = last.select(F.explode(F.concat(F.sequence(F.lit(1), F.lit(lead)),
-                                           F.sequence(F.col("last") + 1, F.col("last") + footer))).alias("row"))
-    cells = body.unionByName(notes.select("row", F.lit(first).alias("col"), F.lit("nota").alias("value")))
+    last = body.groupBy("file").agg(F.max("row").alias("last"))
+    notes = last.select("file", F.explode(F.concat(F.sequence(F.lit(1), F.lit(lead)),
+                                                   F.sequence(F.col("last") + 1, F.col("last") + footer))).alias("row"))
+    cells = body.unionByName(notes.withColumns({"col": F.lit(first), "value": F.lit("nota")}))
     return cells.where("value IS NOT NULL").select(
-        F.lit(file).alias("file"), F.lit(sheet).alias("sheet"), F.lit(3).alias("sheet_index"), "row", "col", "value")
+        "file", F.lit(sheet).alias("sheet"), F.lit(3).alias("sheet_index"), "row", "col", "value")
 
 
 @query("SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer")
 def sheet_shape(t: Tables) -> DataFrame:
     blanks = t.customer.withColumn("c_acctbal", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
     letters = {"c_custkey": "B", "c_name": "C", "c_mktsegment": "QL", "c_acctbal": "QM", "c_nationkey": "QN"}
-    cells = as_cells(blanks, "c_custkey", letters, 8, 7)
+    # a workbook per state
+    cells = as_cells(blanks, F.concat(F.lit("quadros-"), "c_nationkey"), "c_custkey", letters, 8, 7)
     names = {letter: c for c, letter in letters.items() if c != "c_nationkey"}
     rows = shape_sheet(cells, names, "quadro 4", skip=8, footer=7)
     return rows.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_mktsegment",

@@ -21,7 +21,7 @@ from finmart.sources import sinks
 from finmart.sources.envelope import envelope, open_envelopes
 from finmart.sources.files import read_csv, read_positional_csv
 from finmart.sources.layouts import (
-    QUOTE_COLUMNS, QUOTES_2019, QUOTES_2020, QUOTES_2021_HEADER, QUOTES_2022, REPORT_VALUES, strings)
+    QUOTE_COLUMNS, QUOTES_2019, QUOTES_2020, QUOTES_2021_HEADER, QUOTES_2022, strings)
 
 K = ", ".join(KEYS)
 
@@ -45,7 +45,8 @@ def job_credit_extract(t: Tables) -> DataFrame:
         _text("o_orderkey").alias("Conta"), F.col("o_orderpriority").alias("NomeColuna"),
         F.lit("").alias("DescricaoColuna"), _text("o_totalprice").alias("Saldo"))
     documents = t.orders.select(envelope(record).alias("document"))
-    return credit.credit_extract(open_envelopes(documents, "document", REPORT_VALUES), PRIORITIES)
+    # only the fields the extract needs are parsed out of the documents
+    return credit.credit_extract(open_envelopes(documents, "document", credit.EXTRACTED), PRIORITIES)
 
 
 @query(f"""SELECT {K}, n.inst AS "NomeInstituicao", CAST(last_day(dt) AS VARCHAR) AS "Periodo",
@@ -271,7 +272,7 @@ def job_branches(t: Tables) -> DataFrame:
     for year, source in BRANCH_YEARS.items():
         of_year = totals.where(F.col("ano") == source)
         letters = dict(zip(["uf", "total", *(f"p{i}" for i in range(len(PRIORITIES)))], BRANCH_LETTERS[year]))
-        cells[year] = as_cells(of_year, "place", letters, BRANCH_SKIP, BRANCH_FOOTER)
+        cells[year] = as_cells(of_year, F.concat(F.lit("quadros-"), "ano"), "place", letters, BRANCH_SKIP, BRANCH_FOOTER)
     return branch_job.branches(cells)
 
 

@@ -10,11 +10,15 @@ from finmart.functions.numbers import nan_to_null, whole_number
 from finmart.operators.aggregate import pivot_sum
 from finmart.operators.columns import quoted
 from finmart.operators.filters import keep_all_nonzero, keep_any_not_null, keep_not_null
+from finmart.sources.layouts import strings
 
 OPERATIONS = "Quantidade de operações ativas"
 CLIENTS = "Quantidade de clientes com operações ativas"
 SHORT = {OPERATIONS: "Qtd_de_operacoes_ativas", CLIENTS: "Qtd_de_clientes_com_operacoes_ativas"}
 
+# The report fields the extract reads; documents hold more (layouts.REPORT_VALUES).
+EXTRACTED = strings("CodInst", "AnoMes", "NomeColuna", "Saldo")
+
 
 def credit_extract(report: DataFrame, names: list[str]) -> DataFrame:
     """Report rows (all text) to one row per institution and period, one column per report column of ``names``."""

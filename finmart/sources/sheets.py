@@ -14,6 +14,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finmart.operators.joins import lookup
+
 CELLS = "file string, sheet string, sheet_index int, row int, col string, value string"
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -88,10 +90,9 @@ def shape_sheet(cells: DataFrame, columns: dict[str, str], sheet: str | int | No
     body = cells.where(F.col("row") > skip)
     if footer:
         last = cells.groupBy("file", "sheet").agg((F.max("row") - footer).alias("last_row"))
-        body = body.join(last, ["file", "sheet"]).where(F.col("row") <= F.col("last_row"))
-    wide = body.where(F.col("col").isin(list(columns))).groupBy("file", "sheet", "row").pivot("col", list(columns)).agg(
-        F.max("value"))
-    return wide.withColumnsRenamed(columns)
+        body = lookup(body, last, ["file", "sheet"], "inner").where(F.col("row") <= F.col("last_row"))
+    picked = body.where(F.col("col").isin(list(columns))).groupBy("file", "sheet", "row")
+    return picked.agg(*(F.max(F.when(F.col("col") == letter, F.col("value"))).alias(n) for letter, n in columns.items()))
 
 
 def header_names(cells: DataFrame, letters: list[str]) -> dict[str, str]:
