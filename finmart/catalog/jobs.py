@@ -320,7 +320,7 @@ def job_channel_ops(t: Tables) -> DataFrame:
 def job_atm_terminals(t: Tables) -> DataFrame:
     dated = _orders_by_state(t).withColumn("ano", F.year("o_orderdate"))
     wide = dated.groupBy(F.col("uf").alias("UF")).pivot("ano", YEARS).agg(F.sum("o_totalprice"))
-    texts = wide.select("UF", *(F.translate(F.format_number(F.col(f"`{y}`"), 0), ",", ".").alias(str(y)) for y in YEARS))
+    texts = wide.select("UF", *(F.translate(F.format_number(F.round(f"`{y}`"), 0), ",", ".").alias(str(y)) for y in YEARS))
     return cards.atm_terminals(texts)
 
 

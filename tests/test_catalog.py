@@ -9,6 +9,8 @@ from tests.compare import assert_same
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
+# no supplier of this scale is in the state asked for
+MAY_BE_EMPTY = {"filter_eq"}
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +27,7 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    assert_same(QUERIES[name](spark, FOLDER), duck.sql(entry.oracle_sql()[name]))
+    assert_same(QUERIES[name](spark, FOLDER), duck.sql(entry.oracle_sql()[name]), name in MAY_BE_EMPTY)
 
 
 def test_entry(spark):
