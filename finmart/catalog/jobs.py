@@ -44,7 +44,7 @@ def job_credit_extract(t: Tables) -> DataFrame:
         F.lit("Carteira").alias("NomeRelatorio"), F.lit("10").alias("NumeroRelatorio"), F.col("o_orderstatus").alias("Grupo"),
         _text("o_orderkey").alias("Conta"), F.col("o_orderpriority").alias("NomeColuna"),
         F.lit("").alias("DescricaoColuna"), _text("o_totalprice").alias("Saldo"))
-    documents = t.orders.select(envelope(record).alias("document"))
+    documents = spread(t.orders, "o_orderkey").select(envelope(record).alias("document"))
     # only the fields the extract needs are parsed out of the documents
     return credit.credit_extract(open_envelopes(documents, "document", credit.EXTRACTED), PRIORITIES)
 
@@ -75,7 +75,7 @@ _SUMMARY_SQL = f"""
 def _summary(t: Tables) -> DataFrame:
     measures = {"Ativo_Total": "ativo", "Captações": "cart", "Carteira_de_Crédito_Classificada": "cart",
                 "Lucro_Líquido": "parcela", summary.LIABILITIES: "ativo", "Patrimônio_Líquido": "pl"}
-    rows = nfact(t).withColumn("parcela", F.when(F.col("lucro").isNotNull(), F.col("ativo") / 7))
+    rows = nfact(t, heavy=True).withColumn("parcela", F.when(F.col("lucro").isNotNull(), F.col("ativo") / 7))
     return rows.select(
         *KEYS, F.col("inst").alias("NomeInstituicao"), F.col("seg").alias("SegmentoTb"), F.col("atividade").alias("Atividade"),
         F.col("uf").alias("Uf"), F.col("uf").alias("Municipio"), F.col("anomes").alias("AnoMes"),

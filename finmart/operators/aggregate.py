@@ -88,18 +88,9 @@ def texts_to_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.unpivot([], [quoted(c) for c in columns], "coluna", "valor")
 
 
-def describe_numeric(df: DataFrame, columns: list[str] | None = None, in_task: int = IN_TASK_ROWS) -> DataFrame:
-    """:func:`describe` of every numeric column, one row per column."""
-    columns = columns or numeric_columns(df)
-    wide = df.select(*(quoted(c).cast("double").alias(c) for c in columns))
-    if not fits_task(wide, in_task // max(len(columns), 1)):
-        return describe(numbers_to_rows(df, columns), "valor", ["coluna"], in_task=0)
-    cells = []
-    for c in columns:
-        quartiles = F.percentile(quoted(c), QUARTILES)
-        cells.append(F.struct(F.lit(c).alias("coluna"), *_moments(f"`{c}`"), quartiles.alias("_q")))
-    packed = wide.agg(F.array(*cells).alias("_all")).selectExpr("inline(_all)")
-    return packed.withColumns({n: F.col("_q")[i] for i, n in enumerate(QUARTILE_NAMES)}).drop("_q")
+def describe_numeric(df: DataFrame, columns: list[str] | None = None, **options) -> DataFrame:
+    """:func:`describe` of every numeric column, one row per column; the columns are described side by side."""
+    return describe(numbers_to_rows(df, columns or numeric_columns(df)), "valor", ["coluna"], **options)
 
 
 def describe_columns(df: DataFrame) -> DataFrame:

@@ -6,10 +6,13 @@ and position, sum the sizes of the partitions (one row each) into offsets, and a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finmart.operators.columns import quoted
+from finmart.operators.joins import lookup
 from finmart.session import IN_TASK_ROWS, fits_task, written
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
@@ -92,55 +95,104 @@ def average_rank(df: DataFrame, value: str, groups: list[str] | None = None, nam
 
 
 def quantiles(df: DataFrame, value: str, probs: list[float], groups: list[str] | None = None,
-              names: list[str] | None = None, in_task: int = IN_TASK_ROWS) -> DataFrame:
+              names: list[str] | None = None, in_task: int = IN_TASK_ROWS, accuracy: int = 10_000,
+              small_group: int = 100_000) -> DataFrame:
     """Exact quantiles with linear interpolation, per group (NULL groups dropped) or overall.
 
     Up to ``in_task`` rows the built-in ``percentile`` does it, whose memory grows with the values of a group.
-    Beyond that the values are counted, ordered by range partition, and only the partitions that hold a wanted
-    position are looked into.
+    Beyond that, sketches of ``accuracy`` first bracket each quantile and a second pass counts the values below each
+    bracket and keeps only those inside, some ``4 / accuracy`` of the rows, to be ordered. Should a bracket miss its
+    quantile, all values are ordered instead.
     """
     keys = groups or []
     names = names or [f"q{round(p * 100)}" for p in probs]
-    if fits_task(df.select(value), in_task):
-        present = df
-        for g in keys:
-            present = present.where(quoted(g).isNotNull())
-        packed = present.groupBy(*keys).agg(F.percentile(quoted(value), probs).alias("_q"))
-        return packed.select(*keys, *(F.col("_q")[i].alias(n) for i, n in enumerate(names)))
-
     keyed = keys or ["_all"]
-    if not keys:
-        df = df.select(quoted(value), F.lit(0).alias("_all"))
-    placed = _placed(_counted(df, keyed, value), [*(F.col(g) for g in keyed), F.col(value)], "quantiles")
-    return _order_statistics(placed, value, probs, keyed, keys, names)
-
-
-def _order_statistics(placed: DataFrame, value: str, probs: list[float], keyed: list[str], keys: list[str],
-                      names: list[str]) -> DataFrame:
-    wanted = F.array(*(
-        F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("_total") - 1)).alias("at")) for i, p in enumerate(probs)))
-    ends = F.transform(wanted, lambda w: F.struct(w["i"].alias("i"), w["at"].alias("at"),
-                                                  F.floor(w["at"]).alias("lo"), F.ceil(w["at"]).alias("hi")))
+    present = df if keys else df.withColumn("_all", F.lit(0))
+    present = present.select(*(quoted(k) for k in keyed), quoted(value).alias("_v"))
+    for column in [*keyed, "_v"]:
+        present = present.where(quoted(column).isNotNull())
+    if fits_task(present, in_task):
+        packed = present.groupBy(*keyed).agg(F.percentile("_v", probs).alias("_q"))
+        return packed.select(*keys, *(F.col("_q")[i].alias(n) for i, n in enumerate(names)))
+    found = _bracketed(present, probs, keyed, names, accuracy, small_group)
+    if found is None:
+        found = _all_ordered(present, probs, keyed, names)
+    return found.select(*keys, *names)
+
+
+def _all_ordered(present: DataFrame, probs: list[float], keyed: list[str], names: list[str]) -> DataFrame:
+    placed = _placed(_counted(present, keyed, "_v"), [*(F.col(k) for k in keyed), F.col("_v")], "quantiles")
+    wanted = F.array(*(F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("_total") - 1)).alias("at"))
+                       for i, p in enumerate(probs)))
+    points = _order_statistics(placed, _cells(placed, keyed).withColumn("_wanted", wanted), keyed)
+    return _side_by_side(points, keyed, names)
+
+
+def _bracketed(present: DataFrame, probs: list[float], keyed: list[str], names: list[str], accuracy: int,
+               small_group: int) -> DataFrame | None:
+    """Quantiles from the values near them, or None if some bracket missed."""
+    margin = 2 / accuracy  # a sketch is off by at most 1 / accuracy of the rows
+    ends = [e for p in probs for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    sketch = F.percentile_approx("_v", ends, accuracy)
+    stats = present.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_total"), F.min("_v").alias("_min"),
+                                        F.max("_v").alias("_max"), sketch.alias("_ends"))
+    # a small group is its own bracket
+    whole = F.col("_total") <= small_group
+    lows = [F.when(whole | F.lit(p <= margin), F.col("_min")).otherwise(F.col("_ends")[2 * i]).alias(f"_lo{i}")
+            for i, p in enumerate(probs)]
+    highs = [F.when(whole | F.lit(p >= 1 - margin), F.col("_max")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_hi{i}")
+             for i, p in enumerate(probs)]
+    brackets = written(stats.select(*keyed, "_total", *lows, *highs), "brackets")
+
+    every = range(len(probs))
+    v = F.col("_v")
+    inside = [v.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in every]
+    kept = F.when(reduce(Column.__or__, inside), v).alias("_kept")
+    rows = lookup(present, brackets, keyed, "inner")
+    bands = written(rows.groupBy(*keyed, kept).agg(
+        F.count(F.lit(1)).alias("_n"), *(F.count_if(v < F.col(f"_lo{i}")).alias(f"_below{i}") for i in every),
+        *(F.max(inside[i]).alias(f"_in{i}") for i in every)), "bands")
+
+    # positions counted from the start of each bracket
+    below = bands.groupBy(*keyed).agg(*(F.sum(f"_below{i}").alias(f"_below{i}") for i in every))
+    positions = F.array(*(F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("_total") - 1)).alias("at"),
+                                   F.col(f"_below{i}").alias("below")) for i, p in enumerate(probs)))
+    # both sides hold one row per group
+    targets = brackets.join(below, keyed).withColumn("_w", F.explode(positions)).select(
+        *keyed, F.col("_w.i").alias("_band"), F.array(F.struct("_w.i", (F.col("_w.at") - F.col("_w.below")).alias("at"))).alias("_wanted"))
+    members = F.array_compact(F.array(*(F.when(F.col(f"_in{i}"), F.lit(i)) for i in every)))
+    near = bands.where("_kept IS NOT NULL").select(*keyed, F.explode(members).alias("_band"), F.col("_kept").alias("_v"), "_n")
+    group = [*keyed, "_band"]
+    placed = _placed(near, [*(F.col(k) for k in group), F.col("_v")], "near")
+    points = _order_statistics(placed, _cells(placed, group).join(targets, group), group)
+    found = written(_side_by_side(points, keyed, names), "quantiles")
+    complete = found.where(reduce(Column.__and__, (F.col(n).isNotNull() for n in names))).count()
+    return found if complete == brackets.count() else None
+
+
+def _order_statistics(placed: DataFrame, cells: DataFrame, group: list[str]) -> DataFrame:
+    """(group, i, q) for the positions ``_wanted`` (i, at) of each group, given its cells."""
+    ends = F.transform("_wanted", lambda w: F.struct(w["i"].alias("i"), w["at"].alias("at"),
+                                                     F.floor(w["at"]).alias("lo"), F.ceil(w["at"]).alias("hi")))
 
     def inside(pos):
         return (pos >= F.col("_before")) & (pos < F.col("_before") + F.col("_cell"))
 
-    cells = _cells(placed, keyed).withColumn(
-        "_wanted", F.filter(ends, lambda w: inside(w["lo"]) | inside(w["hi"]))).where(F.size("_wanted") > 0)
+    hit = cells.withColumn("_ends", F.filter(ends, lambda w: inside(w["lo"]) | inside(w["hi"]))).where(F.size("_ends") > 0)
     # at most two cells per group and quantile go on
-    chosen = placed.join(cells.select(*keyed, "_part", "_before", "_wanted"), [*keyed, "_part"])
-    running = Window.partitionBy(*keyed, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    chosen = placed.join(hit.select(*group, "_part", "_before", "_ends"), [*group, "_part"])
+    running = Window.partitionBy(*group, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     spans = chosen.withColumn("_end", F.col("_before") + F.sum("_n").over(running)).withColumn(
         "_start", F.col("_end") - F.col("_n"))
-    hits = spans.withColumn("_w", F.explode("_wanted")).select(
-        *keyed, quoted(value).alias("_v"), "_start", "_end", "_w.*")
+    near = spans.withColumn("_w", F.explode("_ends")).select(*group, "_v", "_start", "_end", "_w.*")
     at_lo = (F.col("lo") >= F.col("_start")) & (F.col("lo") < F.col("_end"))
     at_hi = (F.col("hi") >= F.col("_start")) & (F.col("hi") < F.col("_end"))
-    pairs = hits.where(at_lo | at_hi).groupBy(*keyed, "i").agg(
+    pairs = near.where(at_lo | at_hi).groupBy(*group, "i").agg(
         F.max(F.when(at_lo, F.col("_v"))).alias("_lo"), F.max(F.when(at_hi, F.col("_v"))).alias("_hi"),
         F.max(F.col("at") - F.col("lo")).alias("_share"))
     between = (1 - F.col("_share")) * F.col("_lo") + F.col("_share") * F.col("_hi")
-    points = pairs.withColumn("_q", F.when(F.col("_share") == 0, F.col("_lo")).otherwise(between))
-    return points.groupBy(*keyed).agg(*(
-        F.max(F.when(F.col("i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names))).select(*keys, *names)
+    return pairs.select(*group, "i", F.when(F.col("_share") == 0, F.col("_lo")).otherwise(between).alias("q"))
+
 
+def _side_by_side(points: DataFrame, keyed: list[str], names: list[str]) -> DataFrame:
+    return points.groupBy(*keyed).agg(*(F.max(F.when(F.col("i") == i, F.col("q"))).alias(n) for i, n in enumerate(names)))

@@ -59,24 +59,54 @@ def test_average_rank_by_group(data):
     pd.testing.assert_series_equal(out, expected.sort_index(), check_names=False)
 
 
-@pytest.mark.parametrize("in_task", [0, ordering.IN_TASK_ROWS])
-def test_quantiles(data, in_task):
+# the built-in, small groups taken whole, and real brackets: narrow ones with a coarse sketch, wide ones
+WAYS = [{}, {"in_task": 0}, {"in_task": 0, "small_group": 0, "accuracy": 100}, {"in_task": 0, "small_group": 0, "accuracy": 10}]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_quantiles(data, way):
     pdf, df = data
     names = [f"p{i}" for i in range(len(PROBS))]
-    whole = ordering.quantiles(df, "v", PROBS, names=names, in_task=in_task).first()
+    whole = ordering.quantiles(df, "v", PROBS, names=names, **way).first()
     assert list(whole) == pytest.approx(pdf["v"].quantile(PROBS).tolist())
-    by_group = ordering.quantiles(df, "v", PROBS, ["g"], names, in_task).toPandas().set_index("g").sort_index()
+    by_group = ordering.quantiles(df, "v", PROBS, ["g"], names, **way).toPandas().set_index("g").sort_index()
     expected = pdf.groupby("g")["v"].quantile(PROBS).unstack()
     np.testing.assert_allclose(by_group.to_numpy(), expected.to_numpy())
 
 
+def test_brackets_that_miss_are_noticed(data, monkeypatch):
+    """A sketch that points to the wrong place must not give a wrong quantile."""
+    pdf, df = data
+    calls = []
+    ordered = ordering._all_ordered
+    monkeypatch.setattr(ordering, "_all_ordered", lambda *a: calls.append(1) or ordered(*a))
+    monkeypatch.setattr(ordering.F, "percentile_approx", lambda column, ends, accuracy: F.array(*(F.lit(1e6) for _ in ends)))
+    found = ordering.quantiles(df, "v", [0.25, 0.5], names=["a", "b"], in_task=0, small_group=0).first()
+    assert calls and list(found) == pytest.approx(pdf["v"].quantile([0.25, 0.5]).tolist())
+
+
+def test_brackets_keep_few_values(spark):
+    """A third of the rows share one value; what is ordered in the end is a small part of the table."""
+    df = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.rand(7) * 10).alias("v"))
+    stored = []
+    real = ordering.written
+    ordering.written = lambda frame, label: stored.append((label, real(frame, label))) or stored[-1][1]
+    try:
+        found = ordering.quantiles(df, "v", [0.25, 0.5, 0.75], in_task=0, accuracy=1000).first()
+    finally:
+        ordering.written = real
+    assert list(found) == pytest.approx(df.toPandas()["v"].quantile([0.25, 0.5, 0.75]).tolist())
+    sizes = {label: frame.count() for label, frame in stored}
+    assert sizes["bands"] < 200_000 * 3 * 6 / 1000
+
+
 @pytest.mark.parametrize("in_task", [0, ordering.IN_TASK_ROWS])
 def test_describe(data, in_task):
     pdf, df = data
     out = aggregate.describe(df, "v", ["g"], in_task).toPandas().set_index("g").sort_index()
     expected = pdf.groupby("g")["v"].describe()
     np.testing.assert_allclose(out[["n", "media", "desvio", "minimo", "q1", "mediana", "q3", "maximo"]], expected)
-    out = aggregate.describe_numeric(df, ["v", "w"], in_task).toPandas().set_index("coluna").sort_index()
+    out = aggregate.describe_numeric(df, ["v", "w"], in_task=in_task).toPandas().set_index("coluna").sort_index()
     expected = pdf[["v", "w"]].describe().T
     np.testing.assert_allclose(out[["n", "media", "desvio", "minimo", "q1", "mediana", "q3", "maximo"]], expected)
 
