@@ -137,7 +137,7 @@ def _line(layout: dict) -> Column:
 def _write_quotes(t: Tables) -> dict[int, str]:
     """The yearly raw files: one folder per layout."""
     root = new_folder(t.spark, "quotes")
-    texts = written(_quote_texts(t), "quote-texts")
+    texts = _quote_texts(t)
     lines = F.coalesce(*(F.when(F.col("layout") == y, _line(shape)) for y, shape in HEADERLESS.items()))
     texts.where(F.col("layout").isin(list(HEADERLESS))).select("layout", lines.alias("line")).write.partitionBy("layout").text(root)
     dated = {"ANO": F.year("dia"), "MES": F.month("dia"), "DIA": F.dayofmonth("dia")}

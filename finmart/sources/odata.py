@@ -37,7 +37,8 @@ def open_uri(uri: str, missing_is_empty: bool = False) -> Iterator:
         return
     from pyarrow import fs
 
-    system, path = fs.FileSystem.from_uri(uri)
+    # Arrow knows Spark's s3a scheme as s3
+    system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
     info = system.get_file_info(path)
     if info.type == fs.FileType.NotFound and missing_is_empty:
         return
