@@ -15,9 +15,14 @@ def read_parquet(spark: SparkSession, path, columns: list[str] | None = None) ->
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType, sep: str = ",", encoding: str = "UTF-8",
-             date_format: str | None = None) -> DataFrame:
-    """CSV with a header line; date columns are parsed while scanning when the schema says so."""
+             date_format: str | None = None, check_header: bool = True) -> DataFrame:
+    """CSV with a header line; date columns are parsed while scanning when the schema says so.
+
+    The header must name the schema's columns in order, so a file with another layout fails instead of shifting its
+    values; ``check_header=False`` takes the columns by place.
+    """
     reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", encoding)
+    reader = reader.option("enforceSchema", not check_header)
     if date_format:
         reader = reader.option("dateFormat", date_format)
     return reader.csv(path)
@@ -35,9 +40,16 @@ def parse_positional(df: DataFrame, column: str, width: int, sep: str = ";") ->
 
 
 def read_json_lines(spark: SparkSession, folder, schema: T.StructType, pattern: str = "*.json",
-                    with_file: bool = False) -> DataFrame:
-    """Every JSON Lines file of a folder, as one scan."""
-    df = spark.read.schema(schema).option("pathGlobFilter", pattern).json(folder)
+                    with_file: bool = False, unreadable: str | None = None) -> DataFrame:
+    """Every JSON Lines file of a folder, as one scan.
+
+    A line that cannot be read gives a row of NULLs; ``unreadable`` names a column that then holds its text.
+    """
+    reader = spark.read.option("pathGlobFilter", pattern)
+    if unreadable:
+        schema = T.StructType([*schema.fields, T.StructField(unreadable, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", unreadable)
+    df = reader.schema(schema).json(folder)
     return df.withColumn("file", F.col("_metadata.file_path")) if with_file else df
 
 

@@ -21,13 +21,16 @@ def ingest_new(stream: DataFrame, table: str, checkpoint: str) -> int:
 
     A batch owns its folder ``lote=<id>`` and replaces it, so a batch replayed after a crash leaves no copies.
     """
+    stored: set[int] = set()
+
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
+        stored.add(batch_id)
 
     query = (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    return len(stored)
 
 
 def ingested(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:

@@ -23,8 +23,13 @@ def write(folder, name, text, encoding="utf-8"):
 
 def test_csv_dialects(spark, folder):
     latin = write(folder, "a.csv", "Mês;Valor\nAção;1,5\n", "latin-1")
-    schema = layouts.strings("mes", "valor")
+    schema = layouts.strings("Mês", "Valor")
     assert tuple(files.read_csv(spark, latin, schema, ";", "ISO-8859-1").first()) == ("Ação", "1,5")
+    assert files.read_csv(spark, latin, schema, ";", "ISO-8859-1").select("Valor").first()[0] == "1,5"
+    other = layouts.strings("valor_total", "mes")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, latin, other, ";", "ISO-8859-1").collect()
+    assert files.read_csv(spark, latin, other, ";", "ISO-8859-1", check_header=False).first()["mes"] == "1,5"
     plain = write(folder, "b.csv", "1;x;;2\n3;y;z;4\n")
     assert [tuple(r) for r in files.read_positional_csv(spark, plain, 4).collect()] == [("1", "x", None, "2"), ("3", "y", "z", "4")]
     lines = spark.createDataFrame([("1;x;;2",)], ["line"])
@@ -40,6 +45,10 @@ def test_json_lines_folder_is_one_scan(spark, folder):
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType())])
     df = files.read_json_lines(spark, f"file://{folder}/lines", schema, with_file=True)
     assert df.count() == 12 and df.select("file").distinct().count() == 3
+    write(folder, "lines/bad.json", '{"k": 9, "v": 9}\n{"k": oops\n')
+    df = files.read_json_lines(spark, f"file://{folder}/lines", schema, unreadable="texto")
+    rows = df.collect()
+    assert [tuple(r)[:3] for r in rows if r["texto"]] == [(None, None, '{"k": oops')] and len(rows) == 14
 
 
 def test_envelopes(spark, folder):
