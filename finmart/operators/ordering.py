@@ -20,8 +20,8 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the row's place in its
 
 def _placed(df: DataFrame, order: list[Column], label: str) -> DataFrame:
     """Range-partitioned, sorted and stored, with ``_part`` and ``_pos`` (place inside the partition)."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # no partition count: adaptive execution joins neighbouring small ranges, which keeps the order
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     row_id = F.monotonically_increasing_id()
     return written(placed.withColumns({
         "_part": F.shiftright(row_id, _POSITION_BITS).cast("int"),
