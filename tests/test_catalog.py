@@ -4,11 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from finmart import catalog
 from finmart.catalog.base import TABLES
 from tests.compare import assert_same
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = catalog.QUERIES
 # no supplier of this scale is in the state asked for
 MAY_BE_EMPTY = {"filter_eq"}
 
@@ -22,12 +23,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(QUERIES)
+    assert set(catalog.SQL) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    assert_same(QUERIES[name](spark, FOLDER), duck.sql(entry.oracle_sql()[name]), name in MAY_BE_EMPTY)
+    assert_same(QUERIES[name](spark, FOLDER), duck.sql(catalog.SQL[name]), name in MAY_BE_EMPTY)
 
 
 def test_entry(spark):
