@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finmart.session import fits_broadcast
+
 # Separators become a blank and A-Z become a-z, byte by byte; bytes of longer UTF-8 characters stay.
 _SEPARATORS = [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
 _WORD_TABLE = bytes(0x20 if b in _SEPARATORS else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -26,6 +28,11 @@ def needed(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in columns))
 
 
+def small_side(df: DataFrame) -> DataFrame:
+    """A stored side of a join: broadcast when it was measured to be small, else the join shuffles."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
 def alnum_words(raw: bytes | None) -> list[bytes]:
     """Lower-cased runs of letters, digits and all non-ASCII characters."""
     return raw.translate(_WORD_TABLE).split() if raw else []

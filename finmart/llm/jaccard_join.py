@@ -1,7 +1,7 @@
 """Similar documents by the Jaccard similarity of word shingles, with a token-group matrix.
 
 Similar documents are put into one group by the least hash of their shingles. The matrix says which shingles the
-prefixes of a group's members hold, so groups that share no such shingle cannot hold a link. Of the pairs of groups
+prefixes of a group's members hold; groups that share too few such shingles cannot hold a link. Of the pairs of groups
 that are left, a group meets the other as queries: a query's overlap with the group's token union bounds its overlap
 with every member, and only a group whose bound suffices is opened and its members are compared exactly.
 
@@ -19,15 +19,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.base import WordHashes, blank_words, mixed, ngram_hashes, sorted_groups, texts, Union
+from finmart.llm.base import WordHashes, blank_words, mixed, ngram_hashes, small_side, sorted_groups, texts, Union
 from finmart.llm.components import components
 from finmart.session import written
 
 # A group holds about this many documents and shingles at most.
 GROUP_ROWS = 256
 GROUP_TOKENS = 262_144
-# Query groups that one task compares with a group.
-QUERY_GROUPS = 16
+# Sizes in a group differ by this factor at most, so that the bounds of a group stay close to those of its members.
+SIZE_BAND = 1.4
+# Queries that one task compares with a group, about.
+QUERY_ROWS = 2048
 # A shingle is frequent when more prefixes than this hold it; at most FREQUENT_MOST shingles are.
 FREQUENT = 64
 FREQUENT_MOST = 1_000_000
@@ -213,47 +215,59 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.first("least").alias("least"), F.first("prefix").alias("prefix"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    sums = written(classes.groupBy("least").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens")), "sums")
+    # documents of one least hash and size band are a group; those that are too many for one are dealt to several
+    kind = ["least", "band"]
+    banded = classes.withColumn("band", F.floor(F.log("n") / F.log(F.lit(SIZE_BAND))))
+    sums = banded.groupBy(*kind).agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens"))
     chunks = F.ceil(F.greatest(F.col("rows") / GROUP_ROWS, F.col("tokens") / GROUP_TOKENS))
-    grouped = written(classes.join(sums, "least").select(
-        "node", "name", "least_id", "copies", "n", "prefix",
-        F.xxhash64("least", F.pmod(F.xxhash64("node"), chunks)).alias("group")), "grouped")
+    full = written(sums.select(*kind, chunks.alias("chunks")).where("chunks > 1"), "full")
+    grouped = banded.join(small_side(full), kind, "left").withColumn("group", F.xxhash64(
+        *kind, F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1)))))
     groups = grouped.groupBy("group").agg(
         F.count(F.lit(1)).alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"))
     groups = written(groups, "groups")
 
-    # the matrix: which groups hold a token in a prefix
-    matrix = grouped.select("group", F.explode("prefix").alias("token")).distinct()
-    common = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    matrix = written(matrix.join(common, "token").select("token", "group"), "matrix")
-    left = matrix.select("token", "group")
-    right = matrix.select("token", F.col("group").alias("other"))
-    pairs = left.join(right, "token").where("group < other").select("group", "other").distinct()
-    sizes = groups.select("group", "low", "high")
-    other = groups.select(F.col("group").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
-    pairs = pairs.join(sizes, "group").join(other, "other").where(
-        (100 * F.col("high") >= percent * F.col("other_low")) & (100 * F.col("other_high") >= percent * F.col("low")))
-    alone = groups.where("rows > 1").select("group", F.col("group").alias("other"))
-    pairs = written(pairs.select("group", "other").unionByName(alone), "pairs")
-    many = written(pairs.groupBy("group").agg(F.count(F.lit(1)).alias("meets")), "meets")
-    share = F.pmod(F.xxhash64("other"), F.ceil(F.col("meets") / QUERY_GROUPS))
-    tasks = written(pairs.join(many, "group").select(
+    # the matrix: which groups hold a token in a prefix; a token that only one document holds joins nothing
+    common = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("held"))
+    common = written(common.where("held > 1").select("token"), "common")
+    matrix = grouped.select("group", F.explode("prefix").alias("token")).join(small_side(common), "token").distinct()
+    matrix = written(matrix.select("token", "group"), "matrix")
+    other = F.col("group").alias("other")
+    pairs = matrix.join(matrix.select("token", other), "token").where("group < other").groupBy("group", "other").agg(
+        F.count(F.lit(1)).alias("shared"))
+    others = groups.select(other, *(F.col(c).alias(f"other_{c}") for c in ("rows", "low", "high")))
+    high, low = F.greatest("high", "other_high"), F.least("low", "other_low")
+    # sets of x >= y shingles share p (x + y) / (100 + p); p x / 100 of them at most lie behind the prefix that ends first
+    least = percent * (high + low) / (100 + percent) - percent * high / 100
+    pairs = pairs.join(groups, "group").join(others, "other").where(
+        (100 * F.col("high") >= percent * F.col("other_low")) & (100 * F.col("other_high") >= percent * F.col("low"))
+        & (F.col("shared") >= least))
+    # the smaller group asks the larger one
+    turned = F.col("rows") < F.col("other_rows")
+    asked = pairs.select(F.when(turned, F.col("other")).otherwise(F.col("group")).alias("group"),
+                         F.when(turned, F.col("group")).otherwise(F.col("other")).alias("other"),
+                         F.least("rows", "other_rows").alias("queries"))
+    alone = groups.where("rows > 1").select("group", F.col("group").alias("other"), F.lit(0).cast("long").alias("queries"))
+    asked = written(asked.unionByName(alone), "asked")
+    many = written(asked.groupBy("group").agg(F.sum("queries").alias("queries")), "many")
+    share = F.pmod(F.xxhash64("other"), F.greatest(F.ceil(F.col("queries") / QUERY_ROWS), F.lit(1)))
+    tasks = written(asked.drop("queries").join(small_side(many), "group").select(
         "group", "other", F.xxhash64("group", share).alias("task")), "tasks")
 
     # whole sets of the documents whose group meets another, from their texts
     met = tasks.select("group").unionByName(tasks.select(F.col("other").alias("group"))).distinct()
     wanted = grouped.join(met, "group").select(F.col("least_id").alias("id"), "name", "node", "group", "copies")
-    found = slim.where("id IS NOT NULL").join(wanted, "id")
+    wanted = written(wanted.where("id IS NOT NULL"), "wanted")
+    found = slim.join(small_side(wanted), "id")
     sets = found.select("node", "group", "copies", "name", "text").mapInArrow(
         _sets(words), "node bigint, group bigint, copies bigint, tokens binary")
-    sets = written(sets, "sets")
     # a member is wanted once for a task, a query for each task its group is asked in
     member = tasks.groupBy("task", "group").agg(
         F.max(F.when(F.col("group") == F.col("other"), 2).otherwise(0)).alias("role"))
     asked = tasks.where("group <> other").select("task", F.col("other").alias("group"), F.lit(1).alias("role"))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     calls = written(member.unionByName(asked), "calls")
-    met_rows = sets.join(calls, "group").select("task", "node", "role", "copies", "tokens")
+    met_rows = sets.join(small_side(calls), "group").select("task", "node", "role", "copies", "tokens")
     links = written(met_rows.repartition(parts, "task").sortWithinPartitions("task", "node").mapInArrow(
         _open_groups(percent), "node bigint, root bigint, links bigint"), "links")
 
