@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +62,9 @@ def sql_sort_unprojected(t: Tables) -> DataFrame:
 @query("""SELECT atividade AS "Atividade", count(*) AS n, round(sum(lucro), 2) AS lucro FROM fact GROUP BY 1""", "fact")
 def sql_named_view(t: Tables) -> DataFrame:
     accented = {"Lucro_Liquido": "Lucro_Líquido", "Patrimonio_Liquido": "Patrimônio_Líquido"}
-    summary_view(summary(t).withColumnsRenamed(accented), "finmart_resumo")
-    return t.spark.sql("SELECT Atividade, count(*) AS n, round(sum(Lucro_Liquido), 2) AS lucro FROM finmart_resumo GROUP BY Atividade")
+    name = f"finmart_resumo_{uuid.uuid4().hex}"
+    summary_view(summary(t).withColumnsRenamed(accented), name)
+    return t.spark.sql(f"SELECT Atividade, count(*) AS n, round(sum(Lucro_Liquido), 2) AS lucro FROM {name} GROUP BY Atividade")
 
 
 SUMS = ["soma_lucro", "soma_ativo", "soma_cart"]
@@ -253,9 +256,9 @@ def boxplot_outliers(t: Tables) -> DataFrame:
     return ops.box_outliers(_box_input(t), "m", ["mes"])
 
 
-@query("SELECT CAST(sum(trunc(value)) AS BIGINT) AS soma FROM events")
+@query("SELECT CAST(sum(trunc(value * 100000000)) AS BIGINT) AS soma FROM events")
 def sum_of_cast(t: Tables) -> DataFrame:
-    return ops.whole_sum(t.events.withColumn("texto", F.col("value").cast("string")), "texto", "soma")
+    return ops.whole_sum(t.events.withColumn("texto", (F.col("value") * 100000000).cast("string")), "texto", "soma")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")

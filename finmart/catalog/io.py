@@ -13,7 +13,7 @@ from finmart.operators.columns import quoted
 from finmart.plans.publish import ingest_documents, load_originals
 from finmart.session import new_folder
 from finmart.sources import files, sinks
-from finmart.sources.envelope import envelope, open_envelopes
+from finmart.sources.envelope import envelope, open_envelopes, unreadable_envelopes
 from finmart.sources.layouts import strings
 from finmart.sources.odata import PeriodService
 from finmart.sources.sheets import shape_sheet, workbook_cells
@@ -268,4 +268,16 @@ def stream_ingest(t: Tables) -> DataFrame:
     _events(t).where(~early).write.mode("append").json(drop)
     ingest_new(landed_files(t.spark, drop, EVENTS), table, checkpoint)  # only the new files
     ingest_new(landed_files(t.spark, drop, EVENTS), table, checkpoint)  # nothing new
-    return ingested(t.spark, table, EVENTS).drop("lote")
+    return ingested(t.spark, table, EVENTS).drop("fonte", "lote")
+
+
+@query("""SELECT 'ilegivel' AS tipo, count(*) AS n FROM events WHERE event_id % 7 = 0
+          UNION ALL SELECT 'registro', count(*) FROM events WHERE event_id % 7 <> 0""")
+def json_rejects(t: Tables) -> DataFrame:
+    """Every seventh document breaks off."""
+    whole = envelope(F.struct(F.col("event_id").cast("string").alias("valor"), F.col("event_type").alias("usuario")))
+    documents = t.events.select("event_id", whole.alias("document")).select(
+        F.when(F.col("event_id") % 7 == 0, F.expr("left(document, length(document) - 4)")).otherwise(F.col("document")).alias("document"))
+    count = F.count(F.lit(1)).alias("n")
+    broken = unreadable_envelopes(documents, "document", RECORD).agg(count).select(F.lit("ilegivel").alias("tipo"), "n")
+    return broken.unionByName(open_envelopes(documents, "document", RECORD).agg(count).select(F.lit("registro").alias("tipo"), "n"))

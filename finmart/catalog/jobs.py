@@ -50,8 +50,8 @@ def job_credit_extract(t: Tables) -> DataFrame:
 
 
 @query(f"""SELECT {K}, n.inst AS "NomeInstituicao", CAST(last_day(dt) AS VARCHAR) AS "Periodo",
-                  CAST(trunc(cart) AS INTEGER) AS "Qtd_de_operacoes_ativas",
-                  CAST(trunc(lucro) AS INTEGER) AS "Qtd_de_clientes_com_operacoes_ativas", r.seg AS "SegmentoTb"
+                  CAST(trunc(cart) AS BIGINT) AS "Qtd_de_operacoes_ativas",
+                  CAST(trunc(lucro) AS BIGINT) AS "Qtd_de_clientes_com_operacoes_ativas", r.seg AS "SegmentoTb"
            FROM nfact n LEFT JOIN regp r ON n.cod = r.cod
            WHERE trunc(cart) <> 0 AND trunc(lucro) <> 0 AND n.inst IS NOT NULL""", "nfact", "regp")
 def job_credit_clean(t: Tables) -> DataFrame:

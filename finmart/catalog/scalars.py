@@ -22,11 +22,11 @@ def ptbr_number(t: Tables) -> DataFrame:
     return t.lineitem.withColumn("texto", text).select(*KEYS, numbers.ptbr_number("texto").alias("valor"))
 
 
-@query("""SELECT o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS inteiro, CAST(o_custkey AS VARCHAR) AS texto,
-                 CAST(NULL AS INTEGER) AS ruim FROM orders""")
+@query("""SELECT o_orderkey, CAST(trunc(o_totalprice * 100000) AS BIGINT) AS inteiro, CAST(o_custkey AS VARCHAR) AS texto,
+                 CAST(NULL AS BIGINT) AS ruim FROM orders""")
 def cast_types(t: Tables) -> DataFrame:
     return t.orders.select(
-        "o_orderkey", numbers.whole_number(_text(F.col("o_totalprice"))).alias("inteiro"),
+        "o_orderkey", numbers.whole_number(_text(F.col("o_totalprice") * 100000)).alias("inteiro"),
         _text(F.col("o_custkey")).alias("texto"), numbers.whole_number("o_orderpriority").alias("ruim"))
 
 
@@ -63,10 +63,11 @@ def date_from_parts(t: Tables) -> DataFrame:
 
 
 @query("""SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS data,
-                 CAST(NULL AS VARCHAR) AS ruim FROM orders""")
+                 CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS hora, CAST(NULL AS VARCHAR) AS ruim FROM orders""")
 def parse_iso_date(t: Tables) -> DataFrame:
     raw = t.orders.withColumn("texto", F.date_format("o_orderdate", "yyyy-MM-dd"))
     return raw.select("o_orderkey", _text(dates.iso_date("texto")).alias("data"),
+                      _text(dates.iso_date(F.date_format("o_orderdate", "yyyy-MM-dd 22:30:15"))).alias("hora"),
                       _text(dates.iso_date("o_orderpriority")).alias("ruim"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -38,7 +38,10 @@ def date_from_parts(year, month, day) -> Column:
 
 
 def iso_date(c) -> Column:
-    return F.try_to_date(_c(c).cast("string"), "yyyy-MM-dd")
+    """A date, a timestamp, or the text of either to its day; other text gives NULL."""
+    text = _c(c).cast("string")
+    return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"),
+                      F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d"), text.try_cast("timestamp_ntz").cast("date")))
 
 
 def month_slash_year(c) -> Column:
@@ -112,8 +115,3 @@ def period_spine(df: DataFrame, date_column: str, months: int = 3, name: str = "
     step = F.expr(f"interval {months} month")
     return span.select(F.explode(F.sequence("lo", "hi", step)).alias("d")).select(
         F.date_format(F.last_day("d"), "yyyyMM").alias(name))
-
-
-def periods_frame(spark: SparkSession, start: str, end: str, months: int = 3) -> DataFrame:
-    """:func:`period_list` as a one-column frame, for joining a registry to its listing periods."""
-    return spark.createDataFrame([(p,) for p in period_list(start, end, months)], "AnoMes string")

@@ -35,17 +35,18 @@ def to_number(c) -> Column:
 
 
 def whole_number(c) -> Column:
-    """Integer part as int: text, ``'12.7'`` included, and doubles are cut toward zero.
+    """Integer part as long: text, ``'12.7'`` included, and doubles are cut toward zero, digit by digit.
 
-    Out-of-range numbers, NaN and non-numbers give NULL.
+    NaN, non-numbers and what no long can hold give NULL.
     """
-    return F.trim(_c(c).cast("string")).try_cast("double").try_cast("int")
+    return F.trim(_c(c).cast("string")).try_cast("decimal(38,18)").try_cast("long")
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
-    """One missing value: NaN in any float column becomes NULL."""
-    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
-    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floats})
+    """One missing value and one zero: in any float column NaN becomes NULL, and -0.0 becomes 0.0."""
+    floats = [f for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    own = {f.name: F.col(f"`{f.name}`") for f in floats}
+    return df.withColumns({f.name: F.when(~F.isnan(own[f.name]), own[f.name] + F.lit(0).cast(f.dataType)) for f in floats})
 
 
 def round_columns(df: DataFrame, columns: list[str], places: int = 2) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finmart.functions.numbers import whole_number
+from finmart.functions.numbers import nan_to_null, whole_number
 from finmart.operators.columns import numeric_columns, quoted
 from finmart.operators.joins import lookup
 from finmart.operators.ordering import quantiles
@@ -55,7 +55,7 @@ def describe(df: DataFrame, measure: str, keys: list[str], in_task: int = IN_TAS
 
     One aggregate while the exact quartiles may be built in tasks; beyond that they come from :func:`quantiles`.
     """
-    present = df.select(*(quoted(k) for k in keys), quoted(measure).alias("_m"))
+    present = _tidy(df.select(*(quoted(k) for k in keys), quoted(measure).alias("_m")))
     for k in keys:
         present = present.where(quoted(k).isNotNull())
     if fits_task(present, in_task):
@@ -66,6 +66,12 @@ def describe(df: DataFrame, measure: str, keys: list[str], in_task: int = IN_TAS
     return present.groupBy(*keys).agg(*_moments("_m")).join(points, keys, "left")
 
 
+def _tidy(rows: DataFrame) -> DataFrame:
+    """The measure column ``_m`` with NaN as NULL; the keys stay as they are."""
+    kind = rows.schema["_m"].dataType.typeName()
+    return rows.withColumn("_m", F.when(~F.isnan("_m"), F.col("_m"))) if kind in ("double", "float") else rows
+
+
 def mean_median(df: DataFrame, key: str, measure: str, in_task: int = IN_TASK_ROWS) -> DataFrame:
     return describe(df, measure, [key], in_task).select(key, "media", "mediana")
 
@@ -84,7 +90,8 @@ def numbers_to_rows(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def texts_to_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     """(coluna, valor) rows of any columns, as text."""
-    wide = df.select(*(quoted(c).cast("string").alias(c) for c in columns))
+    tidy = nan_to_null(df.select(*(quoted(c) for c in columns)))
+    wide = tidy.select(*(quoted(c).cast("string").alias(c) for c in columns))
     return wide.unpivot([], [quoted(c) for c in columns], "coluna", "valor")
 
 
@@ -98,6 +105,7 @@ def describe_columns(df: DataFrame) -> DataFrame:
 
     Minimum and maximum are text (numbers by value, not by spelling); one pass over the data.
     """
+    df = nan_to_null(df)
     numeric = set(numeric_columns(df))
     aggs = []
     for c in df.columns:
@@ -121,6 +129,7 @@ def top_values(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def describe_all(df: DataFrame, **options) -> DataFrame:
     """Every column: count, distinct, most frequent and, for numbers, the :func:`describe` statistics."""
+    df = nan_to_null(df)
     counts = df.agg(F.array(*(F.struct(F.lit(c).alias("coluna"), F.count(quoted(c)).alias("n")) for c in df.columns))
                     .alias("_all")).selectExpr("inline(_all)")
     # every side holds one row per column
@@ -131,7 +140,7 @@ def describe_all(df: DataFrame, **options) -> DataFrame:
 def describe_boxes(df: DataFrame, measure: str, keys: list[str], whisker: float = 1.5, **options) -> DataFrame:
     """:func:`describe` per key, with the whisker ends and how many rows lie beyond the fences (``fora``)."""
     stats = _with_fences(describe(df, measure, keys, **options), whisker)
-    rows = df.where(quoted(measure).isNotNull()).select(*(quoted(k) for k in keys), quoted(measure).alias("_m"))
+    rows = _tidy(df.select(*(quoted(k) for k in keys), quoted(measure).alias("_m"))).where("_m IS NOT NULL")
     fences = stats.select(*keys, "cerca_inf", "cerca_sup")
     inside = F.col("_m").between(F.col("cerca_inf"), F.col("cerca_sup"))
     ends = lookup(rows, fences, keys, "inner").groupBy(*keys).agg(
@@ -150,7 +159,8 @@ def box_stats(df: DataFrame, measure: str, keys: list[str], whisker: float = 1.5
 
 def box_outliers(df: DataFrame, measure: str, keys: list[str], whisker: float = 1.5, **options) -> DataFrame:
     """The rows beyond the fences, with all their columns."""
-    rows = df.where(quoted(measure).isNotNull()).withColumn("_all", F.lit(0))
+    # NaN is missing here too, and sorts after every number
+    rows = df.where(quoted(measure).cast("double") <= float("inf")).withColumn("_all", F.lit(0))
     group = keys or ["_all"]
     points = quantiles(rows, measure, QUARTILES, group, QUARTILE_NAMES, **options)
     fences = _with_fences(points, whisker).select(*group, "cerca_inf", "cerca_sup")

@@ -57,13 +57,15 @@ def drop_header_rows(df: DataFrame, column: str) -> DataFrame:
 
 
 def fill(df: DataFrame, values: dict) -> DataFrame:
-    """NULL to a value, per column; a text value for a numeric column (or the reverse) is refused."""
+    """NULL and NaN to a value, per column; a text value for a numeric column (or the reverse) is refused."""
     types = dict(df.dtypes)
     for column, value in values.items():
         is_text = types[column] == "string"
         if isinstance(value, str) != is_text:
             raise TypeError(f"cannot fill {types[column]} column {column} with {value!r}")
-    return df.withColumns({c: F.coalesce(quoted(c), F.lit(v)) for c, v in values.items()})
+    floats = [c for c in values if types[c] in ("double", "float")]
+    present = {c: F.when(~F.isnan(quoted(c)), quoted(c)) if c in floats else quoted(c) for c in values}
+    return df.withColumns({c: F.coalesce(present[c], F.lit(v)) for c, v in values.items()})
 
 
 def fill_all(df: DataFrame, value) -> DataFrame:
@@ -78,8 +80,11 @@ def replace_exact(df: DataFrame, values: dict[str, str], columns: list[str]) ->
 
 def canonicalise(df: DataFrame, column: str, mapping: DataFrame, variant: str = "variant",
                  canonical: str = "canonical") -> DataFrame:
-    """Replace listed variants by their canonical value, from a mapping table of any length."""
-    names = mapping.select(F.col(variant).alias("_variant"), F.col(canonical).alias("_canonical"))
+    """Replace listed variants by their canonical value, from a mapping table of any length.
+
+    A variant listed more than once takes the smallest of its canonical values.
+    """
+    names = mapping.groupBy(F.col(variant).alias("_variant")).agg(F.min(canonical).alias("_canonical"))
     keyed = df.withColumn("_variant", quoted(column))
     joined = lookup(keyed, names, ["_variant"], "left")
     return joined.withColumn(column, F.coalesce("_canonical", quoted(column))).drop("_variant", "_canonical")

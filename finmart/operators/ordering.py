@@ -51,8 +51,9 @@ def row_at(df: DataFrame, order: list[Column], position: int, direct: int = 10_0
 
 
 def tail(df: DataFrame, order: list[tuple[str, bool]], n: int = 5) -> DataFrame:
-    """The last ``n`` rows of an order given as (column, ascending)."""
-    return df.orderBy(*(F.desc_nulls_first(c) if asc else F.asc_nulls_last(c) for c, asc in order)).limit(n)
+    """The last ``n`` rows of an order given as (column, ascending), in that order."""
+    last = df.orderBy(*(F.desc_nulls_last(c) if asc else F.asc_nulls_first(c) for c, asc in order)).limit(n)
+    return last.orderBy(*(F.asc_nulls_first(c) if asc else F.desc_nulls_last(c) for c, asc in order))
 
 
 def top(df: DataFrame, order: list[Column], n: int) -> DataFrame:

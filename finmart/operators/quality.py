@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finmart.functions.numbers import nan_to_null
 from finmart.operators.aggregate import QUARTILE_NAMES, describe_numeric, texts_to_rows, top_values
 from finmart.operators.columns import numeric_columns, quoted
 
@@ -15,12 +16,14 @@ COPIES_PER_RUN = 10_000
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """One row: the NULLs of every column."""
+    """One row: the NULLs of every column; NaN counts as NULL."""
+    df = nan_to_null(df)
     return df.agg(*(F.count_if(quoted(c).isNull()).alias(c) for c in df.columns))
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """(coluna, nulos, preenchidos, proporcao) for every column, in one pass."""
+    """(coluna, nulos, preenchidos, proporcao) for every column, in one pass; NaN counts as NULL."""
+    df = nan_to_null(df)
     cells = [F.struct(F.lit(c).alias("coluna"), F.count_if(quoted(c).isNull()).alias("nulos"),
                       F.count(quoted(c)).alias("preenchidos"),
                       F.avg(quoted(c).isNull().cast("double")).alias("proporcao")) for c in df.columns]
@@ -71,6 +74,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 def column_profile(df: DataFrame, **options) -> DataFrame:
     """One row per column: type, filled, missing, distinct, most frequent value, numbers' statistics and zeros."""
+    df = nan_to_null(df)
     numeric = set(numeric_columns(df))
     cells = [F.struct(
         F.lit(n).alias("coluna"), F.lit(t).alias("tipo"), F.count(quoted(n)).alias("preenchidos"),

@@ -53,7 +53,7 @@ def measured_bytes(df: DataFrame) -> int:
     width = F.lit(16)
     for field in df.schema.fields:
         name = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.StringType):
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + 16 + F.coalesce(F.octet_length(name), F.lit(0))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             width = width + 16 + 2 * F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))

@@ -6,10 +6,11 @@
          .option("periods", "201903,201906").load()
 
 Options: ``url`` template with ``{period}``, ``{columns}`` and, for paged services, ``{page}``;
-``periods`` comma list; ``pages`` pages per period (default 1); ``payload`` ``csv`` or ``json``
+``periods`` comma list; ``pages`` pages per period that are asked for in parallel (default 1); ``payload`` ``csv`` or ``json``
 (an envelope); ``period_column`` (default ``AnoMes``); ``missing`` ``empty`` takes an absent file or folder for
-an empty page (default ``error``). Each (period, page) is one partition, so requests run
-on the executors in parallel. Name only the periods wanted: that is what saves requests. Filters are not taken over
+an empty page (default ``error``); ``timeout`` seconds per request (default 60); ``retries`` (default 3). Each (period,
+page) is one partition, so requests run on the executors in parallel. ``pages`` is no limit: the partition of the last
+page goes on until a page is empty or absent, and a JSON page's next link is followed. Name only the periods wanted: that is what saves requests. Filters are not taken over
 from Spark, because Spark 4.1 keeps a Python source's pushed filters for later uses of the same frame, which would
 lose rows there.
 """
@@ -19,21 +20,42 @@ from __future__ import annotations
 import contextlib
 import csv
 import io
+import itertools
 import json
 import sys
+import time
+import urllib.error
 import urllib.request
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, urljoin
 
 from pyspark import cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 
-def open_uri(uri: str, missing_is_empty: bool = False) -> Iterator:
+def _request(uri: str, timeout: float, retries: int):
+    """An open answer; a refused or broken request is tried again after a growing pause, a missing page is not."""
+    for attempt in range(retries + 1):
+        try:
+            return urllib.request.urlopen(uri, timeout=timeout)
+        except urllib.error.HTTPError as e:
+            if e.code < 500 and e.code != 429 or attempt == retries:
+                raise
+        except OSError:
+            if attempt == retries:
+                raise
+        time.sleep(min(30, 2 ** attempt))
+
+
+def open_uri(uri: str, missing_is_empty: bool = False, timeout: float = 60, retries: int = 3) -> Iterator:
     """Readable binary streams: one for http(s); for any file system Arrow knows, the file or the folder's files."""
     if uri.startswith(("http://", "https://")):
-        yield urllib.request.urlopen(uri)
+        try:
+            yield _request(uri, timeout, retries)
+        except urllib.error.HTTPError as e:
+            if e.code != 404 or not missing_is_empty:
+                raise
         return
     from pyarrow import fs
 
@@ -76,6 +98,7 @@ class PeriodReader(DataSourceReader):
         self.pages = int(options.get("pages", 1))
         self.payload = options.get("payload", "csv")
         self.missing_is_empty = options.get("missing", "error") == "empty"
+        self.timeout, self.retries = float(options.get("timeout", 60)), int(options.get("retries", 3))
         self.period_column = options.get("period_column", "AnoMes")
 
     def partitions(self):
@@ -83,17 +106,32 @@ class PeriodReader(DataSourceReader):
 
     def read(self, partition: Request) -> Iterator[tuple]:
         fields = [n for n in self.names if n != self.period_column]
-        uri = self.url.format(period=partition.period, page=partition.page, columns=quote(",".join(fields)))
-        for stream in open_uri(uri, self.missing_is_empty):
+        for page in itertools.count(partition.page):
+            uri = self.url.format(period=partition.period, page=page, columns=quote(",".join(fields)))
+            told = 0
+            # a page beyond the ones asked for may be absent
+            for record in self._page(uri, self.missing_is_empty or page >= self.pages):
+                # a service that echoes the period keeps its own value
+                record.setdefault(self.period_column, partition.period)
+                told += 1
+                yield tuple(self._text(record.get(n)) for n in self.names)
+            if page + 1 < self.pages or not told or "{page}" not in self.url:
+                return
+
+    def _page(self, uri: str, missing_is_empty: bool):
+        links: list[str] = []
+        for stream in open_uri(uri, missing_is_empty, self.timeout, self.retries):
             with contextlib.closing(stream) as raw:
-                for record in self._records(raw):
-                    # a service that echoes the period keeps its own value
-                    record.setdefault(self.period_column, partition.period)
-                    yield tuple(self._text(record.get(n)) for n in self.names)
+                yield from self._records(raw, links)
+        for link in links:
+            yield from self._page(urljoin(uri, link), missing_is_empty)
 
-    def _records(self, raw):
+    def _records(self, raw, links: list[str]):
         if self.payload == "json":
-            yield from json.loads(raw.read())["value"]
+            document = json.loads(raw.read())
+            yield from document["value"]
+            if document.get("@odata.nextLink"):
+                links.append(document["@odata.nextLink"])
         else:
             yield from csv.DictReader(io.TextIOWrapper(raw, encoding="utf-8", newline=""))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH = "lote"
+SOURCE = "fonte"
 
 
 def landed_files(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 1000,
@@ -19,12 +22,16 @@ def landed_files(spark: SparkSession, folder: str, schema: T.StructType, files_p
 def ingest_new(stream: DataFrame, table: str, checkpoint: str) -> int:
     """Append everything that has landed since the last run, then stop; the number of batches run.
 
-    A batch owns its folder ``lote=<id>`` and replaces it, so a batch replayed after a crash leaves no copies.
+    A batch owns its folder ``fonte=<id of the checkpoint>/lote=<id>`` and replaces it, so a batch replayed after a crash
+    leaves no copies, and a new checkpoint, whose batches are numbered from 0 again, replaces nothing.
     """
     stored: set[int] = set()
 
+    def source(spark: SparkSession) -> str:
+        return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{table}/{SOURCE}={source(batch.sparkSession)}/{BATCH}={batch_id}")
         stored.add(batch_id)
 
     query = (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
@@ -34,9 +41,9 @@ def ingest_new(stream: DataFrame, table: str, checkpoint: str) -> int:
 
 
 def ingested(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-    declared = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    declared = T.StructType([*schema.fields, T.StructField(SOURCE, T.StringType()), T.StructField(BATCH, T.LongType())])
     return spark.read.schema(declared).parquet(table)
 
 
 def batches(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-    return ingested(spark, table, schema).groupBy(BATCH).agg(F.count(F.lit(1)).alias("linhas"))
+    return ingested(spark, table, schema).groupBy(SOURCE, BATCH).agg(F.count(F.lit(1)).alias("linhas"))

@@ -19,7 +19,7 @@ def test_numbers(spark):
     texts = ["1.234.567,89", " 12 ", "-1,5", "abc", "", None]
     assert column(spark, texts, "string", numbers.ptbr_number("x")) == [1234567.89, 12.0, -1.5, None, None, None]
     assert column(spark, ["1.234", "7", "x"], "string", numbers.ptbr_integer("x")) == [1234, 7, None]
-    assert column(spark, ["12.7", "-12.7", "abc", "3000000000", None], "string", numbers.whole_number("x")) == [12, -12, None, None, None]
+    assert column(spark, ["12.7", "-12.7", "abc", "3000000000", None], "string", numbers.whole_number("x")) == [12, -12, None, 3000000000, None]
     assert column(spark, [2.7, float("nan"), None], "double", numbers.whole_number("x")) == [2, None, None]
     assert column(spark, ["1,5", "2.5", "-"], "string", numbers.comma_number("x")) == [1.5, 2.5, None]
 

@@ -121,6 +121,14 @@ def test_period_service(spark, service):
     assert tuple(df.where("AnoMes = '201906' AND CodInst = '1'").first()) == ("201906", "1", "Banco 201906", None)
 
 
+def test_pages_beyond_the_stated_number_are_read(spark, service, folder):
+    schema = layouts.strings("AnoMes", "CodInst", "NomeInstituicao")
+    spark.dataSource.register(PeriodService)
+    write(folder, "201903/2.csv", "CodInst,NomeInstituicao\n2,Banco novo\n")
+    reader = spark.read.format("period_service").schema(schema).options(url=service, periods="201903,201906")
+    assert reader.load().count() == 5
+
+
 def test_only_named_periods_are_requested(spark, service):
     schema = layouts.strings("AnoMes", "CodInst")
     spark.dataSource.register(PeriodService)
