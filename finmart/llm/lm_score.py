@@ -176,13 +176,15 @@ def _class_step(shared):
     return run
 
 
-def _train_classes(cells: DataFrame, steps: int, penalty: float) -> tuple[Weights, list[float]]:
+def _train_classes(cells: DataFrame, vocabulary: Vocabulary, steps: int, penalty: float) -> tuple[Weights, list[float]]:
     """Full-gradient updates: each weight moves by its gradient over its expected count."""
     context = cells.sparkSession.sparkContext
     # whole contexts in a task: a context's outcomes are neighbours in the sorted cells
     spread = written(cells.repartition(STEP_TASKS, F.floor(F.col("cell") / (CLASSES + 1))).sortWithinPartitions("cell"), "contexts")
     spread = spread.select("cell", "n")
     weights, losses = Weights(), []
+    # a class without words, as a small vocabulary leaves some, gets no share
+    weights.rows[0, np.setdiff1d(np.arange(CLASSES), vocabulary.class_of)] = -60.0
     for _ in range(steps):
         shared = context.broadcast(weights.rows)
         told = spread.mapInArrow(_class_step(shared), "observed binary, expected binary, loss double").collect()
@@ -315,7 +317,7 @@ def train(slim: DataFrame, vocabulary_size: int = VOCABULARY, steps: int = 14, p
     shared = spark.sparkContext.broadcast(vocabulary)
     cells = written(slim.mapInArrow(_cells(shared), "kind int, cell bigint, n bigint").groupBy("kind", "cell").agg(
         F.sum("n").alias("n")), "cells")
-    weights, losses = _train_classes(cells.where("kind = 0"), steps, penalty)
+    weights, losses = _train_classes(cells.where("kind = 0"), vocabulary, steps, penalty)
     pairs = cells.where("kind = 1").select("cell", "n")
     rows = {}
     if vocabulary.rare:
