@@ -144,8 +144,10 @@ def write_tokens(df: DataFrame, folder: str | None = None, id_col: str = "doc_id
     width = 2 if Encoder(tokenizer, path).plain.get_vocab_size() <= 1 << 16 else 4
     slim = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     ids = written(slim.mapInArrow(_encoded(tokenizer, path, end, width), "id bigint, n bigint, ids binary"), "ids")
-    # fixed by a hash of the content, whatever the partitioning
-    sample = ids.where(F.col("n") <= SAMPLE_IDS).orderBy(F.xxhash64("ids"), "ids").limit(SAMPLE_DOCUMENTS)
+    # the documents of the smallest content hashes, whatever the partitioning; only hashes are compared over all
+    short = ids.where(F.col("n") <= SAMPLE_IDS).select(F.xxhash64("ids").alias("h"), "ids")
+    last = short.select("h").distinct().orderBy("h").limit(SAMPLE_DOCUMENTS).agg(F.max("h").alias("h")).first()["h"]
+    sample = short.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.min("ids").alias("ids")).orderBy("h")
     dictionary = train_dictionary([r["ids"] for r in sample.select("ids").collect()])
     sha = hashlib.sha256(dictionary).hexdigest()
     fs, base = _open(folder)
