@@ -114,7 +114,11 @@ def _unit_rows(dim: int):
 
 
 def _block_links(threshold: float, dim: int, signs: np.ndarray, width: int, probes: int):
-    """Links inside one block, each told once over all tables: by the first table in which the two meet."""
+    """Links inside one block, each counted once over all tables: by the first table in which the two meet.
+
+    A block tells one row per node that has a link in it: the vectors linked there, copies included, and the smallest
+    node that these links reach. Its output grows with its rows, not with its pairs.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, "block"):
             lies = np.flatnonzero(group.column("lies").to_numpy())
@@ -123,6 +127,7 @@ def _block_links(threshold: float, dim: int, signs: np.ndarray, width: int, prob
                 continue
             asks = group.column("asks").to_numpy()
             node = group.column("node").to_numpy()
+            copies = group.column("copies").to_numpy()
             unit = np.frombuffer(b"".join(group.column("unit").to_pylist()), np.float64).reshape(len(node), dim)
             slot = group.column("slot")[0].as_py()
             q, d = np.nonzero(unit[goes] @ unit[lies].T >= threshold)
@@ -140,20 +145,43 @@ def _block_links(threshold: float, dim: int, signs: np.ndarray, width: int, prob
             here_one, here_two = one[:, slot], two[:, slot]
             mutual = (here_one == here_two[:, :1]).any(1) & (here_two == here_one[:, :1]).any(1)
             first = (meet.argmax(1) == slot) & (~mutual | (node[q] > node[d]))
-            if first.any():
-                yield pa.RecordBatch.from_arrays([pa.array(node[q[first]]), pa.array(node[d[first]])], names=["a", "b"])
+            if not first.any():
+                continue
+            q, d = q[first], d[first]
+            names, place = np.unique(np.concatenate([node[q], node[d]]), return_inverse=True)
+            one, two = place[:len(q)], place[len(q):]
+            others = np.zeros(len(names), np.int64)
+            np.add.at(others, one, copies[d])
+            np.add.at(others, two, copies[q])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names), pa.array(names[_least_reached(one, two, len(names))]), pa.array(others)],
+                names=["node", "root", "others"])
     return run
 
 
+def _least_reached(one: np.ndarray, two: np.ndarray, n: int) -> np.ndarray:
+    """The smallest place that each of ``n`` places reaches over the links."""
+    root = np.arange(n)
+    while True:
+        least = root.copy()
+        np.minimum.at(least, one, root[two])
+        np.minimum.at(least, two, root[one])
+        least = least[least]
+        if (least == root).all():
+            return root
+        root = least
+
+
 def link_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95,
                  tables: int = 10, probes: int = 2, seed: int = 7) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, classes, links): all rows, their distinct directions, and the links between different directions.
+    """(rows, classes, links): all rows, their distinct directions, and what each block tells of the links between them.
 
     ``rows`` has ``vec_id`` and ``unit`` (raw doubles; NULL where the vector is NULL, zero, empty, of another length
     than most, or holds a NULL or a non-finite component: such rows are in no class). ``classes`` has ``unit``, ``node``,
-    ``least`` (smallest id) and ``copies``; ``links`` has each pair of nodes once. Equal directions are one class before
-    any bucket is made, so copies cost nothing; a full bucket is cut into a grid of blocks, so none is one task's work
-    and no pair in it is lost.
+    ``least`` (smallest id) and ``copies``; ``links`` has ``node``, ``root`` (a node that it reaches) and ``others`` (vectors
+    linked directly, copies included; each link is in one block's sum). Equal directions are one class before any bucket
+    is made, so copies cost nothing; a full bucket is cut into a grid of blocks, so none is one task's work and no pair
+    in it is lost.
     """
     spark = df.sparkSession
     values = F.col(f"`{vector_col}`").cast("array<double>")
@@ -197,8 +225,8 @@ def link_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     grid = small.unionByName(going).unionByName(lying).select(
         "node", "slot", "asks", "goes", "lies", F.xxhash64("slot", "bucket", "row", "col").alias("block"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = grid.join(classes.select("node", "unit"), "node").repartition(parts, "block").sortWithinPartitions("block")
-    links = blocks.mapInArrow(_block_links(threshold, dim, signs, width, probes), "a long, b long")
+    blocks = grid.join(classes.select("node", "unit", "copies"), "node").repartition(parts, "block").sortWithinPartitions("block")
+    links = blocks.mapInArrow(_block_links(threshold, dim, signs, width, probes), "node long, root long, others long")
     return rows, classes, written(links, "links")
 
 
@@ -211,10 +239,8 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     component gets that component's id, and an empty table gives an empty table. Rows that repeat an id stay rows.
     """
     rows, classes, links = link_vectors(df, id_col, vector_col, threshold, **options)
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = classes.select(F.col("node").alias("b"), F.col("copies").alias("weight"))
-    degree = both.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("others"))
-    found = components(links).join(classes.select("node", "least"), "node")
+    degree = links.groupBy("node").agg(F.sum("others").alias("others"))
+    found = components(links.select("node", "root")).join(classes.select("node", "least"), "node")
     roots = found.groupBy("root").agg(F.min("least").alias("component_id"))
     named = found.select("node", "root").join(roots, "root").select("node", "component_id")
     told = classes.join(degree, "node", "left").join(named, "node", "left").select(
