@@ -33,6 +33,11 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
 
+def dealt(files: DataFrame, name: str, most: int = 100_000) -> DataFrame:
+    """A stored table of file names, one file to a task: a count given by hand is not joined into fewer tasks by size."""
+    return files.repartitionByRange(max(1, min(files.count(), most)), name)
+
+
 def alnum_words(raw: bytes | None) -> list[bytes]:
     """Lower-cased runs of letters, digits and all non-ASCII characters."""
     return raw.translate(_WORD_TABLE).split() if raw else []

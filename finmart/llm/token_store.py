@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finmart.llm.base import texts
+from finmart.llm.base import dealt, texts
 from finmart.llm.tokens import Encoder
 from finmart.session import new_folder, written
 
@@ -182,8 +182,7 @@ def _read_files(folder: str):
 
 def read_tokens(folder: str, manifest: DataFrame) -> DataFrame:
     """``id``, ``start``, ``n_tokens``, ``ids_crc32`` of every document, decoded from the files."""
-    spread = manifest.select("file", "start").repartition("file")
-    return spread.mapInArrow(_read_files(folder), "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return dealt(manifest.select("file", "start"), "file").mapInArrow(_read_files(folder), "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def read_document(spark, folder: str, doc_id: int) -> list[list[int]]:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.base import texts
+from finmart.llm.base import dealt, texts
 from finmart.session import new_folder, written
 
 Header = list[tuple[str, str]]
@@ -51,7 +51,8 @@ def one_line(text: str) -> str:
 
 
 def head_bytes(fields: Header) -> bytes:
-    return b"WARC/1.1\r\n" + "".join(f"{k}: {one_line(v)}\r\n" for k, v in fields).encode()
+    """A record's head; values that come from outside must have been made one line."""
+    return b"WARC/1.1\r\n" + "".join([f"{k}: {v}\r\n" for k, v in fields]).encode()
 
 
 def head_fields(head: bytes) -> dict[str, str]:
@@ -64,26 +65,31 @@ def response(source_id: int | None, url: str | None, page: bytes, date: str) ->
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(page)}\r\n\r\n".encode()
     block, payload = http + page, digest(page)
     name = record_id("response", source_id, url, payload)
-    fields = [("WARC-Type", "response"), ("WARC-Record-ID", name), ("WARC-Date", date)]
-    fields += [("WARC-Target-URI", url)] if url else []
+    fields = [("WARC-Type", "response"), ("WARC-Record-ID", name), ("WARC-Date", one_line(date))]
+    fields += [("WARC-Target-URI", one_line(url))] if url else []
     fields += [("WARC-Source-ID", str(source_id))] if source_id is not None else []
     fields += [("WARC-Payload-Digest", payload), ("WARC-Block-Digest", digest(block)),
                ("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     return name, head_bytes(fields), block
 
 
+def shown(page: str) -> str:
+    """The page without comments, scripts, styles and templates."""
+    return _HIDDEN.sub("", page)
+
+
 def plain_text(page: str) -> str:
-    """Visible text: a line per block element, blanks in a line joined, empty lines left out."""
-    shown = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub("", page)))
-    lines = (one_line(line) for line in html.unescape(shown).splitlines())
+    """Visible text of a page without hidden parts: a line per block element, blanks in a line joined, no empty lines."""
+    text = _TAG.sub("", _BREAK.sub("\n", page))
+    lines = (one_line(line) for line in html.unescape(text).splitlines())
     return "\n".join(line for line in lines if line)
 
 
 def links(page: str, base: str) -> list[str]:
-    """Distinct addresses that the page's anchors point to, in order, made absolute where that is possible."""
+    """Distinct addresses that the anchors of a page without hidden parts point to, in order, absolute where possible."""
     found = []
-    for groups in _LINK.findall(_HIDDEN.sub("", page)):
-        target = one_line(html.unescape(next((g for g in groups if g), "")))
+    for raw in dict.fromkeys(a or b or c for a, b, c in _LINK.findall(page)):
+        target = one_line(html.unescape(raw))
         try:
             target = urljoin(base, target)
         except ValueError:
@@ -96,14 +102,15 @@ def derived(source: dict[str, str], block: bytes) -> list[tuple[str, str, bytes,
     """(kind, record id, head, block) of the metadata and the conversion record of a response."""
     http, _, payload = block.partition(b"\r\n\r\n")
     page = payload.decode("utf-8", "replace")
+    visible = shown(page)
     name, target = source["WARC-Record-ID"], source.get("WARC-Target-URI", "")
     title = _TITLE.search(page)
     lines = [f"title: {one_line(html.unescape(title[1]))}"] if title else []
     lines += [f"http-{line}" for line in http.decode("utf-8", "replace").split("\r\n") if line]
-    lines += [f"outlink: {link}" for link in links(page, target)]
+    lines += [f"outlink: {link}" for link in links(visible, target)]
     out = []
     for kind, kind_type, body in (("metadata", "application/warc-fields", "\r\n".join([*lines, ""]).encode()),
-                                  ("conversion", "text/plain; charset=utf-8", plain_text(page).encode())):
+                                  ("conversion", "text/plain; charset=utf-8", plain_text(visible).encode())):
         own = record_id(kind, name)
         fields = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", name), ("WARC-Date", source["WARC-Date"])]
         for key in ("WARC-Target-URI", "WARC-Source-ID"):
@@ -194,7 +201,7 @@ def write_warc(records: DataFrame, folder: str | None = None, level: int = 1, fi
     return folder, written(records.select("head", "block").mapInArrow(run, "file string, records bigint, bytes bigint"), "warc-files")
 
 
-def members(file, chunk: int = 1 << 20) -> Iterator[bytes]:
+def members(file, chunk: int = 1 << 16) -> Iterator[bytes]:
     """The gzip members of an open file, one at a time."""
     left = b""
     while left or (left := file.read(chunk)):
@@ -212,7 +219,8 @@ def parsed(member: bytes) -> tuple:
     head, _, rest = member.partition(b"\r\n\r\n")
     fields = head_fields(head + b"\r\n")
     block = rest[:int(fields["Content-Length"])]
-    if rest[len(block):] != b"\r\n\r\n" or fields.get("WARC-Block-Digest", digest(block)) != digest(block):
+    told = fields.get("WARC-Block-Digest")
+    if rest[len(block):] != b"\r\n\r\n" or (told and told != digest(block)):
         raise ValueError(f"record {fields.get('WARC-Record-ID')} is damaged")
     source = fields.get("WARC-Source-ID")
     return (None if source is None else int(source), fields["WARC-Record-ID"], fields["WARC-Type"],
@@ -234,7 +242,7 @@ def read_warc(folder: str, files: DataFrame, batch_bytes: int = 8 << 20) -> Data
                             yield _batch(rows)
                             rows, size = [], 0
                 yield _batch(rows)
-    return files.select("file").repartition("file").mapInArrow(run, RECORD)
+    return dealt(files.select("file"), "file").mapInArrow(run, RECORD)
 
 
 def report(records: DataFrame) -> DataFrame:
