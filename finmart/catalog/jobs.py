@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import cycle
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -257,23 +258,24 @@ def _orders_by_state(t: Tables) -> DataFrame:
 
 _STATE_ORDERS = """SELECT n_name AS uf, CAST(year(o_orderdate) AS INTEGER) AS ano, o_orderpriority AS p, o_totalprice AS v FROM orders
                    JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
-BRANCH_YEARS = {2018: 1997, 2019: 1998, 2020: 1999, 2021: 2000}
 
 
-@query(" UNION ALL ".join(
-    f"""SELECT uf AS "{BRANCH_COLUMNS[0]}", CAST(count(*) AS DOUBLE) AS "{BRANCH_COLUMNS[1]}", """ + ", ".join(
+@query(f"""SELECT uf AS "{BRANCH_COLUMNS[0]}", CAST(count(*) AS DOUBLE) AS "{BRANCH_COLUMNS[1]}", """ + ", ".join(
         f"""CAST(nullif(count(*) FILTER (p = '{p}'), 0) AS DOUBLE) AS "{c}" """ for p, c in zip(PRIORITIES, BRANCH_COLUMNS[2:]))
-    + f", {year} AS ano FROM ({_STATE_ORDERS}) WHERE ano = {source} GROUP BY uf" for year, source in BRANCH_YEARS.items()))
+    + f", ano FROM ({_STATE_ORDERS}) GROUP BY uf, ano")
 def job_branches(t: Tables) -> DataFrame:
     totals = written(_orders_by_state(t).groupBy("uf", "place", F.year("o_orderdate").alias("ano")).agg(
         F.count(F.lit(1)).alias("total"),
         *(F.expr(f"nullif(count_if(o_orderpriority = '{p}'), 0)").alias(f"p{i}") for i, p in enumerate(PRIORITIES))), "totals")
+    # a handful of years; each gets a workbook, the known sheet layouts in turn
+    years = sorted(r["ano"] for r in totals.select("ano").distinct().collect())
+    layouts = dict(zip(years, cycle(BRANCH_LETTERS.values())))
     cells = {}
-    for year, source in BRANCH_YEARS.items():
-        of_year = totals.where(F.col("ano") == source)
-        letters = dict(zip(["uf", "total", *(f"p{i}" for i in range(len(PRIORITIES)))], BRANCH_LETTERS[year]))
+    for year in years:
+        of_year = totals.where(F.col("ano") == year)
+        letters = dict(zip(["uf", "total", *(f"p{i}" for i in range(len(PRIORITIES)))], layouts[year]))
         cells[year] = as_cells(of_year, F.concat(F.lit("quadros-"), "ano"), "place", letters, BRANCH_SKIP, BRANCH_FOOTER)
-    return branch_job.branches(cells)
+    return branch_job.branches(cells, letters=layouts)
 
 
 BUCKETS = ["2018", "2019", "2020"]  # thirds of the month stand for years

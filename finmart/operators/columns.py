@@ -78,7 +78,7 @@ def years_to_rows(df: DataFrame, ids: list[str], prefix: str = "ano_", year: str
     """Wide year columns (``ano_2019`` ...) to one row per id and year."""
     wide = [c for c in df.columns if c.startswith(prefix) and c not in ids]
     long = df.unpivot([quoted(c) for c in ids], [quoted(c) for c in wide], year, value)
-    long = long.withColumn(year, F.substring(year, len(prefix) + 1, 10).cast("int"))
+    long = long.withColumn(year, F.substr(F.col(year), F.lit(len(prefix) + 1)).cast("int"))
     return long if keep_nulls else long.where(F.col(value).isNotNull())
 
 

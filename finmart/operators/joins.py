@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from finmart.operators.columns import quoted
 from finmart.session import BROADCAST_BYTES, fits_broadcast
 
-# A key is hot when it holds more than this share of the rows; so at most 1000 keys are.
+# A key is hot when it holds more than this share of the rows, or a fiftieth of it and more rows than a share should
+# have; so fewer than 50,000 keys are.
 HOT_SHARE = 0.001
+# Shares of a hot key: at least SALTS, and so many that none has to hold more rows than this.
 SALTS = 64
+ROWS_PER_SHARE = 1_000_000
 
 
 def _match(on: list[str], null_safe: bool) -> Column:
@@ -26,9 +29,13 @@ def _pick(side: str, names: list[str]) -> list[Column]:
 
 
 def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of all rows: fewer than ``1/share`` of them, whatever the data."""
+    """Keys with ``_n`` rows, more than ``share`` of all rows, or a fiftieth of it and over ``ROWS_PER_SHARE`` rows.
+
+    Fewer than ``50 / share`` of them, whatever the data.
+    """
     total = df.count()
-    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > share * total).select(*on)
+    least = min(share * total, max(share / 50 * total, ROWS_PER_SHARE))
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > least)
 
 
 def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", null_safe: bool = False,
@@ -36,8 +43,8 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", n
     """Join ``facts`` to ``dim`` on equal keys (``how``: inner, left, left_semi, left_anti).
 
     A ``dim`` measured to fit is broadcast, so the facts do not move. A bigger one is joined by shuffle; the facts
-    of hot keys (NULL counts as one) are then spread over ``salts`` shares and only those keys' ``dim`` rows are
-    copied to every share. ``fits`` states a size check already made. Output: the columns of ``facts``, then the rest of ``dim``.
+    of hot keys (NULL counts as one) are then spread over ``salts`` shares, more where a key's counted rows need
+    them, and only those keys' ``dim`` rows are copied, once to each share of their key. ``fits`` states a size check already made. Output: the columns of ``facts``, then the rest of ``dim``.
     """
     keep = list(facts.columns)
     extra = [c for c in dim.columns if c not in on] if how in ("inner", "left") else []
@@ -45,10 +52,11 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", n
         out = facts.alias("l").join(F.broadcast(dim).alias("r"), _match(on, null_safe), how)
         return out.select(*_pick("l", keep), *_pick("r", extra))
 
-    hot = hot_keys(facts, on).withColumn("_hot", F.lit(True))
+    needed = F.greatest(F.lit(salts), F.ceil(F.col("_n") / ROWS_PER_SHARE)).cast("int")
+    hot = hot_keys(facts, on).select(*on, needed.alias("_hot"))
     # salt by map partition: spreads a hot key, and a rerun of a lost task gives the same salt
-    salt = F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
-    shares = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_hot"))).otherwise(F.lit(0))
+    shares = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.col("_hot") - 1)).otherwise(F.array(F.lit(0)))
     left = _mark_hot(facts, hot, on).withColumn("_salt", salt).alias("l")
     right = _mark_hot(dim, hot, on).withColumn("_salt", F.explode(shares)).alias("r")
     same = _match(on, null_safe) & (F.col("l._salt") == F.col("r._salt"))
@@ -56,7 +64,7 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", n
 
 
 def _mark_hot(df: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
-    """Add ``_hot``. The hot-key table is below ``1/HOT_SHARE`` rows by construction, so it is broadcast."""
+    """Add ``_hot``, a hot key's shares. The table has fewer than ``50/HOT_SHARE`` rows by construction, so it is broadcast."""
     out = df.alias("l").join(F.broadcast(hot).alias("r"), _match(on, True), "left")
     return out.select(*_pick("l", df.columns), F.col("r._hot"))
 
