@@ -15,7 +15,8 @@ from finmart.catalog.columns import YEARS
 from finmart.catalog.io import as_cells, paged, quarter_period
 from finmart.operators.joins import lookup, registry_join
 from finmart.plans import branches as branch_job
-from finmart.plans import cards, channels, credit, income, indebtedness, loans, precatorios, publish, quotes, registry, summary
+from finmart.plans import (
+    cards, channels, credit, income, indebtedness, loans, payments, precatorios, publish, quotes, registry, summary)
 from finmart.plans.fixed_values import BRANCH_COLUMNS, BRANCH_FOOTER, BRANCH_LETTERS, BRANCH_SKIP, INDEBTEDNESS_PERCENTAGES
 from finmart.session import new_folder, spread, written
 from finmart.sources import sinks
@@ -423,3 +424,22 @@ def job_publish_documents(t: Tables) -> DataFrame:
     parts = [t.spark.read.schema(record).json(f"{root}/{name}").select(
         F.lit(name).alias("colecao"), "chave", F.substring("quando", 1, 19).alias("quando")) for name in frames]
     return reduce(DataFrame.unionByName, parts)
+
+
+_PAYMENT = "SELECT '{0}' AS meio, CAST(CAST(ts AS DATE) AS VARCHAR) AS \"Data\", {1} AS \"Quantidade\", value AS \"Total\" FROM events"
+
+
+@query(" UNION ALL ".join(_PAYMENT.format(meio, count) for meio, count in (
+    ("pix", "CAST(user_id AS DOUBLE)"), ("cheque", "CASE WHEN event_id % 5 <> 0 THEN CAST(user_id AS DOUBLE) END"),
+    ("ted", "CAST(user_id AS DOUBLE)"))))
+def job_payments(t: Tables) -> DataFrame:
+    """Events as the three kinds of payment file: timestamps as text in the documents, days in the CSV."""
+    when, total = _text("ts").alias("Data"), F.col("value").alias("Total")
+    count = F.col("user_id").alias("Quantidade")
+    gap = F.when(F.col("event_id") % 5 == 0, "-").otherwise(_text("user_id")).alias("Quantidade")
+    at = {kind: new_folder(t.spark, kind) for kind in ("pix", "cheque", "ted")}
+    t.events.select(envelope(F.struct(when, count, total))).write.text(at["pix"])
+    t.events.select(envelope(F.struct(when, gap, total))).write.text(at["cheque"])
+    t.events.select(F.to_date("ts").alias("Data"), count, total).write.option("header", True).csv(at["ted"])
+    rows = payments.payments_union(t.spark, at["pix"], at["cheque"], at["ted"])
+    return rows.withColumn("Data", _text("Data"))
