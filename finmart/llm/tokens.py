@@ -13,6 +13,8 @@ import types
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # What the byte-level splitter takes as white space.
@@ -25,12 +27,16 @@ _LONG_BLANKS = (b"  ", b"\n ", b"\t ", b"\r ", b"\x0b ", b"\x0c ", b"\xc2\x85",
                 b"\xe2\x81\x9f", b"\xe3\x80\x80")
 # A special token of each vocabulary, which parts chunks that are encoded in one call.
 _MARKS = {"byte_bpe_50k.json": "<|endoftext|>", "word_bpe_49k.json": "<|startoftext|>"}
+# Words of these characters alone, and the parts into which the word vocabulary splits them. The last id of a
+# part carries the suffix.
+_SIMPLE = re.compile(rb"[!-&(-;=-~]+")
+_PARTS, _SUFFIX = "[A-Za-z]+|[0-9]|[^A-Za-z0-9]+", "</w>"
 # Chunks that a worker remembers before it forgets all, about 150 MB; the ids do not depend on it.
 MEMO_CHUNKS = 800_000
 # Longer chunks are not remembered.
 MEMO_BYTES = 64
-# Bytes of text whose chunks are looked up together.
-BLOCK_BYTES = 1_000_000
+# Bytes of text whose chunks are looked up together, and of those whose chunks are words.
+BLOCK_BYTES, WORD_BLOCK_BYTES = 1_000_000, 4_000_000
 
 
 def remembered(name: str) -> dict:
@@ -43,7 +49,9 @@ class Encoder:
     """Ids of whole UTF-8 texts as little-endian 32-bit bytes.
 
     The byte-level vocabulary keeps blanks: its chunks are words with the blank before them, remembered without it in
-    ``after``, and whatever else the general rule gives, in ``memo``. The other drops blanks: its chunks are words.
+    ``after``, and whatever else the general rule gives, in ``memo``. The other drops blanks: its chunks are words, and
+    each distinct word of a block is looked up once. There ``after`` is what ``memo`` was before, so that words seen again
+    outlive the many that are seen once.
     """
 
     def __init__(self, name: str, path: str | None = None):
@@ -54,6 +62,10 @@ class Encoder:
             held["plain"], held["marked"] = Tokenizer.from_file(path), Tokenizer.from_file(path)
             held["plain"].encode_special_tokens = True
             held["memo"], held["after"] = {}, {}
+            vocabulary = held["plain"].get_vocab()
+            held["last"] = np.zeros(1 + max(vocabulary.values()), bool)
+            held["last"][[i for token, i in vocabulary.items() if token.endswith(_SUFFIX)]] = True
+        self.held = held
         self.plain, self.marked, self.memo, self.after = (held[k] for k in ("plain", "marked", "memo", "after"))
         self.mark, self.blanks = _MARKS.get(name), name == "byte_bpe_50k.json"
 
@@ -76,13 +88,54 @@ class Encoder:
                 memo[part] = raw[4 * start:4 * end]
                 start = end + 1
 
+    def _learn_words(self, fresh: set[bytes], memo: dict[bytes, bytes]) -> None:
+        """Remember words: the ids of simple ones are counted off from those of all in a row, the rest go by the mark."""
+        simple = [w for w in fresh if _SIMPLE.fullmatch(w)]
+        if simple:
+            encoded = self.plain.encode_batch_fast([b" ".join(simple).decode()], add_special_tokens=False)
+            ids = np.array(encoded[0].ids, "<u4")
+            parts = np.cumsum(pc.count_substring_regex(pa.array(simple, pa.binary()).cast(pa.string()), _PARTS).to_numpy())
+            ends = np.flatnonzero(self.held["last"][ids]) + 1
+            if len(ends) == parts[-1]:  # else this vocabulary has another rule
+                cuts = [0, *(4 * ends[parts - 1]).tolist()]
+                raw = ids.tobytes()
+                memo.update(zip(simple, (raw[start:end] for start, end in zip(cuts, cuts[1:]))))
+        self._learn({w for w in fresh if w not in memo}, b"", memo)
+
+    def _words(self, texts: list[bytes]) -> list[bytes]:
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        coded = lists.values.dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        if len(self.memo) > MEMO_CHUNKS // 2:
+            self.held["after"], self.held["memo"] = self.memo, {}
+            self.after, self.memo = self.held["after"], self.held["memo"]
+        memo = self.memo
+        memo[b""] = b""  # blanks at an end of a text
+        held = list(map(memo.get, words))
+        missing = [w for w, ids in zip(words, held) if ids is None]
+        memo.update((w, self.after[w]) for w in missing if w in self.after)
+        fresh = {w for w in missing if w not in memo}
+        self._learn_words(fresh, memo)
+        held = [memo[w] if ids is None else ids for w, ids in zip(words, held)]
+        for word in fresh:
+            if len(word) > MEMO_BYTES:
+                del memo[word]
+        size = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        ids, first = np.frombuffer(b"".join(held), "<u4"), np.cumsum(size) - size
+        word = coded.indices.to_numpy()
+        count = size[word]
+        ends = np.cumsum(count)
+        raw = ids[np.repeat(first[word] - ends + count, count) + np.arange(count.sum())].tobytes()
+        cuts = (4 * np.concatenate([[0], ends])[lists.offsets.to_numpy()]).tolist()
+        return [raw[start:end] for start, end in zip(cuts, cuts[1:])]
+
     def _block(self, texts: list[bytes]) -> list[bytes]:
+        if not self.blanks:
+            return self._words(texts)
         heads: list[list[bytes]] = []
         rests: list[list[bytes]] = []
         for text in texts:
-            if not self.blanks:
-                heads.append(text.split())
-            elif any(map(text.__contains__, _LONG_BLANKS)):
+            if any(map(text.__contains__, _LONG_BLANKS)):
                 heads.append([c.encode() for c in _CHUNK.findall(text.decode())])
                 rests.append([])
             else:
@@ -99,7 +152,7 @@ class Encoder:
             for part in fresh:
                 if len(part) > MEMO_BYTES:
                     del memo[part]
-        return list(map(bytes.__add__, *found)) if self.blanks else found[0]
+        return list(map(bytes.__add__, *found))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if self.mark is None:
@@ -108,7 +161,7 @@ class Encoder:
         for text in texts:
             block.append(text)
             size += len(text)
-            if size >= BLOCK_BYTES:
+            if size >= (BLOCK_BYTES if self.blanks else WORD_BLOCK_BYTES):
                 out += self._block(block)
                 block, size = [], 0
         return out + self._block(block) if block else out

@@ -21,6 +21,7 @@ from finmart.llm import (
     quality,
     sharding,
     token_store,
+    tokens,
     warc,
 )
 from finmart.llm.components import components
@@ -408,3 +409,18 @@ def test_token_files(spark, docs, rows, empty, odd, folder):
     assert sorted((r["id"] or -1) for r in token_store.read_tokens(path, manifest).collect()) == [-1, -1, 1, 1, 1, 2]
     path, manifest = token_store.write_tokens(empty)
     assert token_store.read_tokens(path, manifest).count() == 0
+
+
+def test_remembered_ids(monkeypatch):
+    """Ids put together from remembered chunks are those of whole texts, also while a small memory forgets."""
+    monkeypatch.setattr(tokens, "MEMO_CHUNKS", 40)
+    pieces = [" ", "  ", "\t", "\n", "\x0b", "\x1c", "\x85", " ", " ", "a", "B", "é", "漢", "İ", "ß", "a1b2", "Foo.bar",
+              "x--y", "don't", "12,3.4", "<", "_", "\x7f", "\x00", "<|endoftext|>", "<|startoftext|>", "<|", "z" * 70]
+    draw = random.Random(1)
+    raws = ["".join(draw.choices(pieces, k=draw.randrange(30))).encode() for _ in range(1500)] + [b"", b" ", b"a" * 5000]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        encoder = tokens.Encoder(name)
+        whole = encoder.encode_plain(raws)
+        assert [ids for i in range(0, len(raws), 50) for ids in encoder.encode(raws[i:i + 50])] == whole
+        assert encoder.encode(raws) == whole
+    assert tokens.Encoder("word_bpe_49k.json").encode([]) == []
