@@ -23,8 +23,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: the one with the smallest id; rows without an id stay."""
-    found = jaccard_join.similar_documents(docs)
+    """One document of each group of similar ones: the one with the smallest id; rows without an id stay.
+
+    Similar are documents whose five-word shingles have a Jaccard similarity of 0.8 or more. The query op6 has values of
+    its own.
+    """
+    found = jaccard_join.similar_documents(docs, words=5, percent=80)
     extra = found.where("id <> component_id").select(F.col("id").alias("doc_id"))
     return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
 
