@@ -2,16 +2,24 @@
 
 The next token's class is drawn by a softmax over classes whose weights come from four hashed features of the words
 before it: none, the last word (n-gram), the last but one (skip) and both (n-gram). Its word is then drawn by a softmax
-within the class, from the word's own weight and the pair with the last word. Words beyond the vocabulary are one class,
-whose words keep the smoothed shares of all training words there.
+within the class, from the word's own weight and the pair with the last word. Words beyond the vocabulary are one class.
 
 The log-likelihood of such a model depends on the corpus only through how often each outcome follows each hashed
 context. Those counts come from all training texts in one pass; every gradient update then runs over the counts, spread
 over the cluster, and is the exact gradient over the whole corpus.
+
+These shared weights are as many at every size and serve what the commonest words share. On top of them every context of
+exact words that holds a word beyond the OWN commonest has features of its own, one for each outcome seen after it in
+training: classes after the last two words, words of the vocabulary after the last word and a class, and rare words after
+any last word. The shared model is their base measure. They grow with the corpus, so they are never gathered: all tokens
+of a context meet in one bucket, where its features are counted, fitted and used, and the number of buckets follows the
+number of tokens.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.base import WordHashes, blank_words, texts
+from finmart.llm.base import WordHashes, blank_words, mixed, sorted_groups, texts
 from finmart.session import written
 
 VOCABULARY = 4096
@@ -35,6 +43,15 @@ END = b""  # no word is empty
 SMOOTH = 0.1
 # Tokens handled at a time inside a task.
 BLOCK_TOKENS = 500_000
+# Tokens of exact contexts in a bucket, about, and texts whose sums travel together, as a power of two.
+BUCKET_ENTRIES = 1_000_000
+SLICE_BITS = 10
+# A token in an exact context; ``row`` is that of its text, and TRAINS is added for training texts.
+ENTRY = np.dtype([("context", "<u8"), ("row", "<i8"), ("outcome", "<u8"), ("base", "<f4")])
+SUM = np.dtype([("row", "<i8"), ("value", "<f8")])
+RARE = np.dtype([("before", "<u8"), ("text", "<u4")])  # a rare token: the last word, and its text with two flags
+TRAINS = 1 << 62
+TEXT_TRAINS, TEXT_COMMON = 1 << 31, 1 << 30
 # Tasks of an update step; the counts they share are as many at every size of the corpus.
 STEP_TASKS = 8
 
@@ -90,6 +107,89 @@ def _pair(last: np.ndarray, skip: np.ndarray) -> np.ndarray:
     return ((last * SKIP + skip) * 2_654_435_761 % (1 << 32) * PAIRS) >> 32
 
 
+def _exact(one: np.ndarray, two: np.ndarray, kind: int) -> np.ndarray:
+    """Contexts by a hash of two values; another ``kind`` gives unrelated hashes."""
+    return mixed(mixed(one + np.uint64(kind)) + two * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _before(block: np.ndarray, starts: np.ndarray, last: np.ndarray):
+    """The last word and the last but one of each token, 0 where there is none, and whether each has shared weights of its own."""
+    one = np.append(np.zeros(1, np.uint64), block[:-1])
+    one[starts] = 0
+    two = np.append(np.zeros(1, np.uint64), one[:-1])
+    two[starts] = 0
+    common = (last < OWN) | (last == LAST - 1)
+    common_two = np.append(True, common[:-1])
+    common_two[starts] = True
+    return one, two, common, common_two
+
+
+def _dealt(entries: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Entries by the bucket of their context."""
+    bucket = (entries["context"] % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    entries, bucket = entries[order], bucket[order]
+    cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
+    for start, end in zip(cuts, cuts[1:]):
+        if end > start:
+            yield int(bucket[start]), entries[start:end].tobytes()
+
+
+def exact_logs(entries: np.ndarray, steps: int = 8, penalty: float = 1.0) -> np.ndarray:
+    """For each entry the log10 by which its context's own features change its base probability.
+
+    A context has a feature for each outcome that follows it in training, fitted by diagonal Newton steps; outcomes
+    without one share what is left. The changed probabilities of a context add up to what the base ones do.
+    """
+    order = np.lexsort((entries["outcome"], entries["context"]))
+    entries = entries[order]
+    context, outcome = entries["context"], entries["outcome"]
+    fresh = np.append(True, context[1:] != context[:-1])[:len(context)]
+    pairs = fresh | np.append(True, outcome[1:] != outcome[:-1])[:len(context)]
+    pair = np.cumsum(pairs) - 1
+    which = (np.cumsum(fresh) - 1)[pairs]
+    n = np.bincount(pair, weights=entries["row"] >= TRAINS)
+    seen = np.flatnonzero(n)
+    at, counts, base, contexts = which[seen], n[seen], entries["base"][pairs][seen].astype(float), int(fresh.sum())
+    total = np.bincount(at, weights=counts, minlength=contexts)[at]
+    weight = np.zeros(len(seen))
+
+    def whole() -> np.ndarray:
+        return np.maximum(1 + np.bincount(at, weights=base * np.expm1(weight), minlength=contexts), 1e-9)
+
+    for _ in range(steps):
+        share = np.minimum(base * np.exp(weight) / whole()[at], 1.0)
+        slope = total * share * (1 - share) + penalty
+        weight += np.clip(0.8 * (counts - total * share - penalty * weight) / slope, -2.0, 2.0)
+    logs = -np.log(whole())[which]
+    logs[seen] += weight
+    out = np.empty(len(entries))
+    out[order] = logs[pair] / np.log(10)
+    return out
+
+
+def _exact_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the exact contexts of a bucket add to the score of each text, by slices of texts."""
+    for group in sorted_groups(batches, "bucket"):
+        entries = np.frombuffer(b"".join(group.column("entries").to_pylist()), ENTRY)
+        logs = exact_logs(entries)
+        rows, place = np.unique(entries["row"] & (TRAINS - 1), return_inverse=True)
+        sums = np.empty(len(rows), SUM)
+        sums["row"], sums["value"] = rows, np.bincount(place, weights=logs)
+        slices = rows >> SLICE_BITS
+        cuts = [0, *(np.flatnonzero(slices[1:] != slices[:-1]) + 1).tolist(), len(rows)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(slices[cuts[:-1]]), pa.array([sums[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())],
+            names=["slice", "sums"])
+
+
+def _slice_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for group in sorted_groups(batches, "slice"):
+        sums = np.frombuffer(b"".join(group.column("sums").to_pylist()), SUM)
+        rows, place = np.unique(sums["row"], return_inverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.bincount(place, weights=sums["value"]))], names=["row", "exact"])
+
+
 def _blocks(raws: list[bytes | None], hashes: WordHashes, end: np.uint64) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text, hashes, starts) of runs of texts with at least BLOCK_TOKENS tokens; texts stay whole."""
     held, size, first = [], 0, 0
@@ -249,8 +349,14 @@ class Model:
             self.words[last] = rows.get(last, plain)
 
 
-def _scored(shared):
-    """Rows of two kinds: a text with the sums over its vocabulary words, and a rare word with the texts it is in."""
+def _trains(ids: pa.Array, fold: int) -> np.ndarray:
+    """Which texts train, as ``score_documents`` says it in columns."""
+    return np.array([i is not None and zlib.crc32(str(i).encode()) % fold != 0 for i in ids.to_pylist()], bool)
+
+
+def _scored(shared, fold: int, buckets: int):
+    """Rows of three kinds: a text with the sums over its vocabulary words, a rare word with the texts it is in, and a
+    bucket with tokens in exact contexts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         vocabulary = model.vocabulary
@@ -273,36 +379,105 @@ def _scored(shared):
                 yield pa.RecordBatch.from_arrays([
                     none, pa.array(row + np.arange(texts_here)), ids.slice(first, texts_here),
                     pa.array(sums[0]), pa.array(sums[1]), pa.array(sums[2]), pa.array(sums[3]),
-                    pa.nulls(texts_here, pa.binary())], names=_SCORED)
-                words, where = block[~known], text[~known]
+                    pa.nulls(texts_here, pa.binary()), none, pa.nulls(texts_here, pa.binary())], names=_SCORED)
+                one, two, common, common_two = _before(block, starts, last)
+                trains = _trains(ids.slice(first, texts_here), fold)
+                rows = row + np.arange(texts_here) + trains * TRAINS
+                group = vocabulary.class_of[place]
+                classed = np.flatnonzero(~(common & common_two))
+                worded = np.flatnonzero(known & ~common)
+                entries = np.empty(len(classed) + len(worded), ENTRY)
+                for here, at in ((entries[:len(classed)], classed), (entries[len(classed):], worded)):
+                    here["row"] = rows[text[at]]
+                here = entries[:len(classed)]
+                here["context"], here["outcome"] = _exact(one[classed], two[classed], 1), group[classed]
+                here["base"] = 10.0 ** model.classes[last[classed] * SKIP + skip[classed], group[classed]]
+                here = entries[len(classed):]
+                here["context"], here["outcome"] = _exact(one[worded], group[worded].astype(np.uint64), 2), place[worded]
+                here["base"] = 10.0 ** model.words[last[worded], place[worded]]
+                dealt = list(_dealt(entries, buckets))
+                n = len(dealt)
+                empty, nothing, raw = pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.binary())
+                yield pa.RecordBatch.from_arrays([
+                    empty, empty, empty, empty, empty, nothing, nothing, raw, pa.array([b for b, _ in dealt], pa.int64()),
+                    pa.array([e for _, e in dealt], pa.binary())], names=_SCORED)
+                words = block[~known]
                 order = np.argsort(words, kind="stable")
-                words, where = words[order], where[order].astype(np.uint32)
+                words, where = words[order], np.empty(len(words), RARE)
+                where["before"] = one[~known][order]
+                where["text"] = (text + trains[text] * TEXT_TRAINS + common * TEXT_COMMON)[~known][order]
                 cuts = np.flatnonzero(np.append(True, words[1:] != words[:-1])) if len(words) else np.empty(0, np.int64)
                 n = len(cuts)
-                ends = np.append(cuts, len(words)).astype(np.int32) * 4
+                ends = np.append(cuts, len(words)).astype(np.int32) * RARE.itemsize
                 lists = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(where.tobytes())])
                 empty = pa.nulls(n, pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     pa.array(words[cuts].view(np.int64)), pa.array(np.full(n, row)), empty, empty, empty,
-                    pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), lists], names=_SCORED)
+                    pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), lists, empty, pa.nulls(n, pa.binary())], names=_SCORED)
                 row += texts_here
     return run
 
 
-_SCORED = ["word", "row", "id", "n_tokens", "n_known", "base", "score", "texts"]
+_SCORED = ["word", "row", "id", "n_tokens", "n_known", "base", "score", "texts", "bucket", "entries"]
+_RARE_ROWS = ["row", "known", "logs", "bucket", "entries"]
 
 
-def _rare_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each text, its rare tokens: how many are known, and the sum of their log10 smoothed counts."""
-    for batch in batches:
-        block, counts, raw = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
-        sizes = np.array([len(r) // 4 for r in raw], np.int64)
-        row = np.repeat(block, sizes) + np.frombuffer(b"".join(raw), np.uint32).astype(np.int64)
-        rows, place = np.unique(row, return_inverse=True)
-        many = np.repeat(counts, sizes)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(rows), pa.array(np.bincount(place, weights=many > 0, minlength=len(rows)).astype(np.int64)),
-            pa.array(np.bincount(place, weights=np.log10(many + SMOOTH), minlength=len(rows)))], names=["row", "known", "logs"])
+def _rare_sums(shares: np.ndarray, buckets: int):
+    """Rows of two kinds: a text with its rare tokens, how many are known and the sum of their log10 smoothed counts; and
+    a bucket with known rare tokens after exact last words.
+
+    ``shares`` has the smoothed counts of all rare words, then of each part of them. The commonest last words have a
+    context for each part, so that none is large.
+    """
+    parts = len(shares) - 1
+
+    def dealt(held: list[np.ndarray]) -> pa.RecordBatch:
+        rows = list(_dealt(np.concatenate(held), buckets))
+        empty = pa.nulls(len(rows), pa.int64())
+        return pa.RecordBatch.from_arrays([
+            empty, empty, pa.nulls(len(rows), pa.float64()), pa.array([b for b, _ in rows], pa.int64()),
+            pa.array([e for _, e in rows], pa.binary())], names=_RARE_ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            block, counts, raw = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            sizes = np.array([len(r) // RARE.itemsize for r in raw], np.int64)
+            tokens = np.frombuffer(b"".join(raw), RARE)
+            text = tokens["text"].astype(np.int64)
+            row = np.repeat(block, sizes) + (text & (TEXT_COMMON - 1))
+            rows, place = np.unique(row, return_inverse=True)
+            many = np.repeat(counts, sizes)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(rows), pa.array(np.bincount(place, weights=many > 0, minlength=len(rows)).astype(np.int64)),
+                pa.array(np.bincount(place, weights=np.log10(many + SMOOTH), minlength=len(rows))),
+                pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.binary())], names=_RARE_ROWS)
+            known = many > 0
+            word = np.repeat(batch.column(3).to_numpy(), sizes)[known]
+            part = np.where(text[known] & TEXT_COMMON, 1 + word % parts, 0)
+            entries = np.empty(len(word), ENTRY)
+            entries["context"] = _exact(tokens["before"][known], part.astype(np.uint64), 3)
+            entries["row"] = row[known] + ((text[known] & TEXT_TRAINS) > 0) * TRAINS
+            entries["outcome"] = word.view(np.uint64)
+            entries["base"] = (many[known] + SMOOTH) / shares[part]
+            held.append(entries)
+            if sum(map(len, held)) >= BLOCK_TOKENS:
+                yield dealt(held)
+                held = []
+        if held:
+            yield dealt(held)
+    return run
+
+
+def _rare_shares(words: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """Smoothed counts of the rare words: of all, and of as many parts as a part has words."""
+    parts = max(1, math.isqrt(vocabulary.distinct - vocabulary.rare))
+    told = words.groupBy(F.pmod("word", F.lit(parts)).alias("part")).agg((F.sum("c") + SMOOTH * F.count(F.lit(1))).alias("share"))
+    shares = np.zeros(parts)
+    for r in told.collect():
+        shares[r["part"]] = r["share"]
+    shares -= np.bincount(vocabulary.hashes.view(np.int64) % parts, weights=vocabulary.counts + SMOOTH, minlength=parts)
+    return np.append(max(shares.sum(), SMOOTH), np.maximum(shares, SMOOTH))
 
 
 def train(slim: DataFrame, vocabulary_size: int = VOCABULARY, steps: int = 14, penalty: float = 1.0) -> tuple[Model, DataFrame, list[float]]:
@@ -341,21 +516,31 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     model, words, _ = train(slim.where(~held_out).select("text"), **options)
     vocabulary = model.vocabulary
     shared = spark.sparkContext.broadcast(model)
+    # a token is in one or two exact contexts
+    buckets = max(1, math.ceil(1.5 * vocabulary.total / BUCKET_ENTRIES))
     scored = written(slim.mapInArrow(
-        _scored(shared), "word bigint, row bigint, id bigint, n_tokens bigint, n_known bigint, base double, score double, "
-                         "texts binary"), "scored")
+        _scored(shared, fold, buckets), "word bigint, row bigint, id bigint, n_tokens bigint, n_known bigint, base double, "
+                                        "score double, texts binary, bucket bigint, entries binary"), "scored")
     rare = scored.where("word IS NOT NULL").select("word", "row", "texts").join(words, "word", "left").select(
-        "row", F.coalesce("c", F.lit(0)).alias("c"), "texts")
-    sums = rare.mapInArrow(_rare_sums, "row bigint, known bigint, logs double").groupBy("row").agg(
-        F.sum("known").alias("known"), F.sum("logs").alias("logs"))
+        "row", F.coalesce("c", F.lit(0)).alias("c"), "texts", "word")
+    rare = written(rare.mapInArrow(_rare_sums(_rare_shares(words, vocabulary), buckets),
+                                   "row bigint, known bigint, logs double, bucket bigint, entries binary"), "rare")
+    sums = rare.where("row IS NOT NULL").groupBy("row").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"))
+    met = scored.where("bucket IS NOT NULL").select("bucket", "entries").unionByName(
+        rare.where("bucket IS NOT NULL").select("bucket", "entries"))
+    told = met.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_exact_sums, "slice bigint, sums binary")
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    exact = written(told.repartition(parts, "slice").sortWithinPartitions("slice").mapInArrow(
+        _slice_sums, "row bigint, exact double"), "exact")
     total, distinct = vocabulary.total, vocabulary.distinct
     rare_total, rare_kinds = total - int(vocabulary.counts.sum()), distinct - vocabulary.rare
     whole = float(np.log10(total + SMOOTH * (distinct + 1)))
     within = float(np.log10(rare_total + SMOOTH * (rare_kinds + 1)))
     known, logs = F.coalesce("known", F.lit(0)), F.coalesce("logs", F.lit(0.0))
     rare_tokens = F.col("n_tokens") - F.col("n_known")
-    return scored.where("word IS NULL").drop("texts", "word").join(written(sums, "rare"), "row", "left").select(
+    texts_told = scored.where("n_tokens IS NOT NULL").drop("texts", "word", "bucket", "entries")
+    return texts_told.join(written(sums, "sums"), "row", "left").join(exact, "row", "left").select(
         "id", held_out.alias("held_out"), "n_tokens", (F.col("n_known") + known).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + logs - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("score") + logs - rare_tokens * within).alias("score"))
+        (F.col("score") + logs - rare_tokens * within + F.coalesce("exact", F.lit(0.0))).alias("score"))
