@@ -23,14 +23,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: the one with the smallest id; rows without an id stay.
+    """One row of each group of similar ones: the one with the smallest id, an id before none; all other rows stay.
 
     Similar are documents whose five-word shingles have a Jaccard similarity of 0.8 or more. The query op6 has values of
-    its own.
+    its own. Rows are told apart by a number of their own, so rows that repeat an id or have none are judged each alone.
     """
-    found = jaccard_join.similar_documents(docs, words=5, percent=80)
-    extra = found.where("id <> component_id").select(F.col("id").alias("doc_id"))
-    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = jaccard_join.similar_documents(rows, id_col="_row", words=5, percent=80)
+    linked = found.where("n_links > 0").select(F.col("id").alias("_row"), F.col("component_id").alias("_group"))
+    linked = written(rows.select("_row", F.col("doc_id").alias("_id")).join(linked, "_row"), "linked")
+    first = linked.groupBy("_group").agg(F.min(F.struct(F.isnull("_id").alias("none"), "_id", "_row")).alias("first"))
+    extra = linked.join(first.select(F.col("first._row").alias("_row")), "_row", "left_anti").select("_row")
+    return rows.join(extra, "_row", "left_anti").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,3 +18,11 @@ def test_near_duplicates_are_five_words_at_four_fifths(spark):
     assert kept(spark, [(1, whole), (2, appended)]) == [(1, whole)]
     assert kept(spark, [(1, whole), (2, exact)]) == [(1, whole)]
     assert kept(spark, [(1, whole), (2, longer)]) == [(1, whole), (2, longer)]
+
+
+def test_near_duplicates_go_row_by_row(spark):
+    one, two, three = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    assert kept(spark, [(3, one), (5, one), (5, two)]) == [(3, one), (5, two)]
+    assert kept(spark, [(1, one), (1, one), (1, one), (2, two)]) == [(1, one), (2, two)]
+    assert kept(spark, [(None, one), (4, one), (None, two), (None, two), (None, ""), (None, "")]) == [
+        (-1, ""), (-1, ""), (-1, two), (4, one)]
