@@ -98,7 +98,8 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
 
     Words are runs of letters, digits and non-ASCII characters with A-Z in lower case. NULL and empty texts have none.
     Rows that repeat an id or have none stay rows of their own. ``coverage`` is the share of the template's words that
-    stand where they should; ``found`` says that the mandatory phrase does. An empty table gives two empty tables.
+    stand where they should; ``found`` says that the mandatory phrase does. ``start`` is negative where a template would
+    begin before the text, which then opens with its mandatory phrase or words before that. An empty table gives two empty tables.
     """
     spark = df.sparkSession
     vocabulary = sorted({w for t in templates for w in t.text.split()})
@@ -124,11 +125,14 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
          for p in postings for t in [templates[p[1]]]],
         "word string, template int, at int, anchors int, text array<string>, key_at int, key array<string>")
     seen = stored.select("row", F.explode("hits").alias("h")).select("row", "h.*")
-    met = seen.join(F.broadcast(entries), "word").withColumn("start", F.col("place") - F.col("at")).where("start >= 0")
+    # a template may begin before the text when its mandatory phrase lies in it
+    met = seen.join(F.broadcast(entries), "word").withColumn("start", F.col("place") - F.col("at")).where("start + key_at >= 0")
     here = F.col("start") - F.col("begin")
-    stands = F.slice("around", here + 1, F.size("text"))
-    same = F.size(F.filter(F.zip_with("text", stands, lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x))
-    checked = met.where(F.col("start") >= F.col("begin")).select(
+    before = F.greatest(-here, F.lit(0))
+    inside = F.slice("text", before + 1, F.size("text"))
+    stands = F.slice("around", here + before + 1, F.size("text") - before)
+    same = F.size(F.filter(F.zip_with(inside, stands, lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x))
+    checked = met.where((F.col("start") >= F.col("begin")) | (F.col("begin") == 0)).select(
         "row", "template", "start", "anchors", (same / F.size("text")).alias("coverage"),
         (F.slice("around", here + F.col("key_at") + 1, F.size("key")) == F.col("key")).alias("found"))
     notices = checked.groupBy("row", "template", "start").agg(
