@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finmart.llm import (
+    collocations,
     decontaminate,
+    divergence,
     embedding_dedup,
+    extraction,
     jaccard_join,
     licenses,
     lm_score,
@@ -85,10 +88,21 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(folder, manifest).withColumnRenamed("id", "doc_id")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of 2 to 5 words by grouped word prefixes and depth-truncated suffix subtrees."""
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources against each other and against their language, by merged stripes."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_sharding, op3_decontamination, op4_lm_score, op5_license_scan, op6_jaccard_join,
-        op7_quality, op8_warc_derivatives, op9_packing, op10_token_store)}
+        op7_quality, op8_warc_derivatives, op9_packing, op10_token_store, op11_phrase_collocations,
+        op12_source_divergence)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -111,4 +125,53 @@ SELECT docs.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    # every kept term against every group of its language; hugeint arithmetic
+    "op12_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+w AS (SELECT doc, lang, source, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+cells AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+grp AS (SELECT DISTINCT lang, source FROM d),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT + 5 * coalesce(any_value(v), 0) AS total
+           FROM grp LEFT JOIN cells USING (lang, source) LEFT JOIN sizes USING (lang) GROUP BY lang, source),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // total AS p
+      FROM totals JOIN kept USING (lang) LEFT JOIN cells USING (lang, source, term)),
+whole AS (SELECT lang, sum(n)::HUGEINT + 5 * any_value(v) AS total FROM cells JOIN sizes USING (lang) GROUP BY lang),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n)::HUGEINT + 5)) // any_value(total) AS q
+      FROM cells JOIN whole USING (lang) GROUP BY lang, term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 50""",
+    # every run of 1 to 5 words as one string; containment by all inner runs
+    "op11_phrase_collocations": r"""
+WITH pieces AS (SELECT row_number() OVER () AS piece, lang, words FROM (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words
+  FROM documents) WHERE len(words) > 0),
+places AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces),
+runs AS (SELECT lang, words[i:i + k] AS w FROM places, range(5) t(k) WHERE i + k <= len(words)),
+total AS (SELECT lang, sum(len(words))::HUGEINT AS n FROM pieces GROUP BY lang),
+f AS (SELECT lang, w, count(*)::HUGEINT AS f FROM runs GROUP BY lang, w HAVING count(*) >= 100),
+cand AS (SELECT lang, w, f AS a FROM f WHERE len(w) > 1),
+inner_runs AS (SELECT lang, a, w[s:s + m - 1] AS w FROM (
+  SELECT lang, a, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM (SELECT lang, a, w, unnest(range(2, len(w))) AS m FROM cand))),
+covered AS (SELECT lang, w, max(a) AS longer FROM inner_runs GROUP BY lang, w),
+kept AS (SELECT cand.* FROM cand LEFT JOIN covered USING (lang, w) WHERE longer IS NULL OR 100 * longer < 100 * a),
+cuts AS (SELECT k.lang, k.w, k.a, c, x.f AS l, y.f AS r, n, (1000 * k.a * n) // (x.f * y.f) AS score
+         FROM (SELECT *, unnest(range(1, len(w))) AS c FROM kept) k
+         JOIN f x ON x.lang = k.lang AND x.w = k.w[1:c] JOIN f y ON y.lang = k.lang AND y.w = k.w[c + 1:len(k.w)]
+         JOIN total ON total.lang = k.lang),
+worst AS (SELECT *, array_to_string(w, ' ') AS phrase FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a,
+       CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM worst QUALIFY rank <= 2000""",
 }
