@@ -12,7 +12,6 @@ from finmart.llm import (
     decontaminate,
     divergence,
     embedding_dedup,
-    extraction,
     jaccard_join,
     licenses,
     lm_score,
