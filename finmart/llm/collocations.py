@@ -27,10 +27,10 @@ DEPTH = 5
 LEAST = 100
 TOP = 2000
 # Suffixes of a group, which a task holds as 56 bytes each.
-GROUP_SUFFIXES = 2_000_000
-BLOCK_BYTES = 8 * 1024 * 1024
+GROUP_SUFFIXES = 1_000_000
+BLOCK_BYTES = 4 * 1024 * 1024
 # Suffixes a map task holds before it adds up equal ones and hands them on.
-HELD_SUFFIXES = 1_000_000
+HELD_SUFFIXES = 300_000
 # Bits of the filter of frequent words, 32 MB. A larger vocabulary lets more suffixes through; the counts stay exact.
 FILTER_BITS = 28
 _SEPARATORS, _BREAKS = (9, 32), (*b".,;:!?", *range(10, 14))
@@ -89,17 +89,17 @@ def _keys(rows: np.ndarray) -> np.ndarray:
 def _heavy_depth(keys: np.ndarray, lengths: np.ndarray, heavy: list[np.ndarray]) -> np.ndarray:
     """How many prefixes of a suffix, from one word on, are too common for one group."""
     depth = np.zeros(len(keys), np.int64)
-    for d, common in enumerate(heavy):
+    for d, common in enumerate(heavy[:keys.shape[1]]):
         depth += (depth == d) & (lengths > d) & np.isin(keys[:, d], common)
     return depth
 
 
-def _suffixes(words, hashed: np.ndarray, known: Filter) -> np.ndarray:
+def _suffixes(words, hashed: np.ndarray, known: Filter, width: int) -> np.ndarray:
     """Word hashes of the frequent words from each place on, 0 beyond; places with a frequent word and one after it."""
     hashed = np.where(known.holds(hashed), hashed, np.uint64(0))[words.codes] if len(hashed) else hashed
-    rows = np.zeros((len(hashed), DEPTH), np.uint64)
+    rows = np.zeros((len(hashed), width), np.uint64)
     rows[:, 0] = hashed
-    for d in range(1, min(DEPTH, len(hashed))):
+    for d in range(1, min(width, len(hashed))):
         goes_on = (words.piece[d:] == words.piece[:-d]) & (rows[:-d, d - 1] > 0)
         rows[:-d, d] = np.where(goes_on, hashed[d:], np.uint64(0))
     return rows[rows[:, 1] > 0]
@@ -109,24 +109,21 @@ def _combined(rows: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Equal suffixes added up."""
     if not len(rows):
         return rows, count
-    key = _keys(rows)[:, -1]
-    order = np.argsort(key)
-    rows, count, key = rows[order], count[order], key[order]
-    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    if not (rows == np.repeat(rows[new], np.diff(np.r_[new, len(rows)]), axis=0)).all():  # unequal ones share a key
-        order = np.lexsort(rows.T[::-1])
-        rows, count = rows[order], count[order]
-        new = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)]))
+    order = np.argsort(_keys(rows)[:, -1])
+    rows, count = rows[order], count[order]
+    # unequal suffixes that share a key may part equal ones, which are then handed on apart
+    new = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)]))
     return rows[new], np.add.reduceat(count, new)
 
 
-def _map_suffixes(batches: Iterator[pa.RecordBatch], salt: str, known: Filter) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(suffixes, counts) of a map task, equal ones added up as far as it holds them."""
+def _map_suffixes(batches: Iterator[pa.RecordBatch], salt: str, known: Filter, width: int = DEPTH,
+                  ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(suffixes, counts) of a map task, the first ``width`` words of each, equal ones added up as far as it holds them."""
     splitter = Splitter(_SEPARATORS, _BREAKS)
-    rows, count = np.zeros((0, DEPTH), np.uint64), np.zeros(0, np.int64)
+    rows, count = np.zeros((0, width), np.uint64), np.zeros(0, np.int64)
     for lang, block, _ in blocks(batches, "lang", None, BLOCK_BYTES):
         words = splitter.split(block)
-        more = _suffixes(words, _hashes(lang, words.dictionary, salt), known)
+        more = _suffixes(words, _hashes(lang, words.dictionary, salt), known, width)
         rows, count = _combined(np.concatenate([rows, more]), np.concatenate([count, np.ones(len(more), np.int64)]))
         if len(rows) >= HELD_SUFFIXES:
             yield rows, count
@@ -138,9 +135,8 @@ def _extend(shared, depth: int):
     """Counts of the prefixes of ``depth`` words whose shorter prefixes are all too common."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt, known, heavy = shared.value
-        for rows, count in _map_suffixes(batches, salt, known):
-            lengths = (rows > 0).sum(1)
-            keys = _keys(rows)
+        for rows, count in _map_suffixes(batches, salt, known, depth):
+            lengths, keys = (rows > 0).sum(1), _keys(rows)
             mine = (_heavy_depth(keys, lengths, heavy) == depth - 1) & (lengths >= depth)
             key, place = np.unique(keys[mine, depth - 1], return_inverse=True)
             total = np.zeros(len(key), np.int64)
@@ -185,13 +181,14 @@ def _subtree(shared, least: int):
         for d in range(DEPTH):
             equal &= rows[1:, d] == rows[:-1, d]
             shared_words[1:] += equal
-        lengths = (rows > 0).sum(1)
-        depth = _heavy_depth(_keys(rows), lengths, heavy)
         for d in range(2, DEPTH + 1):
             first = np.flatnonzero((shared_words < d) | (np.arange(len(rows)) == 0))
             total = np.add.reduceat(count, first)
+            long = rows[first, d - 1] > 0
+            first, total = first[long], total[long]
             # a phrase whose prefixes are all too common has its suffixes in several groups
-            told = (lengths[first] >= d) & ((total >= least) | (depth[first] >= d))
+            lead = rows[first, :d]
+            told = (total >= least) | (_heavy_depth(_keys(lead), np.full(len(lead), d), heavy) >= d)
             phrase = rows[first[told]].view(np.int64).copy()
             phrase[:, d:] = 0
             yield pa.RecordBatch.from_arrays(
