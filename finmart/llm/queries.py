@@ -12,6 +12,7 @@ from finmart.llm import (
     decontaminate,
     divergence,
     embedding_dedup,
+    extraction,
     jaccard_join,
     licenses,
     lm_score,
@@ -97,11 +98,17 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page by boosted trees over its nodes."""
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.fit(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_sharding, op3_decontamination, op4_lm_score, op5_license_scan, op6_jaccard_join,
         op7_quality, op8_warc_derivatives, op9_packing, op10_token_store, op11_phrase_collocations,
-        op12_source_divergence)}
+        op12_source_divergence, op13_html_extraction)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

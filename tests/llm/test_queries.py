@@ -17,7 +17,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 13)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(queries.SQL) <= set(entry.oracle_sql())
 
 
