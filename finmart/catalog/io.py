@@ -10,14 +10,15 @@ from finmart.catalog.base import KEYS, Tables, query
 from finmart.functions.dates import period_list
 from finmart.functions.numbers import to_number
 from finmart.operators.columns import quoted
+from finmart.operators.ordering import row_index
 from finmart.plans.publish import ingest_documents, load_originals
-from finmart.session import new_folder
+from finmart.session import new_folder, written
 from finmart.sources import files, sinks
 from finmart.sources.envelope import envelope, open_envelopes, unreadable_envelopes
 from finmart.sources.layouts import strings
 from finmart.sources.odata import PeriodService
-from finmart.sources.sheets import shape_sheet, workbook_cells
-from finmart.sources.workbook_writer import to_workbooks
+from finmart.sources.sheets import read_workbooks, shape_sheet
+from finmart.sources.workbook_writer import column_letters, write_workbooks
 from finmart.streaming.ingest import ingest_new, ingested, landed_files
 
 K = ", ".join(KEYS)
@@ -110,17 +111,25 @@ def json_envelope(t: Tables) -> DataFrame:
     return records.select(F.col("event_id").cast("long").alias("event_id"), "NomeColuna", to_number("Saldo").alias("Saldo"))
 
 
+BOOK_ROWS = 20_000
+
+
 @query("SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer")
 def sheet_cells(t: Tables) -> DataFrame:
-    books = to_workbooks(t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal"), "quadro 4", [["Quadro 4"], []])
-    names = {"A": "c_custkey", "B": "c_name", "C": "c_mktsegment", "D": "c_acctbal"}
-    rows = shape_sheet(workbook_cells(books), names, "quadro 4", skip=3)
+    """Customers as workbook files of at most ``BOOK_ROWS`` rows, scanned from their folder."""
+    root = new_folder(t.spark, "workbooks")
+    letters = {"c_custkey": "A", "c_name": "B", "c_mktsegment": "C", "c_acctbal": "D"}
+    placed = t.customer.withColumns({"book": F.floor(F.col("c_custkey") / BOOK_ROWS), "place": F.col("c_custkey") % BOOK_ROWS})
+    cells = as_cells(placed, F.format_string("clientes-%d.xlsx", "book"), "place", letters, 3, 0)
+    written(write_workbooks(cells, root), "workbook-list")
+    names = {letter: c for c, letter in letters.items()}
+    rows = shape_sheet(read_workbooks(t.spark, root), names, "quadro 4", skip=3)
     return rows.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_mktsegment",
                        to_number("c_acctbal").alias("c_acctbal"))
 
 
 def as_cells(df: DataFrame, file: Column, position: str, letters: dict[str, str], lead: int, footer: int,
-             sheet: str = "quadro 4") -> DataFrame:
+             sheet: str = "quadro 4", index: int = 3) -> DataFrame:
     """A table as cells: one workbook per ``file``, with ``lead`` title rows above and ``footer`` note rows below.
 
     ``position`` is the 0-based place of a row in its sheet; ``letters`` maps columns to column letters.
@@ -130,11 +139,21 @@ def as_cells(df: DataFrame, file: Column, position: str, letters: dict[str, str]
         ["file", "row"], list(letters.values()), "col", "value")
     first = next(iter(letters.values()))
     last = body.groupBy("file").agg(F.max("row").alias("last"))
-    notes = last.select("file", F.explode(F.concat(F.sequence(F.lit(1), F.lit(lead)),
-                                                   F.sequence(F.col("last") + 1, F.col("last") + footer))).alias("row"))
+    above = F.sequence(F.lit(1), F.lit(lead)) if lead else F.array().cast("array<int>")
+    below = F.sequence(F.col("last") + 1, F.col("last") + footer) if footer else F.array().cast("array<int>")
+    notes = last.select("file", F.explode(F.concat(above, below)).alias("row"))
     cells = body.unionByName(notes.withColumns({"col": F.lit(first), "value": F.lit("nota")}))
     return cells.where("value IS NOT NULL").select(
-        "file", F.lit(sheet).alias("sheet"), F.lit(3).alias("sheet_index"), "row", "col", "value")
+        "file", F.lit(sheet).alias("sheet"), F.lit(index).alias("sheet_index"), "row", "col", "value")
+
+
+def headed_cells(df: DataFrame, file: str, sheet: str = "dados", index: int = 0) -> DataFrame:
+    """A small table as the cells of one sheet: its column names in the first row, then its rows in the order of the first column."""
+    letters = {c: column_letters(i) for i, c in enumerate(df.columns)}
+    indexed = row_index(df, [quoted(df.columns[0])], "place")
+    names = df.sparkSession.createDataFrame([(file, sheet, index, 1, letter, c) for c, letter in letters.items()],
+                                            "file string, sheet string, sheet_index int, row int, col string, value string")
+    return as_cells(indexed, F.lit(file), "place", letters, 1, 0, sheet, index).where("row > 1").unionByName(names)
 
 
 @query("SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer")

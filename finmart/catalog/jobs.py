@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import cycle
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +11,8 @@ from pyspark.sql import types as T
 from finmart.catalog.aggregates import PRIORITIES, stats_rounded
 from finmart.catalog.base import KEYS, Tables, fact, nfact, query, regp, regq, rounded
 from finmart.catalog.columns import YEARS
-from finmart.catalog.io import as_cells, paged, quarter_period
+from finmart.catalog.io import headed_cells, paged, quarter_period
+from finmart.operators.columns import quoted
 from finmart.operators.joins import lookup, registry_join
 from finmart.plans import branches as branch_job
 from finmart.plans import (
@@ -24,6 +24,7 @@ from finmart.sources.envelope import envelope, open_envelopes
 from finmart.sources.files import read_csv, read_positional_csv
 from finmart.sources.layouts import (
     QUOTE_COLUMNS, QUOTES_2019, QUOTES_2020, QUOTES_2021_HEADER, QUOTES_2022, strings)
+from finmart.sources.workbook_writer import write_workbooks
 
 K = ", ".join(KEYS)
 
@@ -268,15 +269,24 @@ def job_branches(t: Tables) -> DataFrame:
     totals = written(_orders_by_state(t).groupBy("uf", "place", F.year("o_orderdate").alias("ano")).agg(
         F.count(F.lit(1)).alias("total"),
         *(F.expr(f"nullif(count_if(o_orderpriority = '{p}'), 0)").alias(f"p{i}") for i, p in enumerate(PRIORITIES))), "totals")
-    # a handful of years; each gets a workbook, the known sheet layouts in turn
-    years = sorted(r["ano"] for r in totals.select("ano").distinct().collect())
-    layouts = dict(zip(years, cycle(BRANCH_LETTERS.values())))
-    cells = {}
-    for year in years:
-        of_year = totals.where(F.col("ano") == year)
-        letters = dict(zip(["uf", "total", *(f"p{i}" for i in range(len(PRIORITIES)))], layouts[year]))
-        cells[year] = as_cells(of_year, F.concat(F.lit("quadros-"), "ano"), "place", letters, BRANCH_SKIP, BRANCH_FOOTER)
-    return branch_job.branches(cells, letters=layouts)
+    # a workbook per year; the known sheet layouts stand for each fourth year
+    known = t.spark.createDataFrame([(i, col, name) for i, cols in enumerate(BRANCH_LETTERS.values())
+                                     for col, name in zip(cols, BRANCH_COLUMNS)], "layout int, col string, nome string")
+    years = totals.select("ano").distinct().withColumn("layout", F.pmod("ano", F.lit(len(BRANCH_LETTERS))))
+    layouts = written(years.join(known, "layout").select("ano", "col", "nome"), "layouts")
+    named = totals.toDF("uf", "place", "ano", *BRANCH_COLUMNS[1:]).withColumn(BRANCH_COLUMNS[0], F.col("uf"))
+    long = named.select("ano", (F.col("place") + BRANCH_SKIP + 1).cast("int").alias("row"),
+                        *(quoted(c).cast("string").alias(c) for c in BRANCH_COLUMNS)).unpivot(
+        ["ano", "row"], BRANCH_COLUMNS, "nome", "value")
+    body = long.where("value IS NOT NULL").join(layouts, ["ano", "nome"]).select("ano", "row", "col", "value")
+    notes = body.groupBy("ano").agg(F.max("row").alias("last")).select("ano", F.explode(F.concat(
+        F.sequence(F.lit(1), F.lit(BRANCH_SKIP)), F.sequence(F.col("last") + 1, F.col("last") + BRANCH_FOOTER))).alias("row"))
+    cells = body.unionByName(notes.withColumns({"col": F.lit("B"), "value": F.lit("nota")})).select(
+        F.format_string("ano=%d/quadros.xlsx", "ano").alias("file"), F.lit("quadro 4").alias("sheet"),
+        F.lit(3).alias("sheet_index"), "row", "col", "value")
+    root = new_folder(t.spark, "branches")
+    written(write_workbooks(cells, root), "workbook-list")
+    return branch_job.read_branches(t.spark, root, layouts)
 
 
 BUCKETS = ["2018", "2019", "2020"]  # thirds of the month stand for years
@@ -293,7 +303,11 @@ def _third() -> Column:
 def job_channels(t: Tables) -> DataFrame:
     thirds = t.events.withColumn("third", _third())
     wide = thirds.groupBy(F.col("event_type").alias("Canal de Acesso")).pivot("third", BUCKETS).count()
-    return channels.access_channels(wide)
+    root = new_folder(t.spark, "channels")
+    written(write_workbooks(headed_cells(wide, "canais.xlsx"), root), "workbook-list")
+    # counts are long in the table, text in a sheet
+    told = channels.read_access_channels(t.spark, root)
+    return told.select("Canal_Acesso", *(F.col(c).cast("long").alias(c) for c in told.columns[1:]))
 
 
 CHANNELS = ["agencias_tradicionais", "atm", "central_atendimento", "correspondentes", "net_home_ofc_banking", "phone"]
@@ -308,13 +322,16 @@ def job_channel_ops(t: Tables) -> DataFrame:
     # one pass counts all six sheets; errors are left blank in every one
     counted = written(t.events.withColumns({"third": _third(), "sheet": F.floor(F.hour("ts") / 4).cast("int")})
                       .groupBy("sheet", "event_type").pivot("third", BUCKETS).count(), "channel-counts")
-    sheets = {}
+    cells = None
     for n, channel in enumerate(CHANNELS):
-        rows = counted.where(F.col("sheet") == n)
-        sheets[channel] = rows.select(
+        rows = counted.where(F.col("sheet") == n).select(
             F.col("event_type").alias("Tipo de Operação, total"),
             *(F.when(F.col("event_type") != "error", F.col(f"`{b}`").cast("string")).alias(b) for b in BUCKETS))
-    return channels.operations_union(sheets)
+        sheet = headed_cells(rows, "operacoes.xlsx", channel, n)
+        cells = sheet if cells is None else cells.unionByName(sheet)
+    root = new_folder(t.spark, "operations")
+    written(write_workbooks(cells, root), "workbook-list")
+    return channels.read_operations(t.spark, root, CHANNELS)
 
 
 @query("""SELECT uf AS "ESTADO", """ + ", ".join(

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finmart.functions.names import lower_underscored, rename_by, snake
 from finmart.functions.numbers import to_number
 from finmart.operators.columns import prefix, quoted, tag
+from finmart.session import written
+from finmart.sources.sheets import read_workbooks, sheet_table
 
 
 def access_channels(raw: DataFrame) -> DataFrame:
@@ -28,3 +30,14 @@ def operations_union(sheets: dict[str, DataFrame]) -> DataFrame:
     """All sheets under one roof, with the channel each came from."""
     parts = [tag(operations_sheet(raw), canal=channel) for channel, raw in sheets.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_access_channels(spark: SparkSession, path: str, sheet: str | int | None = 0) -> DataFrame:
+    """The workbook's sheet of channels by year, from the file on."""
+    return access_channels(sheet_table(read_workbooks(spark, path), sheet))
+
+
+def read_operations(spark: SparkSession, path: str, channels: list[str]) -> DataFrame:
+    """The workbook's sheets, one a channel in the order given; the workbook is read once."""
+    cells = written(read_workbooks(spark, path), "cells")
+    return operations_union({channel: sheet_table(cells, index) for index, channel in enumerate(channels)})

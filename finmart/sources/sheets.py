@@ -6,6 +6,7 @@ import io
 import re
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -26,12 +27,26 @@ def _plain(node) -> str:
     return "".join(t.text or "" for t in node.iter(_MAIN + "t"))
 
 
+def _ended(xml, tag: str) -> Iterator:
+    """Each element of the tag as it ends; what was read is let go, so a part never lies whole in memory."""
+    above = []
+    for event, node in ElementTree.iterparse(xml, ("start", "end")):
+        if event == "start":
+            above.append(node)
+            continue
+        above.pop()
+        if node.tag == _MAIN + tag:
+            yield node
+            above[-1].clear()
+
+
 def _workbook_cells(content: bytes) -> Iterator[tuple]:
-    """(sheet name, sheet index, row, column letters, text) for every filled cell."""
+    """(sheet name, sheet index, row, column letters, text) for every filled cell; the shared texts are read first."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
-            shared = [_plain(n) for n in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))]
+            with z.open("xl/sharedStrings.xml") as xml:
+                shared = [_plain(n) for n in _ended(xml, "si")]
         rels = {r.get("Id"): r.get("Target")
                 for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels")).iter(_PKG + "Relationship")}
         sheets = ElementTree.fromstring(z.read("xl/workbook.xml")).iter(_MAIN + "sheet")
@@ -39,9 +54,7 @@ def _workbook_cells(content: bytes) -> Iterator[tuple]:
             target = rels[sheet.get(_REL + "id")]
             part = target.lstrip("/") if target.startswith("/") else "xl/" + target
             with z.open(part) as xml:
-                for _, node in ElementTree.iterparse(xml):
-                    if node.tag != _MAIN + "row":
-                        continue
+                for node in _ended(xml, "row"):
                     for cell in node.iter(_MAIN + "c"):
                         col, row = re.match(r"([A-Z]+)(\d+)", cell.get("r")).groups()
                         if cell.get("t") == "inlineStr":
@@ -52,28 +65,71 @@ def _workbook_cells(content: bytes) -> Iterator[tuple]:
                                 text = shared[int(text)]
                         if text not in (None, ""):
                             yield sheet.get("name"), index, int(row), col, text
-                    node.clear()
 
 
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse(carry: list[str]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [*carry, "file", "sheet", "sheet_index", "row", "col", "value"]
+        for pdf in batches:
+            for path, content, *carried in zip(pdf["path"], pdf["content"], *(pdf[c] for c in carry)):
+                rows = []
+                for cell in _workbook_cells(content):
+                    rows.append((*carried, path, *cell))
+                    if len(rows) == 50_000:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
+    return run
+
+
+def _damage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
-            rows = []
-            for cell in _workbook_cells(content):
-                rows.append((path, *cell))
-                if len(rows) == 50_000:
-                    yield pd.DataFrame(rows, columns=["file", "sheet", "sheet_index", "row", "col", "value"])
-                    rows = []
-            yield pd.DataFrame(rows, columns=["file", "sheet", "sheet_index", "row", "col", "value"])
+            try:
+                for _ in _workbook_cells(content):
+                    pass
+            except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, IndexError, ValueError, AttributeError, zlib.error) as error:
+                yield pd.DataFrame({"file": [path], "motivo": [f"{type(error).__name__}: {error}"]})
+
+
+def workbook_cells(workbooks: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Cells of the workbooks in a frame of ``path`` and ``content`` (bytes); a workbook is one row.
+
+    ``carry`` names further columns of the workbook that go with each of its cells. A damaged workbook ends the job;
+    :func:`unreadable_workbooks` tells which ones are.
+    """
+    kinds = dict(workbooks.dtypes)
+    told = "".join(f"`{c}` {kinds[c]}, " for c in carry) + CELLS
+    return workbooks.select("path", "content", *(F.col(f"`{c}`") for c in carry)).mapInPandas(_parse([*carry]), told)
+
+
+def unreadable_workbooks(workbooks: DataFrame) -> DataFrame:
+    """``file`` and ``motivo`` of the workbooks that cannot be read to their end."""
+    return workbooks.select("path", "content").mapInPandas(_damage, "file string, motivo string")
+
+
+def workbook_files(spark: SparkSession, path, pattern: str = "*.xlsx") -> DataFrame:
+    """Workbooks of a folder as bytes; folders named ``column=value`` are columns."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+
+
+def read_workbooks(spark: SparkSession, path, pattern: str = "*.xlsx", carry: tuple[str, ...] = ()) -> DataFrame:
+    return workbook_cells(workbook_files(spark, path, pattern), carry)
 
 
-def workbook_cells(workbooks: DataFrame) -> DataFrame:
-    """Cells of the workbooks in a frame of ``path`` and ``content`` (bytes); a workbook is one row."""
-    return workbooks.select("path", "content").mapInPandas(_parse, CELLS)
+def _of_sheet(cells: DataFrame, sheet: str | int | None) -> DataFrame:
+    if sheet is None:
+        return cells
+    return cells.where(F.col("sheet" if isinstance(sheet, str) else "sheet_index") == sheet)
 
 
-def read_workbooks(spark: SparkSession, path, pattern: str = "*.xlsx") -> DataFrame:
-    return workbook_cells(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path))
+def _body(cells: DataFrame, skip: int, footer: int) -> DataFrame:
+    body = cells.where(F.col("row") > skip)
+    if footer:
+        last = cells.groupBy("file", "sheet").agg((F.max("row") - footer).alias("last_row"))
+        body = lookup(body, last, ["file", "sheet"], "inner").where(F.col("row") <= F.col("last_row"))
+    return body
 
 
 def shape_sheet(cells: DataFrame, columns: dict[str, str], sheet: str | int | None = None, skip: int = 0,
@@ -83,22 +139,44 @@ def shape_sheet(cells: DataFrame, columns: dict[str, str], sheet: str | int | No
     ``columns`` maps column letters to names; ``sheet`` is a name or a 0-based index. Keeps ``file``, ``sheet``
     and ``row``. Values stay text.
     """
-    if isinstance(sheet, str):
-        cells = cells.where(F.col("sheet") == sheet)
-    elif sheet is not None:
-        cells = cells.where(F.col("sheet_index") == sheet)
-    body = cells.where(F.col("row") > skip)
-    if footer:
-        last = cells.groupBy("file", "sheet").agg((F.max("row") - footer).alias("last_row"))
-        body = lookup(body, last, ["file", "sheet"], "inner").where(F.col("row") <= F.col("last_row"))
+    body = _body(_of_sheet(cells, sheet), skip, footer)
     picked = body.where(F.col("col").isin(list(columns))).groupBy("file", "sheet", "row")
     return picked.agg(*(F.max(F.when(F.col("col") == letter, F.col("value"))).alias(n) for letter, n in columns.items()))
 
 
-def header_names(cells: DataFrame, letters: list[str]) -> dict[str, str]:
-    """The first row of a sheet as letter -> name, for at most the given letters (metadata, bounded)."""
-    rows = cells.where((F.col("row") == 1) & F.col("col").isin(letters)).select("col", "value").distinct().collect()
-    return {r["col"]: r["value"] for r in rows}
+def shape_sheets(cells: DataFrame, layouts: DataFrame, names: list[str], by: str, sheet: str | int | None = None,
+                 skip: int = 0, footer: int = 0) -> DataFrame:
+    """Like :func:`shape_sheet` for workbooks whose columns stand at other letters each: one pass over all cells.
+
+    ``layouts`` has a row for each column ``by`` (carried by the cells), ``col`` (letters) and ``nome``. Cells of a
+    workbook without a layout are left out.
+    """
+    body = _body(_of_sheet(cells, sheet), skip, footer)
+    named = lookup(body, layouts.select(by, "col", "nome"), [by, "col"], "inner")
+    return named.groupBy(by, "file", "sheet", "row").agg(
+        *(F.max(F.when(F.col("nome") == n, F.col("value"))).alias(n) for n in names))
+
+
+def header_names(cells: DataFrame, letters: list[str] | None = None, row: int = 1) -> dict[str, str]:
+    """A row of a sheet as letters -> name, in the order of the sheet; all its workbooks must agree.
+
+    A sheet has at most 16,384 columns, and one row a column comes to the driver.
+    """
+    at = cells.where(F.col("row") == row)
+    if letters is not None:
+        at = at.where(F.col("col").isin(letters))
+    told = at.groupBy("col").agg(F.min("value").alias("least"), F.max("value").alias("most")).collect()
+    apart = [r["col"] for r in told if r["least"] != r["most"]]
+    if apart:
+        raise ValueError(f"workbooks name the columns {sorted(apart)} differently")
+    return {r["col"]: r["least"] for r in sorted(told, key=lambda r: (len(r["col"]), r["col"]))}
+
+
+def sheet_table(cells: DataFrame, sheet: str | int | None = None, header: int = 1, footer: int = 0) -> DataFrame:
+    """A sheet with a header row as a table of texts, named and ordered by its header."""
+    of_sheet = _of_sheet(cells, sheet)
+    names = header_names(of_sheet, row=header)
+    return shape_sheet(of_sheet, names, skip=header, footer=footer).select(*(F.col(f"`{n}`") for n in names.values()))
 
 
 # Executors need not have this package installed: what runs there travels with the job.

@@ -6,7 +6,9 @@ Spark cuts the rows into Arrow batches; a batch becomes one workbook, so no work
 
 from __future__ import annotations
 
+import hashlib
 import io
+import re
 import sys
 import uuid
 import zipfile
@@ -14,6 +16,7 @@ from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
@@ -28,6 +31,13 @@ _NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 _REL_NS = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
 
 
+class _Dated(zipfile.ZipFile):
+    """Parts carry no time of writing, so equal cells give equal bytes."""
+
+    def writestr(self, name, data):
+        super().writestr(zipfile.ZipInfo(name), data, zipfile.ZIP_DEFLATED)
+
+
 def column_letters(index: int) -> str:
     """0 -> A, 25 -> Z, 26 -> AA."""
     letters = ""
@@ -47,7 +57,7 @@ def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
         return f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
 
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+    with _Dated(out, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("[Content_Types].xml", _TYPES)
         z.writestr("_rels/.rels", _ROOT_RELS)
         names, rels = [], []
@@ -65,6 +75,14 @@ def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
     return out.getvalue()
 
 
+def column_number(letters: str) -> int:
+    """A -> 0, Z -> 25, AA -> 26."""
+    number = 0
+    for letter in letters:
+        number = number * 26 + ord(letter) - ord("A") + 1
+    return number - 1
+
+
 def to_workbooks(df: DataFrame, sheet: str, lead: list[list] | None = None) -> DataFrame:
     """One workbook per batch of rows: ``lead`` rows, then the column names, then the rows, all in one sheet."""
     names, lead_rows = df.columns, lead or []
@@ -73,10 +91,40 @@ def to_workbooks(df: DataFrame, sheet: str, lead: list[list] | None = None) -> D
         for pdf in batches:
             rows = pdf.astype(object).where(pdf.notna(), None).values.tolist()
             content = workbook_bytes({sheet: [*lead_rows, names, *rows]})
-            yield pd.DataFrame({"path": [f"{sheet}-{uuid.uuid4().hex}.xlsx"], "content": [content]})
+            # named by what it holds: a task that runs again names it alike
+            yield pd.DataFrame({"path": [f"{sheet}-{hashlib.sha256(content).hexdigest()[:32]}.xlsx"], "content": [content]})
 
     return df.mapInPandas(pack, "path string, content binary")
 
 
+def write_workbooks(cells: DataFrame, root: str) -> DataFrame:
+    """Store each workbook of a cell table (``file`` is its path below ``root``): ``path`` and ``bytes`` of each.
+
+    A workbook is one task's work. It is stored under another name and then moved, so no reader sees half of one, and a
+    task that runs again stores the same bytes at the same place.
+    """
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        sheets: dict[str, list[list]] = {}
+        for name, of_sheet in sorted(pdf.groupby("sheet"), key=lambda g: g[1]["sheet_index"].iloc[0]):
+            grid = sheets.setdefault(name, [])
+            for row, col, value in zip(of_sheet["row"], of_sheet["col"], of_sheet["value"]):
+                grid += [[] for _ in range(row - len(grid))]
+                at = column_number(col)
+                grid[row - 1] += [None] * (at + 1 - len(grid[row - 1]))
+                grid[row - 1][at] = value
+        content = workbook_bytes(sheets)
+        path = f"{root}/{key[0]}"
+        place, name = fs.FileSystem.from_uri(re.sub("^file:/*", "file:///", path))
+        place.create_dir(name.rsplit("/", 1)[0])
+        half = f"{name}.{uuid.uuid4().hex}"
+        with place.open_output_stream(half) as out:
+            out.write(content)
+        place.move(half, name)
+        return pd.DataFrame({"path": [path], "bytes": [len(content)]})
+
+    return cells.select("file", "sheet", "sheet_index", "row", "col", "value").groupBy("file").applyInPandas(
+        pack, "path string, bytes bigint")
+
+
 # Executors need not have this package installed: what runs there travels with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

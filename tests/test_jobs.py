@@ -103,7 +103,7 @@ def test_branches_and_channels(spark):
     cells += [("f", "quadro 4", 3, 9, c, str(i)) for i, c in enumerate(letters)]
     cells += [("f", "quadro 4", 3, 10, "B", "SP"), ("f", "quadro 4", 3, 10, "C", "x"), ("f", "quadro 4", 3, 10, "ZZ", "other")]
     df = spark.createDataFrame(cells, "file string, sheet string, sheet_index int, row int, col string, value string")
-    out = branches.branches({2019: df})
+    out = branches.branches(df.withColumn("ano", F.lit(2019)), branches.branch_layouts(spark))
     assert out.columns == [*BRANCH_COLUMNS, "ano"]
     assert sorted(rows(out), key=str) == [("0", 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 2019), ("SP", *[None] * 6, 2019)]
 

@@ -10,8 +10,9 @@ from finmart.plans.loans import loans_union
 from finmart.plans.registry import appended_listings, fetch_registry
 from finmart.sources import envelope, files, layouts
 from finmart.sources.odata import PeriodService
-from finmart.sources.sheets import header_names, read_workbooks, shape_sheet
-from finmart.sources.workbook_writer import column_letters, workbook_bytes
+from finmart.sources.sheets import (
+    header_names, read_workbooks, shape_sheet, sheet_table, unreadable_workbooks, workbook_cells, workbook_files)
+from finmart.sources.workbook_writer import column_letters, column_number, to_workbooks, workbook_bytes, write_workbooks
 
 
 def write(folder, name, text, encoding="utf-8"):
@@ -104,6 +105,53 @@ def test_shared_strings(spark, folder):
     assert [r["value"] for r in read_workbooks(spark, f"file://{folder}").collect()] == ["Agência"]
 
 
+def test_sheets_are_read_in_pieces(spark):
+    """A large sheet is given out row by row, and one shared part never lies whole in memory."""
+    import tracemalloc
+
+    from finmart.sources.sheets import _workbook_cells
+
+    book = workbook_bytes({"s": [[i, f"texto {i}", None, "x" * 50] for i in range(60_000)]})
+    tracemalloc.start()
+    count = sum(1 for _ in _workbook_cells(book))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == 180_000 and peak < 12_000_000
+
+
+def test_headers_must_agree(spark, folder):
+    for name, header in (("a", "Ano"), ("b", "Mes")):
+        (pathlib.Path(folder) / f"{name}.xlsx").write_bytes(workbook_bytes({"s": [[header, "Valor"], [1, 2]]}))
+    with pytest.raises(ValueError, match="A"):
+        header_names(read_workbooks(spark, f"file://{folder}"))
+    table = sheet_table(read_workbooks(spark, f"file://{folder}", "a.xlsx"), 0)
+    assert table.columns == ["Ano", "Valor"] and [tuple(r) for r in table.collect()] == [("1", "2")]
+
+
+def test_damaged_workbooks_are_told(spark, folder):
+    good = workbook_bytes({"s": [["Ano"], [1]]})
+    for name, content in (("good", good), ("cut", good[:200]), ("text", b"no workbook")):
+        (pathlib.Path(folder) / f"{name}.xlsx").write_bytes(content)
+    found = {pathlib.Path(r["file"]).stem for r in unreadable_workbooks(workbook_files(spark, f"file://{folder}")).collect()}
+    assert found == {"cut", "text"}
+
+
+def test_written_workbooks_are_the_same_again(spark, folder):
+    cells = spark.createDataFrame(
+        [("ano=2019/a.xlsx", "um", 0, 2, "AB", "x"), ("ano=2019/a.xlsx", "dois", 1, 1, "A", "y"), ("ano=2020/b.xlsx", "um", 0, 1, "B", "z")],
+        "file string, sheet string, sheet_index int, row int, col string, value string")
+    first = {r["path"]: r["bytes"] for r in write_workbooks(cells, f"file://{folder}").collect()}
+    content = {p: pathlib.Path(p.removeprefix("file://")).read_bytes() for p in first}
+    write_workbooks(cells, f"file://{folder}").collect()
+    assert {p: pathlib.Path(p.removeprefix("file://")).read_bytes() for p in first} == content
+    told = read_workbooks(spark, f"file://{folder}", carry=("ano",)).collect()
+    assert {(r["ano"], r["sheet"], r["sheet_index"], r["row"], r["col"], r["value"]) for r in told} == {
+        (2019, "um", 0, 2, "AB", "x"), (2019, "dois", 1, 1, "A", "y"), (2020, "um", 0, 1, "B", "z")}
+    assert [column_number(x) for x in ("A", "Z", "AA", "ZZ", "AAA")] == [0, 25, 26, 701, 702]
+    books = [to_workbooks(spark.range(5).coalesce(1), "s") for _ in range(2)]
+    assert books[0].first()["path"] == books[1].first()["path"] and workbook_cells(books[0]).count() == 6
+
+
 @pytest.fixture
 def service(folder):
     for period in ("201903", "201906", "201909"):
