@@ -155,3 +155,35 @@ INDEBTEDNESS_RAW_NAMES = [
     "endiv_com_sfn_em_rel_renda_acum_ult_doze_meses_%",
     "endiv_sfn_exceto_cred_habit_em_rel_renda_ult_12_meses_%",
 ]
+
+# The originals, the table each is loaded to, and the rows per insert (None: the target's own), in load order.
+LOAD_LIST = [
+    ("demonstracao_resultado", "dre_instituicoes_financeiras", None),
+    ("resumo_financeiro", "resumo_financeiro_if", None),
+    ("listagem_instituicoes", "nomes_if", 1000),
+    ("cotacoes_2019", "bolsa_valores_b3", 1000),
+    ("cotacoes_2020", "bolsa_valores_2020", 1000),
+    ("cotacoes_2021", "bolsa_valores_2021", 1000),
+    ("cotacoes_2022", "bolsa_valores_2022", 1000),
+    ("pix", "pix", 1000),
+    ("ted", "ted", 1000),
+    ("cheque", "cheque", 1000),
+    ("precatorios_2019", "precatorio2019", 1000),
+    ("endividamento_familias", "endiv_familias", 1000),
+    ("precatorios_2020", "precatorio2020", 1000),
+    ("quadro_agencias", "quadro_agencias", 1000),
+    ("agencias_por_banco", "agencias_por_banco", 1000),
+    ("terminais_atm", "dist_ATM_por_UF", 1000),
+    ("programa_recompensas", "programa_recompensas", 1000),
+    ("carteira_credito", "carteira_de_creditos_bancos", 1000),
+    ("transacoes_atm", "qtd_transacoes_de_atm_por_canal", 1000),
+    ("transacoes_agencias", "qtd_transacoes_de_agencias_por_canal", 1000),
+    ("transacoes_central_atendimento", "qtd_transacaoes_de_ca_por_canal", 1000),
+    ("transacoes_correspondentes", "qtd_transacoes_de_correspondentes_por_canal", 1000),
+    ("transacoes_remotas", "qtd_transacoes_remota_por_canal", 1000),
+    ("transacoes_telefone", "qtd_transacoes_de_tele_por_canal", 1000),
+    ("pagamentos_transferencias", "qtd_transac__pag_de_conta_e_transf_de_cred", 1000),
+    ("cartoes_debito", "emissao_cartao_debitos", 1000),
+    ("recompensas", "programas_de_recompesa", 1000),
+    ("cartoes_credito", "emissao_cartao_creditos", 1000),
+]

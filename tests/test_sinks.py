@@ -9,7 +9,7 @@ from finmart import session
 from finmart.plans.publish import ingest_documents, publish_collections
 from finmart.session import new_folder
 from finmart.sources import sinks
-from finmart.streaming.ingest import batches, ingest_new, ingested, landed_files
+from finmart.streaming.ingest import batches, ingest_new, ingested, landed_files, ledger
 
 
 @pytest.fixture
@@ -26,9 +26,24 @@ def test_parquet_refuses_to_overwrite(spark, df):
 
 def test_replace_self(spark, df):
     path = new_folder(spark, "t")
-    sinks.write_parquet(df, path)
-    sinks.replace_parquet(spark.read.parquet(path).where("k >= 5"), path)
-    assert spark.read.parquet(path).count() == 15
+    assert sinks.replace_parquet(df, path).count() == 20
+    table = sinks.Versions(path)
+    assert sinks.replace_parquet(table.read(spark).where("k >= 5"), path).count() == 15
+    assert table.current(spark) == 2 and table.read(spark, 1).count() == 20
+
+
+def test_broken_replacement_leaves_the_table(spark, df):
+    table = sinks.Versions(new_folder(spark, "t"))
+    with pytest.raises(FileNotFoundError):
+        table.read(spark)
+    table.replace(df)
+    begun = table.read(spark)
+    for _ in range(2):
+        with pytest.raises(Exception, match="broken"):
+            table.replace(table.read(spark).withColumn("v", F.when(F.col("k") == 7, F.raise_error(F.lit("broken"))).otherwise(F.col("v"))))
+        assert table.current(spark) == 1 and table.read(spark).count() == 20
+    table.replace(table.read(spark).where("k < 3"), partition_by=["k"])  # takes the place the broken one left
+    assert table.read(spark).count() == 3 and begun.count() == 20
 
 
 def test_append_twice(spark, df):
@@ -90,6 +105,40 @@ def test_manifest_goes_on_after_an_error(spark, df):
     assert target.table(spark, "c").count() == 20
 
 
+def test_repeated_load_counts_once(spark, df):
+    target = sinks.Folder(new_folder(spark, "db"))
+    bad = df.withColumn("x", F.raise_error(F.lit("broken")).cast("string"))
+    first = sinks.load_tables([sinks.Load("a", df), sinks.Load("b", bad)], target, "1")
+    assert first["a"] == "ok" and first["b"] != "ok"
+    with pytest.raises(FileNotFoundError):
+        target.table(spark, "b")
+    assert {tuple(r) for r in target.journal(spark).collect()} == {("1", "a", 20, "ok"), ("1", "b", None, first["b"].split(":")[0])}
+    again = sinks.load_tables([sinks.Load("a", df), sinks.Load("b", df)], target, "1")
+    assert again == {"a": "ok", "b": "ok"} and target.done(spark) == {("1", "a"): 20, ("1", "b"): 20}
+    sinks.load_tables([sinks.Load("a", df)], target, "2")
+    assert target.table(spark, "a").count() == 40 and target.table(spark, "b").count() == 20
+
+
+def test_rows_without_a_journal_entry_are_not_read(spark, df):
+    """A load that broke off after its rows were stored."""
+    target = sinks.Folder(new_folder(spark, "db"))
+    target.append(df, "a", load="1")
+    df.write.parquet(f"{target.root}/a/carga=2")
+    assert target.table(spark, "a").count() == 20
+    target.append(df, "a", load="2")
+    assert target.table(spark, "a").count() == 40
+
+
+def test_load_list_wants_every_original(spark, df):
+    from finmart.plans.fixed_values import LOAD_LIST
+    from finmart.plans.publish import load_list
+    assert len(LOAD_LIST) == 28 and len({table for _, table, _ in LOAD_LIST}) == 28
+    with pytest.raises(ValueError, match="pix"):
+        load_list({name: df for name, *_ in LOAD_LIST if name != "pix"}, sinks.Folder("none"), "1")
+    with pytest.raises(ValueError, match="outro"):
+        load_list({**{name: df for name, *_ in LOAD_LIST}, "outro": df}, sinks.Folder("none"), "1")
+
+
 def test_each_record_is_loaded_once(spark, folder):
     (open(f"{folder}/d.json", "w")).write(json.dumps({"value": [{"k": "1"}, {"k": "2"}]}))
     target = sinks.Folder(new_folder(spark, "db"))
@@ -151,3 +200,24 @@ def test_replayed_batch_leaves_no_copies(spark, folder):
         os.remove(f"{commits}/{name}")
     ingest_new(landed_files(spark, f"file://{folder}", SCHEMA), table, progress)
     assert ingested(spark, table, SCHEMA).count() == 10
+
+
+def test_lost_checkpoint_stores_nothing_twice(spark, folder):
+    table = new_folder(spark, "table")
+    land(folder, "a", range(10))
+    assert ingest_new(landed_files(spark, f"file://{folder}", SCHEMA), table, new_folder(spark, "progress")) == 1
+    land(folder, "b", range(10, 15))
+    assert ingest_new(landed_files(spark, f"file://{folder}", SCHEMA), table, new_folder(spark, "progress")) == 1
+    assert ingest_new(landed_files(spark, f"file://{folder}", SCHEMA), table, new_folder(spark, "progress")) == 0
+    assert sorted(r["k"] for r in ingested(spark, table, SCHEMA).collect()) == list(range(15))
+    assert {(r["arquivo"].rsplit("/", 1)[1], r["linhas"]) for r in ledger(spark, table).collect()} == {("a.json", 10), ("b.json", 5)}
+
+
+def test_rows_of_a_broken_batch_are_not_read(spark, folder):
+    """A crash after the rows and before the ledger, and then a lost checkpoint: the files are taken again."""
+    table = new_folder(spark, "table")
+    land(folder, "a", range(10))
+    spark.read.schema(SCHEMA).json(f"file://{folder}").withColumn("arquivo", F.col("_metadata.file_path")).write.parquet(
+        f"{table}/dados/fonte=lost/lote=0")
+    ingest_new(landed_files(spark, f"file://{folder}", SCHEMA), table, new_folder(spark, "progress"))
+    assert ingested(spark, table, SCHEMA).count() == 10
