@@ -216,6 +216,18 @@ def corr_pearson(t: Tables) -> DataFrame:
     return rounded(correlation.pearson(_with_gaps(t), MEASURES), "r", places=6)
 
 
+DECLARED = PRIORITIES[:3]
+
+
+@query("""SELECT o_custkey, """ + ", ".join(
+    f"""CAST(sum(trunc(o_totalprice)) FILTER (o_orderpriority = '{p}') AS BIGINT) AS "{p}" """ for p in DECLARED)
+    + f""", CAST(sum(trunc(o_totalprice)) FILTER (o_orderpriority NOT IN {tuple(DECLARED)}) AS BIGINT) AS outras,
+          count(*) FILTER (o_orderpriority NOT IN {tuple(DECLARED)}) AS linhas_outras FROM orders GROUP BY 1""")
+def pivot_sum_rest(t: Tables) -> DataFrame:
+    """Three of the priorities are declared; the others are summed and counted."""
+    return ops.pivot_sum(t.orders, ["o_custkey"], "o_orderpriority", "o_totalprice", DECLARED, rest=("outras", "linhas_outras"))
+
+
 def _rank_sql(column: str) -> str:
     return f"rank() OVER (ORDER BY {column}) + (count(*) OVER (PARTITION BY {column}) - 1) / 2.0"
 

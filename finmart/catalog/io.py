@@ -5,19 +5,20 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finmart.catalog.base import KEYS, Tables, query
 from finmart.functions.dates import period_list
-from finmart.functions.numbers import to_number
+from finmart.functions.numbers import ptbr_integer, ptbr_number, to_number
 from finmart.operators.columns import quoted
 from finmart.operators.ordering import row_index
 from finmart.plans.fixed_values import LOAD_LIST
 from finmart.plans.publish import ingest_documents, load_list, load_originals
 from finmart.session import new_folder, written
 from finmart.sources import files, sinks
+from finmart.sources.checked import converted, read_checked_csv
 from finmart.sources.envelope import envelope, open_envelopes, unreadable_envelopes
 from finmart.sources.layouts import strings
 from finmart.sources.odata import PeriodService
@@ -337,3 +338,36 @@ def json_rejects(t: Tables) -> DataFrame:
     count = F.count(F.lit(1)).alias("n")
     broken = unreadable_envelopes(documents, "document", RECORD).agg(count).select(F.lit("ilegivel").alias("tipo"), "n")
     return broken.unionByName(open_envelopes(documents, "document", RECORD).agg(count).select(F.lit("registro").alias("tipo"), "n"))
+
+
+_CSV_BAD = """CASE WHEN o_orderkey % 11 = 0 THEN 'campos' WHEN o_orderkey % 13 = 0 THEN 'campos' WHEN o_orderkey % 17 = 0 THEN 'valor' END"""
+
+
+@query(f"""SELECT coalesce({_CSV_BAD}, 'lida') AS tipo, count(*) AS n, count(*) AS linhas_distintas FROM orders GROUP BY 1""")
+def csv_rejects(t: Tables) -> DataFrame:
+    """Orders as lines, some cut short, some with a field too many, some with a word for a number."""
+    key = F.col("o_orderkey")
+    price = F.when((key % 17 == 0) & (key % 11 != 0) & (key % 13 != 0), "n/d").otherwise(F.col("o_totalprice").cast("string"))
+    line = F.concat_ws(";", key.cast("string"), F.when(key % 11 != 0, F.col("o_orderpriority")), price,
+                       F.when((key % 13 == 0) & (key % 11 != 0), F.lit("a mais")))
+    path = new_folder(t.spark, "lines")
+    t.orders.select(line).write.text(path)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderpriority", T.StringType()),
+                           T.StructField("o_totalprice", T.DoubleType())])
+    found = read_checked_csv(t.spark, path, schema, ";", header=False)
+    count, apart = F.count(F.lit(1)).alias("n"), F.count_distinct("arquivo", "linha").alias("linhas_distintas")
+    read = found.rows.agg(count, F.count_distinct("o_orderkey").alias("linhas_distintas")).select(
+        F.lit("lida").alias("tipo"), "n", "linhas_distintas")
+    return read.unionByName(found.rejects.groupBy(F.col("motivo").alias("tipo")).agg(count, apart))
+
+
+@query("""SELECT 'saldo' AS coluna, count(*) FILTER (c_acctbal < 0) AS perdidas FROM customer
+          UNION ALL SELECT 'estado', 0 FROM (SELECT 1)""")
+def lost_number_cells(t: Tables) -> DataFrame:
+    """pt-BR texts, those of debtors unreadable and blank ones no loss: what the parse lost is told in its own pass."""
+    ptbr = F.translate(F.format_number("c_acctbal", 2), ",.", ".,")
+    texts = t.customer.select(F.when(F.col("c_acctbal") < 0, "n/d").otherwise(ptbr).alias("saldo"),
+                              F.when(F.col("c_nationkey") > 0, F.col("c_nationkey").cast("string")).otherwise("").alias("estado"))
+    told = Observation("perdidas")
+    written(converted(texts, {"saldo": ptbr_number("saldo"), "estado": ptbr_integer("estado")}, told), "numbers")
+    return t.spark.createDataFrame([(c, n) for c, n in told.get.items()], "coluna string, perdidas bigint")

@@ -341,7 +341,14 @@ def job_atm_terminals(t: Tables) -> DataFrame:
     dated = _orders_by_state(t).withColumn("ano", F.year("o_orderdate"))
     wide = dated.groupBy(F.col("uf").alias("UF")).pivot("ano", YEARS).agg(F.sum("o_totalprice"))
     texts = wide.select("UF", *(F.translate(F.format_number(F.round(f"`{y}`"), 0), ",", ".").alias(str(y)) for y in YEARS))
-    return cards.atm_terminals(texts)
+    return cards.read_atm_terminals(t.spark, _as_csv(texts, ";"))
+
+
+def _as_csv(df: DataFrame, sep: str) -> str:
+    """A small table as a published file; every file of the folder has its header."""
+    path = new_folder(df.sparkSession, "published")
+    df.coalesce(1).write.option("header", True).option("sep", sep).csv(path)
+    return path
 
 
 @query("""SELECT strftime(last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH), '%Y-%m-%d') AS "Ano",
@@ -351,13 +358,13 @@ def job_debit_cards(t: Tables) -> DataFrame:
     numerals = F.element_at(F.array(*(F.lit(x) for x in ("I", "II", "III", "IV"))), F.quarter("o_orderdate"))
     raw = t.orders.groupBy(F.year("o_orderdate").alias("Ano"), numerals.alias("Trimestre")).agg(
         _ptbr(F.sum("o_totalprice")).alias("Valor"), _ptbr(F.count(F.lit(1)).cast("double")).alias("Quantidade"))
-    return cards.debit_cards(raw, ["Valor", "Quantidade"])
+    return cards.read_debit_cards(t.spark, _as_csv(raw, ";"))
 
 
 @query("""SELECT CAST(make_date(year(o_orderdate), 12, 31) AS VARCHAR) AS "Ano", round(sum(o_totalprice), 2) AS "Valor" FROM orders GROUP BY 1""")
 def job_rewards(t: Tables) -> DataFrame:
     raw = t.orders.groupBy(F.year("o_orderdate").alias("Ano")).agg(_ptbr(F.sum("o_totalprice")).alias("Valor"))
-    return cards.rewards(raw, ["Valor"]).withColumn("Ano", _text("Ano"))
+    return cards.read_rewards(t.spark, _as_csv(raw, ";")).withColumn("Ano", _text("Ano"))
 
 
 DEBT_SEGMENTS = {2019: ["HOUSEHOLD", "MACHINERY", "FURNITURE"], 2020: ["AUTOMOBILE", "BUILDING"]}
@@ -383,7 +390,11 @@ def _debts_sql(year: int) -> str:
 
 @query(_debts_sql(2019) + " UNION ALL " + _debts_sql(2020))
 def job_precatorios(t: Tables) -> DataFrame:
-    df = precatorios.precatorios({year: _debts(t, year) for year in DEBT_SEGMENTS})
+    paths = {}
+    for year in DEBT_SEGMENTS:
+        paths[year] = new_folder(t.spark, f"debts-{year}")
+        _debts(t, year).write.option("header", True).option("sep", "\t").option("nullValue", "").csv(paths[year])
+    df = precatorios.precatorios(precatorios.read_years(t.spark, paths))
     return df.withColumns({c: _text(c) for c in ["ini_periodo_expedicao", "fim_periodo_expedicao", "data_divida"]})
 
 
@@ -402,6 +413,24 @@ def job_precatorios_check(t: Tables) -> DataFrame:
     return precatorios.check(rows, 2019, ["chave"])
 
 
+@query(f"""SELECT 'aceita' AS destino, count(*) AS linhas, NULL AS motivo FROM customer
+           WHERE (c_acctbal >= 0 AND c_mktsegment IN {tuple(DEBT_SEGMENTS[2019])}) OR c_mktsegment = 'BUILDING'
+           UNION ALL SELECT 'retida', count(*), 'montante_pago_2019: dtype(''double'')' FROM customer
+           WHERE c_acctbal < 0 AND c_mktsegment IN {tuple(DEBT_SEGMENTS[2019])}
+           UNION ALL SELECT 'retida', count(*), 'esfera: not_nullable' FROM customer WHERE c_mktsegment = 'AUTOMOBILE'""")
+def job_precatorios_quarantine(t: Tables) -> DataFrame:
+    """2019 with unreadable amounts, 2020 with gaps: every row is accepted or kept back with its reasons."""
+    names = {year: list(precatorios.yearly_names(year)) for year in DEBT_SEGMENTS}
+    first = _debts(t, 2019).withColumn(names[2019][3], F.when(F.col(f"`{names[2019][3]}`").startswith("-"), "n/d").otherwise(
+        F.col(f"`{names[2019][3]}`")))
+    second = _debts(t, 2020).withColumn("Esfera", F.when(F.col("Esfera") != "AUTOMOBILE", F.col("Esfera")))
+    told = precatorios.sorted_out({2019: first, 2020: second})
+    count = F.count(F.lit(1)).alias("linhas")
+    accepted = told.accepted.agg(count).select(F.lit("aceita").alias("destino"), "linhas", F.lit(None).cast("string").alias("motivo"))
+    return accepted.unionByName(told.failed.groupBy(F.array_join("motivos", "; ").alias("motivo")).agg(count).select(
+        F.lit("retida").alias("destino"), "linhas", "motivo"))
+
+
 @query("""SELECT event_id, CAST(CAST(date_trunc('month', ts) AS DATE) AS VARCHAR) AS "Periodo", """ + ", ".join(
     f"CASE WHEN event_type = 'error' THEN 0.0 ELSE {'-' if i % 2 else ''}value END AS {c}" for i, c in enumerate(INDEBTEDNESS_PERCENTAGES))
     + " FROM events")
@@ -412,7 +441,10 @@ def job_indebtedness(t: Tables) -> DataFrame:
 
     raw = t.events.select("event_id", F.date_format("ts", "MM/yy").alias("Data"),
                           *(cell("-" if i % 2 else "").alias(c) for i, c in enumerate(INDEBTEDNESS_PERCENTAGES)))
-    return indebtedness.indebtedness(raw).withColumn("Periodo", _text("Periodo"))
+    path = new_folder(t.spark, "indebtedness")
+    raw.write.option("header", True).csv(path)
+    told = indebtedness.read_indebtedness(t.spark, path)
+    return told.withColumns({"Periodo": _text("Periodo"), "event_id": F.col("event_id").cast("long")})
 
 
 LOAN_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_tax"]

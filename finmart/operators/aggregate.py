@@ -19,14 +19,21 @@ def group_sums(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame
     return df.groupBy(*keys).agg(*(F.sum(quoted(m)).alias(f"soma_{m}") for m in measures))
 
 
-def pivot_sum(df: DataFrame, keys: list[str], spread: str, measure: str, values: list[str]) -> DataFrame:
+def pivot_sum(df: DataFrame, keys: list[str], spread: str, measure: str, values: list[str],
+              rest: tuple[str, str] | None = None) -> DataFrame:
     """Spread a column's declared values into columns, summing the whole-number part of the measure.
 
     One conditional sum per value: a single shuffle, on the keys alone, of partly summed rows. ``pivot`` would shuffle
-    twice, first on the keys and the spread column.
+    twice, first on the keys and the spread column. ``rest`` names two more columns, the sum and the number of the rows
+    whose value is not declared (NULL included), so that every row of the input is in some column.
     """
-    whole = whole_number(quoted(measure))
-    return df.groupBy(*keys).agg(*(F.sum(F.when(quoted(spread) == v, whole)).alias(v) for v in values))
+    # once per row, below the aggregate
+    lean = df.select(*(quoted(k) for k in keys), quoted(spread).alias("_spread"), whole_number(quoted(measure)).alias("_whole"))
+    sums = [F.sum(F.when(F.col("_spread") == v, F.col("_whole"))).alias(v) for v in values]
+    if rest:
+        other = ~F.coalesce(F.col("_spread").isin(values), F.lit(False))
+        sums += [F.sum(F.when(other, F.col("_whole"))).alias(rest[0]), F.count_if(other).alias(rest[1])]
+    return lean.groupBy(*keys).agg(*sums)
 
 
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finmart.sources.layouts import positions
+from finmart.sources.layouts import positions, strings
 
 
 def read_parquet(spark: SparkSession, path, columns: list[str] | None = None) -> DataFrame:
@@ -28,6 +28,16 @@ def read_csv(spark: SparkSession, path, schema: T.StructType, sep: str = ",", en
     return reader.csv(path)
 
 
+def read_text_csv(spark: SparkSession, path, sep: str = ",", encoding: str = "UTF-8", header_of: str | None = None) -> DataFrame:
+    """CSV whose header is not known before: every column as text, under the names of the file's header.
+
+    The header is that of one file of the folder (of ``header_of`` if given); a file with another one fails.
+    """
+    reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+    names = reader.csv(header_of or path).columns
+    return read_csv(spark, path, strings(*names), sep, encoding)
+
+
 def read_positional_csv(spark: SparkSession, path, width: int, sep: str = ";") -> DataFrame:
     """Headerless CSV: text columns ``_0`` .. ``_{width-1}``."""
     return spark.read.schema(positions(width)).option("sep", sep).csv(path)

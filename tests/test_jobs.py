@@ -143,6 +143,19 @@ def test_precatorios(spark):
                      ("saldo_pos_pagamento", "column_in_dataframe", None)}
 
 
+def test_precatorios_are_sorted_out(spark):
+    def raw(year, *data):
+        return spark.createDataFrame(data, strings(*precatorios.yearly_names(year)))
+    good = ("A", "B", "1.000,5", "1", "2", "3", "4")
+    told = precatorios.sorted_out({2019: raw(2019, good, (None, "B", "x", "1", "2", None, "4")),
+                                   2020: raw(2020, good).drop("Esfera")})
+    assert [r["montante_pend_pagamento"] for r in told.accepted.collect()] == [1000.5]
+    failed = {r["ano"]: (r["motivos"], r["linha"]) for r in told.failed.collect()}
+    assert failed[2019][0] == ["ente_devedor: not_nullable", "montante_pend_pagamento: dtype('double')",
+                               "prec_exp_2_07_2018_ate_1_7_2019: not_nullable"]
+    assert failed[2020][0] == ["esfera: column_in_dataframe"] and '"Ente devedor":"A"' in failed[2020][1]
+
+
 def test_indebtedness(spark):
     cells = ["1,5", "-", "-1,5", *["0,25"] * 6]
     df = spark.createDataFrame([("03/21", *cells), (None, *cells)], strings("Data", *INDEBTEDNESS_PERCENTAGES))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from finmart.plans.loans import loans_union
 from finmart.plans.registry import appended_listings, fetch_registry
-from finmart.sources import envelope, files, layouts
+from finmart.sources import checked, envelope, files, layouts
 from finmart.sources.odata import PeriodService
 from finmart.sources.sheets import (
     header_names, read_workbooks, shape_sheet, sheet_table, unreadable_workbooks, workbook_cells, workbook_files)
@@ -39,6 +39,39 @@ def test_csv_dialects(spark, folder):
     assert str(files.read_csv(spark, write(folder, "c.csv", "DATA\n2020-02-29\n"), dated).first()[0]) == "2020-02-29"
 
 
+@pytest.mark.parametrize("split", ["40b", "128m"])
+def test_rejected_lines_are_told_with_their_place(spark, folder, split):
+    """Lines are numbered through however small the splits of a file are."""
+    good = [f"{i};nome {i};{i},5" for i in range(30)]
+    write(folder, "csv/a.csv", "\n".join(["k;nome;v", *good[:10], "10;curta", *good[10:20], "k;nome;v", "x;nome;1,5", *good[20:]]) + "\n")
+    write(folder, "csv/b.csv", "outra;linha;aqui\n\n1;a;b;c\n2;\"com ; dentro\";3,0\n")
+    schema = T.StructType([T.StructField("k", T.IntegerType()), *layouts.strings("nome", "v").fields])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        found = checked.read_checked_csv(spark, f"file://{folder}/csv", schema, ";")
+        rows = found.rows.collect()
+        rejects = {(pathlib.Path(r["arquivo"]).stem, r["linha"], r["texto"], r["motivo"]) for r in found.rejects.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(tuple(r) for r in rows) == sorted([(i, f"nome {i}", f"{i},5") for i in range(30)] + [(2, "com ; dentro", "3,0")])
+    assert rejects == {("a", 12, "10;curta", "campos"), ("a", 24, "x;nome;1,5", "valor"), ("b", 1, "outra;linha;aqui", "cabecalho"),
+                       ("b", 3, "1;a;b;c", "campos")}
+
+
+def test_checked_latin1(spark, folder):
+    path = write(folder, "l.csv", "m\u00eas;v\na\u00e7\u00e3o;1\nruim\n", "latin-1")
+    found = checked.read_checked_csv(spark, path, layouts.strings("m\u00eas", "v"), ";", "ISO-8859-1")
+    assert [tuple(r) for r in found.rows.collect()] == [("a\u00e7\u00e3o", "1")]
+    assert [(r["linha"], r["texto"]) for r in found.rejects.collect()] == [(3, "ruim")]
+
+
+def test_lost_cells(spark):
+    df = spark.createDataFrame([("1,5", "7"), ("n/d", ""), (None, " "), ("", "x")], "a string, b string")
+    told = checked.lost_cells(df, {"a": F.col("a").try_cast("double"), "b": F.col("b").try_cast("int")})
+    assert {tuple(r) for r in told.collect()} == {("a", 2), ("b", 1)}
+
+
 def test_json_lines_folder_is_one_scan(spark, folder):
     for i in range(3):
         write(folder, f"lines/{i}.json", "".join(json.dumps({"k": i, "v": j}) + "\n" for j in range(4)))
