@@ -99,5 +99,5 @@ def sorted_out(raw: dict[int, DataFrame]) -> Sorted:
 def read_years(spark: SparkSession, paths: dict[int, str]) -> dict[int, DataFrame]:
     """The tab-separated file of each year, as published; columns without a name, which a reader numbers, are left out."""
     read = {year: read_text_csv(spark, path, "\t") for year, path in paths.items()}
-    return {year: df.select(*(quoted(c) for c in df.columns if c.strip() and not re.fullmatch(r"_c\d+| \.\d+", c)))
+    return {year: df.select(*(quoted(c) for c in df.columns if c.strip() and not re.fullmatch(r"_c\d+|\s*\.\d+", c)))
             for year, df in read.items()}
