@@ -1,8 +1,9 @@
 """Phrases whose words stand together more than chance has it, counted in depth-truncated suffix subtrees.
 
-The words are counted first. A suffix is the run of frequent words from a place of a piece on, five at most; longer runs
-and rare words cannot be in a candidate. Word prefixes are extended by a word until each stands before no more suffixes
-than the memory budget of a group, and prefixes are put together into groups of that budget. Every group takes its
+The words are counted first, then the pairs of frequent words, by 64-bit keys alone. A suffix is the run of frequent words
+and pairs from a place of a piece on, five words at most; nothing beyond them can be in a candidate. Word prefixes are
+extended by a word until each stands before no more suffixes than the memory budget of a group, and prefixes are put
+together into groups of that budget. Every group takes its
 suffixes, sorts them into a subtree and reads the counts of all phrases from the totals of its leaves, independently of
 the others. Cuts, scores and the drop of contained phrases are joins of the frequent phrases.
 
@@ -31,7 +32,7 @@ GROUP_SUFFIXES = 1_000_000
 BLOCK_BYTES = 4 * 1024 * 1024
 # Suffixes a map task holds before it adds up equal ones and hands them on.
 HELD_SUFFIXES = 300_000
-# Bits of the filter of frequent words, 32 MB. A larger vocabulary lets more suffixes through; the counts stay exact.
+# Bits of the filters of frequent words and pairs, 32 MB each. Fuller filters let more through; the counts stay exact.
 FILTER_BITS = 28
 _SEPARATORS, _BREAKS = (9, 32), (*b".,;:!?", *range(10, 14))
 _ROW = ["g", *(f"h{d}" for d in range(1, DEPTH + 1)), "n"]
@@ -53,7 +54,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Filter:
-    """A bit set that holds every frequent word, and some others."""
+    """A bit set that holds every frequent word or pair, and some others."""
 
     def __init__(self, bits: np.ndarray):
         self.bits, self.mask = bits, np.uint64(64 * len(bits) - 1)
@@ -78,11 +79,15 @@ def _filter(frequent: DataFrame) -> Filter:
     return Filter(held)
 
 
+def _next_key(key: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(key * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
 def _keys(rows: np.ndarray) -> np.ndarray:
     """A 64-bit key of the first 1, 2, ... words of each suffix, by column."""
     out = rows.copy()
     for d in range(1, rows.shape[1]):
-        out[:, d] = mixed(out[:, d - 1] * np.uint64(0x9E3779B97F4A7C15) + rows[:, d])
+        out[:, d] = _next_key(out[:, d - 1], rows[:, d])
     return out
 
 
@@ -94,15 +99,24 @@ def _heavy_depth(keys: np.ndarray, lengths: np.ndarray, heavy: list[np.ndarray])
     return depth
 
 
-def _suffixes(words, hashed: np.ndarray, known: Filter, width: int) -> np.ndarray:
-    """Word hashes of the frequent words from each place on, 0 beyond; places with a frequent word and one after it."""
+def _suffixes(words, hashed: np.ndarray, known: Filter, pairs: Filter | None, width: int) -> np.ndarray:
+    """Word hashes of the frequent words and pairs from each place on, 0 beyond; places with such a pair."""
     hashed = np.where(known.holds(hashed), hashed, np.uint64(0))[words.codes] if len(hashed) else hashed
-    rows = np.zeros((len(hashed), width), np.uint64)
-    rows[:, 0] = hashed
-    for d in range(1, min(width, len(hashed))):
-        goes_on = (words.piece[d:] == words.piece[:-d]) & (rows[:-d, d - 1] > 0)
-        rows[:-d, d] = np.where(goes_on, hashed[d:], np.uint64(0))
-    return rows[rows[:, 1] > 0]
+    n = len(hashed)
+    pair = np.zeros(n, bool)
+    pair[:-1] = (words.piece[1:] == words.piece[:-1]) & (hashed[:-1] > 0) & (hashed[1:] > 0)
+    if pairs is not None:
+        at = np.flatnonzero(pair)
+        pair[at] = pairs.holds(_next_key(hashed[at], hashed[at + 1]))
+    at = np.flatnonzero(pair)
+    rows = np.zeros((len(at), width), np.uint64)
+    rows[:, 0], rows[:, 1] = hashed[at], hashed[np.minimum(at + 1, n - 1)]
+    on = np.ones(len(at), bool)
+    for d in range(2, width):
+        place = np.minimum(at + d - 1, n - 1)
+        on &= pair[place]
+        rows[on, d] = hashed[place[on] + 1]
+    return rows
 
 
 def _combined(rows: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,14 +130,14 @@ def _combined(rows: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return rows[new], np.add.reduceat(count, new)
 
 
-def _map_suffixes(batches: Iterator[pa.RecordBatch], salt: str, known: Filter, width: int = DEPTH,
+def _map_suffixes(batches: Iterator[pa.RecordBatch], salt: str, known: Filter, pairs: Filter | None, width: int = DEPTH,
                   ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(suffixes, counts) of a map task, the first ``width`` words of each, equal ones added up as far as it holds them."""
     splitter = Splitter(_SEPARATORS, _BREAKS)
     rows, count = np.zeros((0, width), np.uint64), np.zeros(0, np.int64)
     for lang, block, _ in blocks(batches, "lang", None, BLOCK_BYTES):
         words = splitter.split(block)
-        more = _suffixes(words, _hashes(lang, words.dictionary, salt), known, width)
+        more = _suffixes(words, _hashes(lang, words.dictionary, salt), known, pairs, width)
         rows, count = _combined(np.concatenate([rows, more]), np.concatenate([count, np.ones(len(more), np.int64)]))
         if len(rows) >= HELD_SUFFIXES:
             yield rows, count
@@ -131,31 +145,67 @@ def _map_suffixes(batches: Iterator[pa.RecordBatch], salt: str, known: Filter, w
     yield rows, count
 
 
+def _summed(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, their sums, a place of each)."""
+    found, first, place = np.unique(key, return_index=True, return_inverse=True)
+    total = np.zeros(len(found), np.int64)
+    np.add.at(total, place, count)
+    return found, total, first
+
+
+def _pairs(shared):
+    """Counts of the pairs of frequent words, with the slot of their first word, -1 where it is too common for a group."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salt, known, heavy, slots = shared.value
+        for rows, count in _map_suffixes(batches, salt, known, None, 2):
+            key, total, first = _summed(_keys(rows)[:, 1], count)
+            word = rows[first, 0]
+            slot = np.where(np.isin(word, heavy), -1, (mixed(word) & np.uint64(slots - 1)).astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(slot, pa.int32()), pa.array(total)], ["h", "slot", "n"])
+    return run
+
+
 def _extend(shared, depth: int):
     """Counts of the prefixes of ``depth`` words whose shorter prefixes are all too common."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt, known, heavy = shared.value
-        for rows, count in _map_suffixes(batches, salt, known, depth):
+        salt, known, pairs, heavy = shared.value
+        for rows, count in _map_suffixes(batches, salt, known, pairs, depth):
             lengths, keys = (rows > 0).sum(1), _keys(rows)
             mine = (_heavy_depth(keys, lengths, heavy) == depth - 1) & (lengths >= depth)
-            key, place = np.unique(keys[mine, depth - 1], return_inverse=True)
-            total = np.zeros(len(key), np.int64)
-            np.add.at(total, place, count[mine])
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(total)], ["key", "n"])
+            key, total, _ = _summed(keys[mine, depth - 1], count[mine])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(total)], ["h", "n"])
     return run
 
 
+def _packed(rows: np.ndarray, count: np.ndarray) -> bytes:
+    """A sorted run of suffixes, column by column: what neighbours share takes little room."""
+    raw = b"".join([*(np.ascontiguousarray(c).tobytes() for c in rows.T), count.tobytes()])
+    return pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(block: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(pa.decompress(block, 8 * (DEPTH + 1) * size, codec="zstd", asbytes=True), np.uint64)
+    columns = raw.reshape(DEPTH + 1, size)
+    return np.ascontiguousarray(columns[:DEPTH].T), columns[DEPTH].view(np.int64)
+
+
 def _route(shared):
-    """Every suffix with the group of its prefix."""
+    """Every suffix to the group of its prefix, as a sorted run for each group that a map task's suffixes go to."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt, known, heavy, groups = shared.value
-        for rows, count in _map_suffixes(batches, salt, known):
+        salt, known, pairs, heavy, groups = shared.value
+        for rows, count in _map_suffixes(batches, salt, known, pairs):
             lengths, keys = (rows > 0).sum(1), _keys(rows)
             depth = np.minimum(_heavy_depth(keys, lengths, heavy), lengths - 1)
             key = keys[np.arange(len(keys)), depth]
             group = groups[mixed(key) & np.uint64(len(groups) - 1)]
+            order = np.lexsort([*rows.T[::-1], group])
+            rows, count, group = rows[order], count[order], group[order]
+            edges = [*np.flatnonzero(np.diff(group, prepend=-1)).tolist(), len(group)]
+            cuts = list(zip(edges, edges[1:]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(group, pa.int32()), *(pa.array(c) for c in rows.view(np.int64).T), pa.array(count)], _ROW)
+                [pa.array([int(group[a]) for a, _ in cuts], pa.int32()), pa.array([b - a for a, b in cuts], pa.int64()),
+                 pa.array([_packed(rows[a:b], count[a:b]) for a, b in cuts], pa.binary())], ["g", "size", "run"])
     return run
 
 
@@ -165,12 +215,12 @@ def _subtree(shared, least: int):
         heavy = shared.value
         parts, held = [], 0
         for batch in batches:
-            parts.append((np.column_stack([batch.column(c).to_numpy() for c in range(1, DEPTH + 1)]).view(np.uint64),
-                          batch.column(DEPTH + 1).to_numpy()))
-            held += batch.num_rows
-            if held > 2 * GROUP_SUFFIXES:  # copies from very many tasks
-                parts = [_combined(*map(np.concatenate, zip(*parts)))]
-                held = len(parts[0][0])
+            for block, size in zip(batch.column(2), batch.column(1).to_pylist()):
+                parts.append(_unpacked(block.as_py(), size))
+                held += size
+                if held > 2 * GROUP_SUFFIXES:  # copies from very many tasks
+                    parts = [_combined(*map(np.concatenate, zip(*parts)))]
+                    held = len(parts[0][0])
         if not held:
             return
         rows, count = map(np.concatenate, zip(*parts))
@@ -201,25 +251,37 @@ def frequent_phrases(slim: DataFrame, frequent: DataFrame, salt: str, least: int
     spark = slim.sparkSession
     share = spark.sparkContext.broadcast
     known = _filter(frequent)
-    prefixes = frequent.select(F.col("h").alias("key"), F.col("f").alias("n"))
     # as many slots of prefixes as eight for each group, which is a task
-    slots = 1 << max(12, int(8 * (prefixes.agg(F.sum("n")).first()[0] or 0) / budget).bit_length())
+    slots = 1 << max(12, int(8 * (frequent.agg(F.sum("f")).first()[0] or 0) / budget).bit_length())
     totals = np.zeros(slots, np.int64)
-    heavy: list[np.ndarray] = []
-    for depth in range(1, DEPTH + 1):
-        if depth > 1:
-            prefixes = written(slim.mapInArrow(_extend(share((salt, known, heavy)), depth), "key bigint, n bigint").groupBy(
-                "key").agg(F.sum("n").alias("n")), "prefixes")
-        # no more than the words of the corpus by the budget
-        common = prefixes.where(F.col("n") > (budget if depth < DEPTH else 1 << 62)).select("key").toArrow()["key"].to_numpy()
-        by_slot = prefixes.where(F.col("n") <= budget if depth < DEPTH else F.lit(True)).select(
-            "key", "n").mapInArrow(_slots(slots), "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-        totals[by_slot["slot"].to_numpy()] += by_slot["n"].to_numpy()
-        if not len(common):
+
+    def add(by_slot: DataFrame) -> None:
+        told = by_slot.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+        totals[told["slot"].to_numpy()] += told["n"].to_numpy()
+
+    def common(prefixes: DataFrame) -> np.ndarray:
+        """No more than the words of the corpus by the budget."""
+        return np.sort(prefixes.where(F.col("n") > budget).select("h").toArrow()["h"].to_numpy().view(np.uint64))
+
+    heavy = [common(frequent.select("h", F.col("f").alias("n")))]
+    counted = slim.mapInArrow(_pairs(share((salt, known, heavy[0], slots))), "h bigint, slot int, n bigint").groupBy(
+        "h", "slot").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    prefixes = written(counted, "pairs")
+    pairs = _filter(prefixes.select("h"))
+    add(prefixes.where("slot >= 0"))
+    prefixes = prefixes.where("slot < 0")
+    for depth in range(2, DEPTH + 1):
+        if not len(heavy[-1]):
             break
-        heavy.append(np.sort(common.view(np.uint64)))
+        if depth > 2:
+            prefixes = written(slim.mapInArrow(_extend(share((salt, known, pairs, heavy)), depth), "h bigint, n bigint").groupBy(
+                "h").agg(F.sum("n").alias("n")), "prefixes")
+        light = prefixes.where(F.col("n") <= budget) if depth < DEPTH else prefixes
+        add(light.select("h", "n").mapInArrow(_slots(slots), "slot int, n bigint"))
+        if depth < DEPTH:
+            heavy.append(common(prefixes))
     groups = ((np.cumsum(totals) - totals) // budget).astype(np.int32)
-    rows = slim.mapInArrow(_route(share((salt, known, heavy, groups))), _ROW_TYPE)
+    rows = slim.mapInArrow(_route(share((salt, known, pairs, heavy, groups))), "g int, size bigint, run binary")
     parted = rows.repartitionById(int(groups[-1]) + 1, F.col("g"))
     told = parted.mapInArrow(_subtree(share(heavy), least), _ROW_TYPE)
     columns = [f"h{d}" for d in range(1, DEPTH + 1)]
@@ -231,9 +293,7 @@ def _slots(slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slot = mixed(batch.column(0).to_numpy().view(np.uint64)) & np.uint64(slots - 1)
-            place, number = np.unique(slot, return_inverse=True)
-            total = np.zeros(len(place), np.int64)
-            np.add.at(total, number, batch.column(1).to_numpy())
+            place, total, _ = _summed(slot, batch.column(1).to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(total)], ["slot", "n"])
     return run
 
