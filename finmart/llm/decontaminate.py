@@ -22,7 +22,7 @@ SLICE_BYTES = 32 * 1024 * 1024
 
 
 class Index:
-    """Windows of one slice of the benchmark: sorted hashes per length, with the items and words behind each."""
+    """Windows of one slice of the benchmark: sorted hashes per length, with the words and all items behind each."""
 
     def __init__(self, items: list[tuple[object, bytes | None]], window: int):
         self.words = [alnum_words(raw) for _, raw in items]
@@ -38,13 +38,31 @@ class Index:
         for length, parts in sorted(found.items()):
             values, item, start = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(values, kind="stable")
-            self.tables.append((length, values[order], item[order], start[order]))
+            self.tables.append((length, *self._distinct(length, values[order], item[order], start[order])))
+
+    def _distinct(self, length: int, values: np.ndarray, item: np.ndarray, start: np.ndarray):
+        """Equal windows as one: hashes, an item and place of each, and the items of those that stand more than once."""
+        edges = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        sizes = np.diff(np.r_[edges, len(values)])
+        keep, members = np.zeros(len(values), bool), {}
+        keep[edges[sizes == 1]] = True
+        for a, n in zip(edges[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
+            found: dict[tuple, int] = {}
+            for k in range(a, a + n):
+                i, s = int(item[k]), int(start[k])
+                first = found.setdefault(tuple(self.words[i][s:s + length]), k)
+                keep[first] = True
+                members.setdefault(first, set()).add(i)
+        kept = np.flatnonzero(keep)
+        place = {k: p for p, k in enumerate(kept.tolist()) if k in members}
+        return values[kept], item[kept], start[kept], {place[k]: held for k, held in members.items()}
 
     def hits(self, words: list[bytes], hashed: np.ndarray) -> tuple[np.ndarray, set[int]]:
         """Which words an occurring window covers, and the items with occurring windows."""
         covered = np.zeros(len(words) + 1, np.int64)
         items: set[int] = set()
-        for length, values, item, start in self.tables:
+        for length, values, item, start, members in self.tables:
+            seen: set[int] = set()
             runs = ngram_hashes(hashed, length)
             if not len(runs):
                 continue
@@ -55,12 +73,14 @@ class Index:
                 while k < len(values) and values[k] == runs[at]:
                     i, s = int(item[k]), int(start[k])
                     if self.words[i][s:s + length] == here:
-                        items.add(i)
+                        seen.add(k)
                         true = True
                     k += 1
                 if true:
                     covered[at] += 1
                     covered[at + length] -= 1
+            for k in seen:
+                items |= members.get(k) or {int(item[k])}
         return np.cumsum(covered)[:-1] > 0, items
 
 
@@ -83,7 +103,7 @@ def _scan(shared, window: int, columns: list[str]):
                 counts.append(len(words))
                 starts.append(first)
                 lengths.append(long)
-                names.append(sorted({str(index.names[i]) for i in items}))
+                names.append(sorted({index.names[i] for i in items if index.names[i] is not None}))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(counts, pa.int64()), pa.array(starts, pa.list_(pa.int64())),
                 pa.array(lengths, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))], names=columns)
@@ -94,7 +114,7 @@ def _slices(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> I
     """The items in slices of bounded bytes, streamed to the driver a partition at a time."""
     kept, size = [], 0
     rows = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").alias("text"))
-    for row in rows.where("item IS NOT NULL AND text IS NOT NULL").toLocalIterator():
+    for row in rows.where("text IS NOT NULL").toLocalIterator():
         raw = row["text"].encode()
         if kept and size + len(raw) > limit:
             yield kept
@@ -109,8 +129,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
          slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``id``, ``n_words``, ``starts``, ``lengths`` (runs of hit words), ``items`` (sorted strings), a row per document.
 
-    An item of fewer than ``window`` words is one window; an item without words, text or id has none. NULL and empty
-    documents have no words. Items that repeat an id count once, and repeated documents stay rows. A benchmark beyond
+    An item of fewer than ``window`` words is one window; an item without words or text has none. The windows of an item
+    without an id hit, but there is no id to list. NULL and empty documents have no words. Items that repeat an id count once, and repeated documents stay rows. A benchmark beyond
     ``slice_bytes`` is scanned slice by slice, and the finds of a document are put together by its row number.
     """
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finmart.llm.base import needed, sorted_groups
@@ -172,25 +173,35 @@ def _least_reached(one: np.ndarray, two: np.ndarray, n: int) -> np.ndarray:
         root = least
 
 
+def _sound(vector_col: str) -> Column:
+    """The vector in doubles, NULL where it can link with nothing."""
+    values = F.col(f"`{vector_col}`").cast("array<double>")
+    finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.when(finite & F.exists(values, lambda x: x != 0), values)
+
+
+def lengths(df: DataFrame, vector_col: str = "embedding") -> list[tuple[int, int]]:
+    """(length, number) of the vectors that can link, the commonest length first; a handful of lengths."""
+    sizes = df.select(F.size(_sound(vector_col)).alias("dim")).where("dim > 0").groupBy("dim").count()
+    return [tuple(r) for r in sizes.orderBy(F.desc("count"), "dim").collect()]
+
+
 def link_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95,
-                 tables: int = 10, probes: int = 2, seed: int = 7) -> tuple[DataFrame, DataFrame, DataFrame]:
+                 tables: int = 10, probes: int = 2, seed: int = 7, length: tuple[int, int] | None = None,
+                 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, links): all rows, their distinct directions, and what each block tells of the links between them.
 
     ``rows`` has ``vec_id`` and ``unit`` (raw doubles; NULL where the vector is NULL, zero, empty, of another length
-    than most, or holds a NULL or a non-finite component: such rows are in no class). ``classes`` has ``unit``, ``node``,
+    than ``length`` (length and number of vectors; by default the commonest), or holds a NULL or a non-finite component:
+    such rows are in no class). ``classes`` has ``unit``, ``node``,
     ``least`` (smallest id) and ``copies``; ``links`` has ``node``, ``root`` (a node that it reaches) and ``others`` (vectors
     linked directly, copies included; each link is in one block's sum). Equal directions are one class before any bucket
     is made, so copies cost nothing; a full bucket is cut into a grid of blocks, so none is one task's work and no pair
     in it is lost.
     """
     spark = df.sparkSession
-    values = F.col(f"`{vector_col}`").cast("array<double>")
-    finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    sound = finite & F.exists(values, lambda x: x != 0)
-    vectors = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.when(sound, values).alias("vector"))
-    sizes = vectors.where("vector IS NOT NULL").groupBy(F.size("vector").alias("dim")).count()
-    most = sizes.orderBy(F.desc("count"), "dim").limit(1).collect()
-    dim, total = (most[0]["dim"], most[0]["count"]) if most else (1, 0)
+    vectors = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), _sound(vector_col).alias("vector"))
+    dim, total = length or (lengths(df, vector_col) or [(1, 0)])[0]
     rows = written(vectors.withColumn("vector", F.when(F.size("vector") == dim, F.col("vector"))).mapInArrow(
         _unit_rows(dim), "vec_id long, unit binary"), "units")
     classes = rows.where("unit IS NOT NULL").groupBy("unit").agg(
@@ -236,8 +247,18 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
     ``n_links`` counts the other vectors linked directly, copies included; ``component_id`` is the smallest id that links
     reach. A row whose vector links with nothing has no links and is its own component, a row without an id in a
-    component gets that component's id, and an empty table gives an empty table. Rows that repeat an id stay rows.
+    component gets that component's id, and an empty table gives an empty table. Rows that repeat an id stay rows. Vectors
+    link with those of their own length; each length is worked on by itself.
     """
+    found = lengths(df, vector_col) or [(1, 0)]
+    size = F.coalesce(F.size(_sound(vector_col)), F.lit(-1))
+    others = [one for one, _ in found[1:]]
+    parts = [df.where(~size.isin(others)) if others else df, *(df.where(size == one) for one in others)]
+    told = [_near_duplicates(part, id_col, vector_col, threshold, length=length, **options) for part, length in zip(parts, found)]
+    return reduce(DataFrame.unionByName, told)
+
+
+def _near_duplicates(df: DataFrame, id_col: str, vector_col: str, threshold: float, **options) -> DataFrame:
     rows, classes, links = link_vectors(df, id_col, vector_col, threshold, **options)
     degree = links.groupBy("node").agg(F.sum("others").alias("others"))
     found = components(links.select("node", "root")).join(classes.select("node", "least"), "node")

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finmart.llm.base import WordHashes, blank_words, mixed, ngram_hashes, small_side, sorted_groups, texts, Union
@@ -33,6 +33,8 @@ QUERY_ROWS = 2048
 # A shingle is frequent when more prefixes than this hold it; at most FREQUENT_MOST shingles are.
 FREQUENT = 64
 FREQUENT_MOST = 1_000_000
+# The number of the first row without an id.
+UNNAMED = 1 << 62
 
 
 def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
@@ -196,16 +198,24 @@ def _frequent(slim: DataFrame, n: int, percent: int, rounds: int):
     return spark.sparkContext.broadcast(known)
 
 
+def _named(number) -> Column:
+    value = F.col(number) if isinstance(number, str) else number
+    return F.when(value < UNNAMED, value)
+
+
 def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85,
                       rounds: int = 2) -> DataFrame:
     """``id``, ``n_shingles``, ``component_id``, ``n_links``: one row per document.
 
     Documents with equal shingle sets are one class from the start; ``n_links`` counts linked documents, copies
     included, and ``component_id`` is the smallest id that links reach. NULL texts and texts without words have no
-    shingle and link with nothing. A row without an id stays a row; it links through the documents equal to it that have
-    an id, and without such has no component. Documents that repeat an id stay rows; if their texts differ they are judged apart. An empty table gives none.
+    shingle and link with nothing. A row without an id is a document like others, only that no component has its name: a
+    component of such rows alone is NULL. Ids lie below 2**62. Documents that repeat an id stay rows; if their texts differ they are judged apart. An empty table gives none.
     """
     slim = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    # rows without an id get numbers behind all ids, which a later job finds again since they are stored
+    unnamed = slim.where("id IS NULL").select((F.lit(UNNAMED) + F.monotonically_increasing_id()).alias("id"), "text")
+    slim = slim.where("id IS NOT NULL").unionByName(written(unnamed, "unnamed"))
     frequent = _frequent(slim.select("text"), words, percent, rounds)
     digests = written(slim.mapInArrow(
         _digests(words, percent, frequent),
@@ -279,5 +289,5 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "name", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
         F.coalesce("component_id", "least_id").alias("component_id"))
     return digests.select("id", "n_shingles", "name").join(written(told, "told"), "name", "left").select(
-        "id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"),
+        _named("id").alias("id"), "n_shingles", _named(F.coalesce("component_id", "id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

@@ -113,7 +113,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+# components of a symmetric relation links(a, b): the least node that each reaches
+_REACHED = """reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+lowest AS (SELECT a, min(b) AS root FROM reach GROUP BY a)"""
+
 SQL: dict[str, str] = {
+    "op1_embedding_dedup": f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+sound AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+{_REACHED},
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(root, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(root, vec_id)) AS kept
+FROM v LEFT JOIN counts ON counts.a = vec_id LEFT JOIN lowest ON lowest.a = vec_id""",
+    "op6_jaccard_join": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+sets AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + least(len(words), 4) - 1], ' ') AS s
+         FROM (SELECT doc_id, words, unnest(range(1, len(words) - least(len(words), 4) + 2)) AS i FROM d WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+{_REACHED},
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(root, d.doc_id)) AS component_id,
+       CAST(coalesce(counts.n, 0) AS BIGINT) AS n_links
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN counts ON counts.a = d.doc_id LEFT JOIN lowest ON lowest.a = d.doc_id""",
     # windows by length, occurrences by an equal join, hit words by the union of the windows that cover them
     "op3_decontamination": f"""
 WITH items AS (SELECT item_id, {_ALNUM} AS words FROM benchmark),

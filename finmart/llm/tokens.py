@@ -1,7 +1,7 @@
 """Token ids by the tokenizers library, with the ids of a chunk of text remembered.
 
-A tokenizer's rules never join text across the chunks used here, so a text's ids are its chunks' ids in a row. Text that
-spells a special token is ordinary text.
+A tokenizer's rules never join text across the chunks used here, so a text's ids are its chunks' ids in a row. A text that
+spells one of the vocabulary's own tokens, such as a special one, is encoded by itself, as the tokenizer does it.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ class Encoder:
         held = remembered(f"tokenizer {path}")
         if not held:
             held["plain"], held["marked"] = Tokenizer.from_file(path), Tokenizer.from_file(path)
-            held["plain"].encode_special_tokens = True
+            held["own"] = [t.content.encode() for t in held["plain"].get_added_tokens_decoder().values()]
             held["memo"], held["after"] = {}, {}
             vocabulary = held["plain"].get_vocab()
             held["last"] = np.zeros(1 + max(vocabulary.values()), bool)
@@ -157,6 +157,11 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if self.mark is None:
             return self.encode_plain(texts)
+        own = [i for i, text in enumerate(texts) if any(map(text.__contains__, self.held["own"]))]
+        if own:
+            alone = dict(zip(own, self.encode_plain([texts[i] for i in own])))
+            rest = iter(self.encode([text for i, text in enumerate(texts) if i not in alone]))
+            return [alone[i] if i in alone else next(rest) for i in range(len(texts))]
         out, block, size = [], [], 0
         for text in texts:
             block.append(text)

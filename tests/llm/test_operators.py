@@ -227,11 +227,11 @@ def test_licenses(spark, docs, rows, empty, odd):
     assert licenses.report(*licenses.scan(empty)).count() == 0 and licenses.report(*licenses.scan(odd)).count() == 6
 
 
-def jaccard_oracle(rows):
+def jaccard_oracle(rows, words=4, percent=85):
     sets = {}
     for i, text, *_ in rows:
         w = (text or "").encode().lower().split()
-        sets[i] = {tuple(w[k:k + 4]) for k in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set()
+        sets[i] = {tuple(w[k:k + words]) for k in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} if w else set()
     root, links = {i: i for i in sets}, collections.Counter()
 
     def find(x):
@@ -243,7 +243,7 @@ def jaccard_oracle(rows):
     for k, a in enumerate(ids):
         for b in ids[:k]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 links[a] += 1
                 links[b] += 1
                 x, y = sorted((find(a), find(b)))
