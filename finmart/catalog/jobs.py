@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -238,6 +239,23 @@ def job_income_stats(t: Tables) -> DataFrame:
     return stats_rounded(income.income_stats(clean, "lucro"))
 
 
+CORRELATED = ["lucro", "ativo", "cart", "pl"]
+
+
+def _correlation_sql(a: str, b: str) -> str:
+    ranks = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS r{n}" for n, c in enumerate((a, b)))
+    return f"""SELECT 'pearson' AS metodo, '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM nfact
+               UNION ALL SELECT 'spearman', '{a}', '{b}', round(corr(r0, r1), 6) FROM (
+               SELECT {ranks} FROM nfact WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"""
+
+
+@query(" UNION ALL ".join(_correlation_sql(a, b) for a, b in combinations(CORRELATED, 2)), "nfact")
+def job_income_correlation(t: Tables) -> DataFrame:
+    """Gaps in two of the four measures, at places of their own."""
+    clean = written(nfact(t, heavy=True).select(*CORRELATED), "income")
+    return rounded(income.income_correlations(clean, CORRELATED), "r", places=6)
+
+
 @query("""SELECT o_orderkey, o_orderpriority AS modalidade, n_name AS uf, o_totalprice AS valor, CAST(year(o_orderdate) AS INTEGER) AS ano
           FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
 def job_loans_union(t: Tables) -> DataFrame:
@@ -247,9 +265,7 @@ def job_loans_union(t: Tables) -> DataFrame:
     root = new_folder(t.spark, "loans")
     rows.write.partitionBy("ano").option("header", True).option("sep", ";").csv(root)
     schema = T.StructType([T.StructField("o_orderkey", T.LongType()), *strings("modalidade", "uf", "valor").fields])
-    years = t.orders.select(F.year("o_orderdate").alias("ano")).distinct()
-    present = [r["ano"] for r in years.collect()]  # a handful of years
-    return loans.loans_union(t.spark, {y: f"{root}/ano={y}" for y in sorted(present)}, schema, ["valor"])
+    return loans.read_loans(t.spark, root, schema, ["valor"])
 
 
 def _orders_by_state(t: Tables) -> DataFrame:

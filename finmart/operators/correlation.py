@@ -28,10 +28,13 @@ def pearson(df: DataFrame, columns: list[str]) -> DataFrame:
 def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of average ranks, a pair's ranks taken over the rows that have both values.
 
-    Columns without NULLs share one ranking; only a partner with NULLs needs another one.
+    The cells are counted once by column, value and the row's mask of gaps; the rankings a column needs, one for each
+    partner with gaps and one for all others, are put together from these counts. Each column then gets all its ranks in
+    one join, so there are as many joins, and copies of a row before the count, as columns.
     """
     df = nan_to_null(df.select(*(quoted(c).cast("double").alias(c) for c in columns)))
     missing = df.agg(*(F.count_if(quoted(c).isNull()).alias(c) for c in columns)).first().asDict()
+    gappy = [c for c in columns if missing[c]]
     rankings: dict[tuple[str, str], str] = {}
     pairs = []
     for a, b in combinations(columns, 2):
@@ -40,21 +43,29 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
             key = (own, partner if missing[partner] else "")
             ranked.append(rankings.setdefault(key, f"_rank{len(rankings)}"))
         pairs.append((a, b, *ranked))
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
 
-    # every ranking of every column in one pass: rows (ranking, value) of the rows that count for it
-    members = []
-    for (own, partner), name in rankings.items():
-        counts = quoted(own).isNotNull() & (quoted(partner).isNotNull() if partner else F.lit(True))
-        members.append(F.struct(F.lit(name).alias("_ranking"), F.when(counts, quoted(own)).alias("_value")))
-    values = df.select(F.explode(F.array(*members)).alias("m")).select("m.*")
-    ranks = written(average_rank(values, "_value", ["_ranking"], "_rank"), "rankings")
-    sizes = dict(ranks.groupBy("_ranking").count().collect())  # one row per ranking
+    mask = F.concat(*(F.when(quoted(c).isNull(), "0").otherwise("1") for c in gappy)) if gappy else F.lit("")
+    cells = df.select(F.explode(F.array(*(
+        F.struct(F.lit(i).alias("_own"), quoted(c).alias("_value"), mask.alias("_mask")) for i, c in enumerate(columns))))
+        .alias("c")).select("c.*").where("_value IS NOT NULL")
+    counted = written(cells.groupBy("_own", "_value", "_mask").agg(F.count(F.lit(1)).alias("_weight")), "cells")
+    # a ranking counts the cells whose row has its partner too
+    wanted = F.array(*(F.array(*(
+        F.struct(F.lit(name).alias("_ranking"), F.lit(gappy.index(partner) + 1 if partner else 0).alias("_at"))
+        for (own, partner), name in rankings.items() if own == c)) for c in columns))
+    members = counted.select("_value", "_mask", "_weight", F.explode(F.element_at(wanted, F.col("_own") + 1)).alias("w"))
+    members = members.where("w._at = 0 OR substring(_mask, w._at, 1) = '1'").select("w._ranking", "_value", "_weight")
+    ranks = written(average_rank(members, "_value", ["_ranking"], "_rank", weight="_weight"), "rankings")
 
+    sizes = dict(counted.groupBy("_own").agg(F.count_distinct("_value")).collect())  # one row per column
     out = df
-    for (own, partner), name in rankings.items():
-        mine = ranks.where(F.col("_ranking") == name).select(F.col("_value").alias(own), F.col("_rank").alias(name))
-        # two doubles per row: the count proves the size
-        out = lookup(out, mine, [own], "left", fits=sizes.get(name, 0) * 64 <= BROADCAST_BYTES)
-        if partner:
-            out = out.withColumn(name, F.when(quoted(partner).isNotNull(), F.col(name)))
-    return _long(out, pairs)
+    for i, c in enumerate(columns):
+        names = [name for (own, _), name in rankings.items() if own == c]
+        mine = ranks.where(F.col("_ranking").isin(names)).groupBy(F.col("_value").alias(c)).agg(
+            *(F.max(F.when(F.col("_ranking") == name, F.col("_rank"))).alias(name) for name in names))
+        # doubles alone: the count proves the size
+        out = lookup(out, mine, [c], "left", fits=sizes.get(i, 0) * 32 * (1 + len(names)) <= BROADCAST_BYTES)
+    lacking = {name: F.when(quoted(partner).isNotNull(), F.col(name)) for (_, partner), name in rankings.items() if partner}
+    return _long(out.withColumns(lacking) if lacking else out, pairs)

@@ -70,23 +70,25 @@ def _cells(placed: DataFrame, groups: list[str]) -> DataFrame:
                         F.sum("_cell").over(group).alias("_total"))
 
 
-def _counted(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+def _counted(df: DataFrame, groups: list[str], value: str, weight: str | None = None) -> DataFrame:
     """How often each value occurs per group: equal values meet before they are ordered, so none is hot."""
     present = df.where(quoted(value).isNotNull())
     for g in groups:
         present = present.where(quoted(g).isNotNull())
-    return present.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    return present.groupBy(*groups, value).agg((F.sum(quoted(weight)) if weight else F.count(F.lit(1))).alias("_n"))
 
 
-def average_rank(df: DataFrame, value: str, groups: list[str] | None = None, name: str = "posto") -> DataFrame:
+def average_rank(df: DataFrame, value: str, groups: list[str] | None = None, name: str = "posto",
+                 weight: str | None = None) -> DataFrame:
     """Distinct values with their average rank (1-based, ties share the mean) and count, per group.
 
     Columns: the groups, the value, ``n``, the rank. NULL values and NULL groups have no rank.
+    ``weight`` names a column that says how many rows a row stands for.
     """
     keys = groups or ["_all"]
     if not groups:
-        df = df.select(quoted(value), F.lit(0).alias("_all"))
-    placed = _placed(_counted(df, keys, value), [*(F.col(g) for g in keys), F.col(value)], "ranks")
+        df = df.select(quoted(value), F.lit(0).alias("_all"), *([quoted(weight)] if weight else []))
+    placed = _placed(_counted(df, keys, value, weight), [*(F.col(g) for g in keys), F.col(value)], "ranks")
     running = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     within = placed.withColumn("_upto", F.sum("_n").over(running))
     cells = _cells(placed, keys).select(*keys, "_part", "_before")

@@ -10,6 +10,7 @@ from finmart.functions.names import rename_by, without_spaces
 from finmart.functions.numbers import nan_to_null
 from finmart.operators.aggregate import describe_boxes
 from finmart.operators.columns import numeric_columns, quoted
+from finmart.operators.correlation import pearson, spearman
 from finmart.operators.filters import exclude_containing, exclude_values, fill
 from finmart.operators.joins import registry_join
 from finmart.operators.ordering import row_index
@@ -60,3 +61,10 @@ def income_stats(clean: DataFrame, measure: str = NET_INCOME, periods: tuple[str
     kinds = F.array(*(F.struct(F.lit(p).alias("periodo"), F.col(p).alias("valor")) for p in periods))
     long = clean.select(F.explode(kinds).alias("p"), quoted(measure).alias("_v")).select("p.*", "_v")
     return describe_boxes(long, "_v", ["periodo", "valor"])
+
+
+def income_correlations(clean: DataFrame, columns: list[str]) -> DataFrame:
+    """``metodo``, ``a``, ``b``, ``r``: both correlation matrices of the cleaned statement."""
+    told = [found(clean, columns).select(F.lit(name).alias("metodo"), "a", "b", "r")
+            for name, found in (("pearson", pearson), ("spearman", spearman))]
+    return told[0].unionByName(told[1])

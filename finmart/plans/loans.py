@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from finmart.functions.numbers import text_to_numbers
 from finmart.operators.aggregate import describe_columns
 from finmart.operators.quality import null_profile
-from finmart.sources.files import read_year_folders
+from finmart.sources.files import read_partitioned_csv, read_year_folders
 
 
 def loans_union(spark: SparkSession, folders: dict[int, str], schema: T.StructType, amounts: list[str]) -> DataFrame:
@@ -16,6 +16,11 @@ def loans_union(spark: SparkSession, folders: dict[int, str], schema: T.StructTy
     return text_to_numbers(read_year_folders(spark, folders, schema), amounts)
 
 
+def read_loans(spark: SparkSession, root: str, schema: T.StructType, amounts: list[str]) -> DataFrame:
+    """The same from one root of folders ``ano=<year>``, in one scan."""
+    return text_to_numbers(read_partitioned_csv(spark, root, schema), amounts)
+
+
 def loans_profile(loans: DataFrame) -> DataFrame:
     """Statistics and NULLs of every column, one row per column."""
     nulls = null_profile(loans).select("coluna", "nulos")

@@ -63,6 +63,11 @@ def read_json_lines(spark: SparkSession, folder, schema: T.StructType, pattern:
     return df.withColumn("file", F.col("_metadata.file_path")) if with_file else df
 
 
+def read_partitioned_csv(spark: SparkSession, root: str, schema: T.StructType, sep: str = ";", year: str = "ano") -> DataFrame:
+    """CSV folders ``<year>=<value>`` below one root as one table with the year: one scan, years are pruned by folder."""
+    return read_csv(spark, root, T.StructType([*schema.fields, T.StructField(year, T.IntegerType())]), sep)
+
+
 def read_year_folders(spark: SparkSession, folders: dict[int, str], schema: T.StructType, sep: str = ";",
                       year: str = "ano") -> DataFrame:
     """CSV folders, one per year, as one table with a year column: a scan per folder."""
