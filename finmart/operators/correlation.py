@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finmart.functions.numbers import nan_to_null
 from finmart.operators.columns import quoted
 from finmart.operators.joins import lookup
 from finmart.operators.ordering import average_rank
-from finmart.session import BROADCAST_BYTES, written
+from finmart.session import BROADCAST_BYTES, spread, written
 
 
 def _long(df: DataFrame, pairs: list[tuple[str, str, str, str]]) -> DataFrame:
@@ -28,13 +28,12 @@ def pearson(df: DataFrame, columns: list[str]) -> DataFrame:
 def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of average ranks, a pair's ranks taken over the rows that have both values.
 
-    The cells are counted once by column, value and the row's mask of gaps; the rankings a column needs, one for each
-    partner with gaps and one for all others, are put together from these counts. Each column then gets all its ranks in
+    The cells are counted once by column and value, for each ranking that the column needs: one for every partner with
+    gaps and one for all others. Each column then gets all its ranks in
     one join, so there are as many joins, and copies of a row before the count, as columns.
     """
-    df = nan_to_null(df.select(*(quoted(c).cast("double").alias(c) for c in columns)))
+    df = spread(nan_to_null(df.select(*(quoted(c).cast("double").alias(c) for c in columns))), *columns)
     missing = df.agg(*(F.count_if(quoted(c).isNull()).alias(c) for c in columns)).first().asDict()
-    gappy = [c for c in columns if missing[c]]
     rankings: dict[tuple[str, str], str] = {}
     pairs = []
     for a, b in combinations(columns, 2):
@@ -46,23 +45,30 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
 
-    mask = F.concat(*(F.when(quoted(c).isNull(), "0").otherwise("1") for c in gappy)) if gappy else F.lit("")
-    cells = df.select(F.explode(F.array(*(
-        F.struct(F.lit(i).alias("_own"), quoted(c).alias("_value"), mask.alias("_mask")) for i, c in enumerate(columns))))
-        .alias("c")).select("c.*").where("_value IS NOT NULL")
-    counted = written(cells.groupBy("_own", "_value", "_mask").agg(F.count(F.lit(1)).alias("_weight")), "cells")
-    # a ranking counts the cells whose row has its partner too
-    wanted = F.array(*(F.array(*(
-        F.struct(F.lit(name).alias("_ranking"), F.lit(gappy.index(partner) + 1 if partner else 0).alias("_at"))
-        for (own, partner), name in rankings.items() if own == c)) for c in columns))
-    members = counted.select("_value", "_mask", "_weight", F.explode(F.element_at(wanted, F.col("_own") + 1)).alias("w"))
-    members = members.where("w._at = 0 OR substring(_mask, w._at, 1) = '1'").select("w._ranking", "_value", "_weight")
+    # how often a value counts in each ranking of its column: those of partners that the row lacks leave it out
+    own_rankings = {c: [(partner, name) for (own, partner), name in rankings.items() if own == c] for c in columns}
+    widest = max(map(len, own_rankings.values()))
+    weights = [f"_w{k}" for k in range(widest)]
+
+    def cell(i: int, c: str) -> Column:
+        counts = [F.lit(1) if not partner else F.when(quoted(partner).isNotNull(), 1).otherwise(0) for partner, _ in own_rankings[c]]
+        counts += [F.lit(0)] * (widest - len(counts))
+        return F.struct(F.lit(i).alias("_own"), quoted(c).alias("_value"), *(n.cast("long").alias(w) for n, w in zip(counts, weights)))
+
+    cells = df.select(F.explode(F.array(*(cell(i, c) for i, c in enumerate(columns)))).alias("c")).select("c.*")
+    counted = written(cells.where("_value IS NOT NULL").groupBy("_own", "_value").agg(
+        *(F.sum(w).alias(w) for w in weights)), "cells")
+    names_of = F.array(*(F.array(*(F.lit(name) for _, name in own_rankings[c]), *[F.lit("")] * (widest - len(own_rankings[c])))
+                         for c in columns))
+    member = F.arrays_zip(F.element_at(names_of, F.col("_own") + 1).alias("ranking"), F.array(*weights).alias("weight"))
+    members = counted.select("_value", F.explode(member).alias("m")).select(
+        F.col("m.ranking").alias("_ranking"), "_value", F.col("m.weight").alias("_weight")).where("_ranking <> ''")
     ranks = written(average_rank(members, "_value", ["_ranking"], "_rank", weight="_weight"), "rankings")
 
-    sizes = dict(counted.groupBy("_own").agg(F.count_distinct("_value")).collect())  # one row per column
+    sizes = dict(counted.groupBy("_own").count().collect())  # one row per column
     out = df
     for i, c in enumerate(columns):
-        names = [name for (own, _), name in rankings.items() if own == c]
+        names = [name for _, name in own_rankings[c]]
         mine = ranks.where(F.col("_ranking").isin(names)).groupBy(F.col("_value").alias(c)).agg(
             *(F.max(F.when(F.col("_ranking") == name, F.col("_rank"))).alias(name) for name in names))
         # doubles alone: the count proves the size

@@ -75,7 +75,9 @@ def _counted(df: DataFrame, groups: list[str], value: str, weight: str | None =
     present = df.where(quoted(value).isNotNull())
     for g in groups:
         present = present.where(quoted(g).isNotNull())
-    return present.groupBy(*groups, value).agg((F.sum(quoted(weight)) if weight else F.count(F.lit(1))).alias("_n"))
+    if weight:
+        return present.where(quoted(weight) > 0).select(*groups, value, quoted(weight).alias("_n"))
+    return present.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def average_rank(df: DataFrame, value: str, groups: list[str] | None = None, name: str = "posto",
@@ -83,7 +85,8 @@ def average_rank(df: DataFrame, value: str, groups: list[str] | None = None, nam
     """Distinct values with their average rank (1-based, ties share the mean) and count, per group.
 
     Columns: the groups, the value, ``n``, the rank. NULL values and NULL groups have no rank.
-    ``weight`` names a column that says how many rows a row stands for.
+    ``weight`` names a column that says how often a value
+    occurs; each value then stands once per group.
     """
     keys = groups or ["_all"]
     if not groups:
