@@ -130,22 +130,28 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     """``id``, ``n_words``, ``starts``, ``lengths`` (runs of hit words), ``items`` (sorted strings), a row per document.
 
     An item of fewer than ``window`` words is one window; an item without words or text has none. The windows of an item
-    without an id hit, but there is no id to list. NULL and empty documents have no words. Items that repeat an id count once, and repeated documents stay rows. A benchmark beyond
-    ``slice_bytes`` is scanned slice by slice, and the finds of a document are put together by its row number.
+    without an id hit, but there is no id to list. NULL and empty documents have no words. Items that repeat an id count
+    once, and repeated documents stay rows. A benchmark beyond ``slice_bytes`` is scanned slice by slice: a slice is read,
+    scanned and its finds stored before its place in memory goes to the one after the next, and the finds of a document
+    are put together by its row number.
     """
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     spark, columns = docs.sparkSession, ["id", "n_words", "starts", "lengths", "items"]
     kind = slim.schema["id"].dataType.simpleString()
     shape = f"id {kind}, n_words bigint, starts array<bigint>, lengths array<bigint>, items array<string>"
-    parts = list(_broadcasts(spark, benchmark, item_col, item_text_col, slice_bytes))
-    if len(parts) == 1:
-        return slim.mapInArrow(_scan(parts[0], window, columns), shape)
+    parts = _broadcasts(spark, benchmark, item_col, item_text_col, slice_bytes)
+    part, following = next(parts), next(parts, None)
+    if following is None:
+        return slim.mapInArrow(_scan(part, window, columns), shape)
     frozen = written(slim.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "scanned")
-    told = None
-    for part in parts:
-        one = frozen.select(F.col("row").alias("id"), "text").mapInArrow(
-            _scan(part, window, columns), shape.replace(f"id {kind}", "id bigint", 1))
+    numbered, told = frozen.select(F.col("row").alias("id"), "text"), None
+    while part is not None:
+        one = numbered.mapInArrow(_scan(part, window, columns), shape.replace(f"id {kind}", "id bigint", 1))
+        # the first slice lists every document, the others those that it hits
+        one = written(one if told is None else one.where(F.size("starts") > 0), "finds")
+        part.destroy()
         told = one if told is None else told.unionByName(one)
+        part, following = following, next(parts, None)
     merged = told.groupBy("id").agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list(F.arrays_zip("starts", "lengths"))).alias("runs"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
@@ -209,10 +215,47 @@ def remove(docs: DataFrame, benchmark: DataFrame, spans: bool = False, text_col:
            slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Documents without contamination: contaminated ones go, or with ``spans`` lose the hit runs of their text.
 
-    All columns and all other rows stay as they are, in one pass over the documents. The slices of a benchmark beyond
-    ``slice_bytes`` are applied one after the other, each to what the one before has left.
+    All columns and all other rows stay as they are, in one pass over the documents. A benchmark beyond ``slice_bytes``
+    gives the same: documents go slice by slice, and spans are cut once, after all slices have told theirs.
     """
-    for number, part in enumerate(_broadcasts(docs.sparkSession, benchmark, item_col, item_text_col, slice_bytes)):
-        docs = (written(docs, "cleaned") if number else docs).mapInArrow(
-            _cleaned(part, window, text_col, spans), docs.schema)
+    parts = _broadcasts(docs.sparkSession, benchmark, item_col, item_text_col, slice_bytes)
+    part, following = next(parts), next(parts, None)
+    if spans and following is not None:
+        return _cut_once(docs, benchmark, text_col, item_col=item_col, item_text_col=item_text_col, window=window,
+                         slice_bytes=slice_bytes)
+    while part is not None:
+        docs = docs.mapInArrow(_cleaned(part, window, text_col, spans), docs.schema)
+        if following is not None:
+            docs = written(docs, "cleaned")
+            part.destroy()
+        part, following = following, next(parts, None)
     return docs
+
+
+def _cut_once(docs: DataFrame, benchmark: DataFrame, text_col: str, **options) -> DataFrame:
+    """The documents without the words that :func:`scan` finds in their whole texts."""
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "uncut")
+    found = scan(rows, benchmark, row, text_col, **options).where(F.size("starts") > 0)
+    runs = found.select(F.col("id").alias(row), F.struct("starts", "lengths").alias(f"{row}runs"))
+    schema = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for raw, told in zip(texts(batch, text_col), batch.column(batch.num_columns - 1).to_pylist()):
+                if told:
+                    hit = np.zeros(len(alnum_words(raw)), bool)
+                    for start, length in zip(told["starts"], told["lengths"]):
+                        hit[start:start + length] = True
+                    out.append(_without(raw, hit))
+                else:
+                    out.append(raw and raw.decode())
+            kept = batch.select(list(range(batch.num_columns - 1)))
+            at = kept.schema.get_field_index(text_col)
+            yield kept.set_column(at, kept.schema.field(at), pa.array(out, kept.schema.field(at).type))
+
+    whole = rows.join(runs, row, "left").select(*(F.col(f"`{c}`") for c in docs.columns), f"{row}runs")
+    return whole.mapInArrow(run, schema)

@@ -53,21 +53,23 @@ def _ranged(rows: DataFrame, bounds: list) -> DataFrame:
         "range", F.when(F.size("own") == 0, F.col("before")).otherwise(F.col("before") + here)).drop("slot", "before", "own")
 
 
-def sized(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sized(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """``id``, ``size`` (UTF-8 bytes of the text, none for NULL, plus 8), ``text_crc32`` and ``tie``.
 
-    ``tie`` numbers the rows of the stored table and tells rows apart that repeat an id or have none.
+    ``tie`` numbers the rows of the stored table, or is their ``row_col``, and tells rows apart that repeat an id or have none.
     """
     raw = F.encode(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "UTF-8")
     slim = df.select(F.col(f"`{id_col}`").cast("long").alias("id"),
-                     (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
-    return written(slim.withColumn("tie", F.monotonically_increasing_id()), "sized")
+                     (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
+                     (F.col(f"`{row_col}`") if row_col else F.monotonically_increasing_id()).alias("tie"))
+    return written(slim, "sized")
 
 
 def shard_by_bytes(df: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text",
                    ranges_per_shard: int = 64, rows_per_range: int = 200_000, oversample: int = 4, seed: int = 11,
-                   max_rounds: int = 8) -> DataFrame:
-    """``id``, ``size``, ``text_crc32``, ``shard``, ``slot`` (gapless from 0 in each shard).
+                   max_rounds: int = 8, row_col: str | None = None) -> DataFrame:
+    """``id``, ``size``, ``text_crc32``, ``shard``, ``slot`` (gapless from 0 in each shard); with ``row_col``, a column of
+    numbers of its own for each row, also that number as ``row``.
 
     Keys are (crc32 of the text, id), so equal texts lie side by side and share a shard unless a border falls among
     them: a hot text is a range too full, and is cut by id. Shard sizes differ from the mean by one row at most. NULL
@@ -75,11 +77,12 @@ def shard_by_bytes(df: DataFrame, shards: int = 24, id_col: str = "doc_id", text
     empty table gives an empty table. The number of ranges follows the number of rows, so a range stays small enough
     for one task at every size; only the sample (``oversample`` keys per range) and one row per range are gathered.
     """
-    rows = sized(df, id_col, text_col)
+    rows = sized(df, id_col, text_col, row_col)
+    own = [F.col("tie").alias("row")] if row_col else []
     sums = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
     n, total = sums["n"], sums["bytes"] or 0
     if not n:
-        return rows.select("id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+        return rows.select("id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"), *own)
     ranges = shards * max(ranges_per_shard, -(-n // (shards * rows_per_range)))
     sample = _drawn(rows, oversample * ranges, seed)
     bounds = sorted(set(map(tuple, (sample[i] for i in range(oversample, len(sample), oversample)))), key=_order)
@@ -113,15 +116,27 @@ def shard_by_bytes(df: DataFrame, shards: int = 24, id_col: str = "doc_id", text
     number = F.row_number().over(Window.partitionBy("range", "shard").orderBy(
         "text_crc32", F.col("id").asc_nulls_first(), "tie"))
     return stored.join(F.broadcast(starts), ["shard", "range"]).select(
-        "id", "size", "text_crc32", "shard", (F.col("first") + number - 1).cast("long").alias("slot"))
+        "id", "size", "text_crc32", "shard", (F.col("first") + number - 1).cast("long").alias("slot"), *own)
 
 
 def _order(key: tuple) -> tuple:
     return key[0], key[1] is not None, key[1] or 0, key[2]
 
 
-def write_shards(df: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Store the whole records under ``shard=<n>`` folders; ``df`` must have unique ids."""
-    keyed = placed.withColumnRenamed("id", id_col).select(id_col, "shard", "slot")
-    df.join(keyed, id_col).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy(
-        "shard").parquet(path)
+def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", **options) -> None:
+    """Store the whole records of :func:`shard_by_bytes` under ``shard=<n>`` folders, in the order of their slots.
+
+    Every row is stored once, rows without an id or with a repeated one included: records find their shard by a number of
+    their own. A column of the records named like the folder's column or the slot is stored with underscores behind it.
+    """
+    numbered = written(df.select(F.struct("*").alias("record"), F.monotonically_increasing_id().alias("row"),
+                                 F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "records")
+    placed = shard_by_bytes(numbered, id_col="id", text_col="text", row_col="row", **options).select("row", "shard", "slot")
+    names: list[str] = []
+    for name in df.columns:
+        while name.lower() in {"shard", "slot", *(n.lower() for n in names)}:
+            name += "_"
+        names.append(name)
+    fields = [F.col("record").getField(c).alias(n) for c, n in zip(df.columns, names)]
+    whole = numbered.select("record", "row").join(placed, "row").select(*fields, "shard", "slot")
+    whole.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -107,11 +107,10 @@ def _write_files(folder: str, shared, sha: str, width: int, level: int, file_byt
         rows, size, made = [], 0, []
 
         def put() -> None:
-            name = f"part-{context.partitionId():06d}-{len(made):05d}.tok"
-            aside = f"{base}/.{name}.{context.taskAttemptId()}"
-            with fs.open_output_stream(aside) as out:
+            # named by the attempt: a task that runs again meets no file of its own, and only listed files are read
+            name = f"part-{context.partitionId():06d}-{len(made):05d}-{context.taskAttemptId()}.tok"
+            with fs.open_output_stream(f"{base}/{name}") as out:
                 out.write(_file_bytes(rows, sha, width))
-            fs.move(aside, f"{base}/{name}")  # a task that runs twice writes the same bytes
             made.append((name, len(rows), sum(n for _, n, _ in rows)))
 
         for batch in batches:

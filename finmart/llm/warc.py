@@ -29,12 +29,27 @@ RECORD = "source_id bigint, record_id string, kind string, target string, refers
 _NAMES = ["source_id", "record_id", "kind", "target", "refers_to", "head", "block"]
 # Compressed bytes after which a task begins another file.
 FILE_BYTES = 256 * 1024 * 1024
-_HIDDEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|$)|<!DOCTYPE[^>]*>", re.I | re.S)
+_HIDDEN = re.compile(r"(<!--)|<(?:(script|style|noscript|template)\b|!DOCTYPE)", re.I)
+_CLOSE = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "title")}
 _BREAK = re.compile(r"<(?:/?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|thead|tbody|section|article|header|footer|nav|"
                     r"aside|main|pre|blockquote|form|title|head|body|html|figure|figcaption|option|select))\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[A-Za-z][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
-_LINK = re.compile(r"""<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_TITLE = re.compile(r"<title\b", re.I)
+_ANCHOR = re.compile(r"<a\s", re.I)
+_HREF = re.compile(r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+
+
+class Fields(dict):
+    """Values by field name; upper and lower case are one."""
+
+    def __getitem__(self, name: str) -> str:
+        return super().__getitem__(name.lower())
+
+    def __contains__(self, name: str) -> bool:
+        return super().__contains__(name.lower())
+
+    def get(self, name: str, default: str | None = None) -> str | None:
+        return super().get(name.lower(), default)
 
 
 def digest(data: bytes) -> str:
@@ -55,9 +70,10 @@ def head_bytes(fields: Header) -> bytes:
     return b"WARC/1.1\r\n" + "".join([f"{k}: {v}\r\n" for k, v in fields]).encode()
 
 
-def head_fields(head: bytes) -> dict[str, str]:
-    lines = head.decode().split("\r\n")[1:]
-    return {k: v for k, _, v in (line.partition(": ") for line in lines) if k}
+def head_fields(head: bytes) -> Fields:
+    """The fields of a record's head, whoever wrote it: any case, blanks around a value or none."""
+    lines = head.decode("utf-8", "replace").split("\r\n")[1:]
+    return Fields((k.strip().lower(), v.strip()) for k, colon, v in (line.partition(":") for line in lines) if colon)
 
 
 def response(source_id: int | None, url: str | None, page: bytes, date: str) -> tuple[str, bytes, bytes]:
@@ -74,21 +90,68 @@ def response(source_id: int | None, url: str | None, page: bytes, date: str) ->
 
 
 def shown(page: str) -> str:
-    """The page without comments, scripts, styles and templates."""
-    return _HIDDEN.sub("", page)
+    """The page without comments, scripts, styles, templates and the document type.
+
+    What is opened and not closed hides the rest of the page; a tag without its ``>`` is none. One walk over the page.
+    """
+    kept, at, last = [], 0, page.rfind(">")
+    look = 0
+    while opened := _HIDDEN.search(page, look):
+        look = opened.end()
+        if opened[1]:
+            end = page.find("-->", look)
+            end = len(page) if end < 0 else end + 3
+        elif look > last:
+            continue
+        else:
+            end = page.index(">", look) + 1
+            if opened[2]:
+                closed = _CLOSE[opened[2].lower()].search(page, end)
+                end = closed.end() if closed else len(page)
+        kept.append(page[at:opened.start()])
+        at = look = end
+    return "".join([*kept, page[at:]])
+
+
+def _without_tags(page: str, tag: re.Pattern, by: str) -> str:
+    """The page with ``by`` for each tag. No tag ends behind the last ``>``, so none is looked for there."""
+    last = page.rfind(">") + 1
+    return tag.sub(by, page[:last]) + page[last:]
 
 
 def plain_text(page: str) -> str:
     """Visible text of a page without hidden parts: a line per block element, blanks in a line joined, no empty lines."""
-    text = _TAG.sub("", _BREAK.sub("\n", page))
+    text = _without_tags(_without_tags(page, _BREAK, "\n"), _TAG, "")
     lines = (one_line(line) for line in html.unescape(text).splitlines())
     return "\n".join(line for line in lines if line)
 
 
+def page_title(page: str) -> str | None:
+    opened = _TITLE.search(page)
+    start = page.find(">", opened.end()) + 1 if opened else 0
+    closed = _CLOSE["title"].search(page, start) if start else None
+    return one_line(html.unescape(page[start:closed.start()])) if closed else None
+
+
+def _addresses(page: str) -> Iterator[str]:
+    """What the first ``href`` of each anchor names; the ends of tags and the next ``href`` are looked for once each."""
+    look, end, href = 0, -1, _HREF.search(page)
+    while (anchor := _ANCHOR.search(page, look)) and href:
+        look = anchor.end()
+        if end < look:
+            end = page.find(">", look)
+            end = len(page) if end < 0 else end
+        if href.start() < look:
+            href = _HREF.search(page, look)
+        if href and href.start() < end:
+            yield href[1] or href[2] or href[3] or ""
+            look = href.end()
+
+
 def links(page: str, base: str) -> list[str]:
     """Distinct addresses that the anchors of a page without hidden parts point to, in order, absolute where possible."""
     found = []
-    for raw in dict.fromkeys(a or b or c for a, b, c in _LINK.findall(page)):
+    for raw in dict.fromkeys(_addresses(page)):
         target = one_line(html.unescape(raw))
         try:
             target = urljoin(base, target)
@@ -98,14 +161,14 @@ def links(page: str, base: str) -> list[str]:
     return list(dict.fromkeys(t for t in found if t))
 
 
-def derived(source: dict[str, str], block: bytes) -> list[tuple[str, str, bytes, bytes]]:
+def derived(source: Fields, block: bytes) -> list[tuple[str, str, bytes, bytes]]:
     """(kind, record id, head, block) of the metadata and the conversion record of a response."""
     http, _, payload = block.partition(b"\r\n\r\n")
     page = payload.decode("utf-8", "replace")
     visible = shown(page)
     name, target = source["WARC-Record-ID"], source.get("WARC-Target-URI", "")
-    title = _TITLE.search(page)
-    lines = [f"title: {one_line(html.unescape(title[1]))}"] if title else []
+    title = page_title(page)
+    lines = [] if title is None else [f"title: {title}"]
     lines += [f"http-{line}" for line in http.decode("utf-8", "replace").split("\r\n") if line]
     lines += [f"outlink: {link}" for link in links(visible, target)]
     out = []
@@ -159,7 +222,8 @@ def derivatives(records: DataFrame) -> DataFrame:
 
 
 def write_warc(records: DataFrame, folder: str | None = None, level: int = 1, file_bytes: int = FILE_BYTES) -> tuple[str, DataFrame]:
-    """(folder, files): one or more files per task, each written aside and then renamed.
+    """(folder, files): one or more files per task. A file carries the attempt that wrote it, so a task that runs again
+    meets no file of its own; ``files`` names those of the attempts that counted, and only they are read.
 
     The folder must be reachable by every executor and by pyarrow. No record is moved between tasks.
     """
@@ -172,27 +236,22 @@ def write_warc(records: DataFrame, folder: str | None = None, level: int = 1, fi
         fs, base = pafs.FileSystem.from_uri(folder)
         made, out = [], None
 
-        def end() -> None:
-            out.close()
-            fs.move(aside, f"{base}/{made[-1][0]}")
-
         for batch in batches:
             heads, blocks = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("head", "block"))
             for head, block in zip(heads, blocks):
                 if out is None:
-                    made.append([f"part-{context.partitionId():06d}-{len(made):04d}.warc.gz", 0, 0])
-                    aside = f"{base}/.{made[-1][0]}.{context.taskAttemptId()}"
-                    out = fs.open_output_stream(aside)
+                    made.append([f"part-{context.partitionId():06d}-{len(made):04d}-{context.taskAttemptId()}.warc.gz", 0, 0])
+                    out = fs.open_output_stream(f"{base}/{made[-1][0]}", compression=None)
                 press = zlib.compressobj(level, zlib.DEFLATED, 31)
                 member = press.compress(b"".join([head, b"\r\n", block, b"\r\n\r\n"])) + press.flush()
                 out.write(member)
                 made[-1][1] += 1
                 made[-1][2] += len(member)
                 if made[-1][2] >= file_bytes:
-                    end()
+                    out.close()
                     out = None
         if out is not None:
-            end()
+            out.close()
         columns = list(zip(*made)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())],

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from finmart.llm import decontaminate, embedding_dedup, jaccard_join
+from finmart.llm import decontaminate, embedding_dedup, jaccard_join, sharding, warc
 from finmart.llm.tokens import Encoder
 
 
@@ -64,3 +64,56 @@ def test_ids_are_those_of_the_plain_call(name):
     texts = ["a <|endoftext|> b", "A <|ENDOFTEXT|> b", "x<|startoftext|>", "plain <| text |>", "", "usual words here", "<|endoftext|>" * 3]
     got = Encoder(name).encode([t.encode() for t in texts])
     assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_spans_do_not_depend_on_slices(spark):
+    words = [f"v{i}" for i in range(40)]
+    text = "Front, " + ", ".join(words) + " end"
+    docs = spark.createDataFrame([(1, text, "a"), (1, text, "a"), (None, "clean", None), (3, None, "c"), (4, "", "d"), (5, "v0 v1", "e")],
+                                 "doc_id long, text string, _row string")
+    benchmark = spark.createDataFrame([(1, " ".join(words[6:18])), (2, " ".join(words[12:24]))], "item_id long, text string")
+    whole, sliced = (sorted(map(tuple, decontaminate.remove(docs, benchmark, spans=True, slice_bytes=b).collect()), key=str)
+                     for b in (1 << 20, 30))
+    assert whole == sliced and (5, "v0 v1", "e") in whole
+    assert (1, "Front, " + ", ".join(words[:6]) + ", , " + ", ".join(words[24:]) + " end", "a") in whole
+    assert [sorted(r["doc_id"] or 0 for r in decontaminate.remove(docs, benchmark, slice_bytes=b).collect()) for b in (1 << 20, 30)] == [[0, 3, 4, 5]] * 2
+
+
+def test_every_record_is_stored_in_its_shard(spark, tmp_path):
+    held = [(None, "x", 1, "p"), (1, "y", 2, "q"), (1, "y", 3, "r"), (2, None, 4, None), (3, "", 5, "s"), (4, "long " * 500, 6, "t")]
+    df = spark.createDataFrame(held, "doc_id long, text string, shard int, row string")
+    path = f"file://{tmp_path}/shards"
+    sharding.write_shards(df, path, shards=3)
+    got = spark.read.parquet(path)
+    assert got.columns == ["doc_id", "text", "shard_", "row", "slot", "shard"]
+    assert sorted(map(tuple, got.select("doc_id", "text", "shard_", "row").collect()), key=str) == sorted(held, key=str)
+    slots = {}
+    for r in got.collect():
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<p ", "<a", "<title>", "<script ", "<!DOCTYPE ", "<a href='", "</script "])
+def test_long_hostile_pages(piece):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + (piece * (1_000_000 // len(piece))).encode()
+    start = time.perf_counter()
+    warc.derived(warc.Fields({"warc-record-id": "x", "warc-date": "d"}), block)
+    assert time.perf_counter() - start < 5
+
+
+def test_pages_are_read_as_by_one_pattern():
+    page = "a<!-- <p> -->b<script x>if (1 > 0) </SCRIPT >c<style>d</style><!doctype html>e<p class='k'>f<br>g<script"
+    assert warc.shown(page) == "abce<p class='k'>f<br>g<script"
+    assert warc.plain_text(warc.shown(page)) == "abce\nf\ng<script"
+    assert warc.shown("a<!-- b") == "a" and warc.shown("a<style>b > c") == "a" and warc.shown("x < y <script-z>q") == "x < y "
+    assert warc.page_title("<titles><TITLE id=1> A\n&amp; B</title ></title>") == "A & B"
+    assert warc.page_title("<title>open") is None and warc.page_title("none") is None
+    page = "<a name=x><a\thref = 'q>r'><a HREF=/s?t&amp;u>v<abbr href=no><a title='w' href=\"\"><a data-href=z"
+    assert warc.links(page, "http://h/d") == ["http://h/q>r", "http://h/s?t&u", "http://h/d", "http://h/z"]
+
+
+def test_heads_of_other_writers():
+    head = b"WARC/1.0\r\nwarc-type:response\r\nWARC-RECORD-ID: <urn:x>\r\nContent-length:  3\r\n"
+    fields = warc.head_fields(head)
+    assert (fields["WARC-Type"], fields.get("WARC-Record-ID"), "Content-Length" in fields) == ("response", "<urn:x>", True)
+    assert warc.parsed(head + b"\r\nabc\r\n\r\n")[1:3] == ("<urn:x>", "response")
