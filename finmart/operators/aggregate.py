@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from finmart.session import IN_TASK_ROWS, fits_task, written
 
 QUARTILES = [0.25, 0.5, 0.75]
 QUARTILE_NAMES = ["q1", "mediana", "q3"]
+# Texts up to this length are grouped as they are, longer ones by a digest.
+KEY_BYTES = 40
 
 
 def group_sums(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -126,7 +130,28 @@ def describe_columns(df: DataFrame) -> DataFrame:
 
 
 def top_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Per column: distinct values, the most frequent value (the smaller on a tie) and its frequency."""
+    """Per column: distinct values, the most frequent value (the smaller on a tie) and its frequency.
+
+    Short values are counted as they are. Where a text column holds values longer than ``KEY_BYTES``, those are counted by
+    their digest, so a column of long texts, near-unique ones too, moves 64 bytes a value and never a whole text; the
+    texts behind the digests that may win are looked at in a second pass over that column.
+    """
+    kinds = dict(df.dtypes)
+    texts = [c for c in columns if kinds[c] == "string"]
+    widest = df.agg(*(F.max(F.octet_length(quoted(c))).alias(str(i)) for i, c in enumerate(texts))).first() if texts else ()
+    long = [c for c, most in zip(texts, widest) if most is not None and most > KEY_BYTES]
+    short = [c for c in columns if c not in long]
+    parts = [_top_short(df, short)] if short else []
+    parts += [_top_long(df, c) for c in long]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def text_key(value: Column) -> Column:
+    """A text, or its digest where it is long: a digest has 64 letters, more than any text that is its own key."""
+    return F.when(F.octet_length(value) > KEY_BYTES, F.sha2(value, 256)).otherwise(value)
+
+
+def _top_short(df: DataFrame, columns: list[str]) -> DataFrame:
     counts = texts_to_rows(df, columns).where(F.col("valor").isNotNull()).groupBy("coluna", "valor").agg(
         F.count(F.lit(1)).alias("_n"))
     return counts.groupBy("coluna").agg(
@@ -134,6 +159,18 @@ def top_values(df: DataFrame, columns: list[str]) -> DataFrame:
         F.max("_n").alias("frequencia"))
 
 
+def _top_long(df: DataFrame, column: str) -> DataFrame:
+    """The row of a text column with long values."""
+    rows = df.select(quoted(column).alias("valor"), text_key(quoted(column)).alias("_key")).where("valor IS NOT NULL")
+    counts = written(rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")), "digests")
+    distinct, most = counts.agg(F.count(F.lit(1)), F.max("_n")).first()
+    # where nothing repeats every value wins, else the values of the winning keys
+    winners = rows if most == 1 else lookup(rows, counts.where(F.col("_n") == most).select("_key"), ["_key"], "left_semi")
+    return winners.agg(F.min("valor").alias("moda")).select(
+        F.lit(column).alias("coluna"), F.lit(distinct).cast("long").alias("distintos"), "moda",
+        F.lit(most).cast("long").alias("frequencia"))
+
+
 def describe_all(df: DataFrame, **options) -> DataFrame:
     """Every column: count, distinct, most frequent and, for numbers, the :func:`describe` statistics."""
     df = nan_to_null(df)

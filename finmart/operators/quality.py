@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finmart.functions.numbers import nan_to_null
-from finmart.operators.aggregate import QUARTILE_NAMES, describe_numeric, texts_to_rows, top_values
+from finmart.operators.aggregate import QUARTILE_NAMES, describe_numeric, text_key, texts_to_rows, top_values
 from finmart.operators.columns import numeric_columns, quoted
 
 # A duplicated row is written out again in runs of this many copies.
@@ -42,9 +42,9 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
-    """(coluna, distintos): NULL is not a value; an all-NULL column has 0."""
-    counts = texts_to_rows(df, df.columns).groupBy("coluna").agg(F.count_distinct("valor").alias("distintos"))
-    return counts
+    """(coluna, distintos): NULL is not a value; an all-NULL column has 0. Long texts are told apart by their digests."""
+    cells = texts_to_rows(df, df.columns).select("coluna", text_key(F.col("valor")).alias("valor"))
+    return cells.groupBy("coluna").agg(F.count_distinct("valor").alias("distintos"))
 
 
 def constant_columns(df: DataFrame) -> DataFrame:

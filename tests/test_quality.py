@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from finmart.operators import columns, filters, narrow, quality
+from finmart.operators import aggregate, columns, filters, narrow, quality
 from finmart.operators.quality import Expected
 
 
@@ -128,3 +128,19 @@ def test_session_settings_and_in_memory_rows(spark):
     from finmart.sources.layouts import REGISTRY
     df = columns.rows_to_frame(spark, [("1", "Banco", None, None, "SP", None, "A")], REGISTRY)
     assert df.schema == REGISTRY and df.count() == 1
+
+
+def test_long_texts_are_profiled_by_digest(spark):
+    """The most frequent value, its ties and the distinct count are those of the whole texts."""
+    a, b, c = "b" * 50, "a" * 60, "z" * 41
+    rows = [(a, a, 1), (a, b, 2), (b, c, 3), (b, "short", 4), ("short", None, 5), (None, "", 6)]
+    df = spark.createDataFrame(rows, "`twice.x` string, once string, n int")
+    got = {r["coluna"]: tuple(r)[1:] for r in aggregate.top_values(df, df.columns).collect()}
+    assert got == {"twice.x": (3, b, 2), "once": (5, "", 1), "n": (6, "1", 1)}
+    assert {r["coluna"]: r["distintos"] for r in quality.distinct_counts(df).collect()} == {"twice.x": 3, "once": 5, "n": 6}
+    profile = {r["coluna"]: r for r in quality.column_profile(df).collect()}
+    assert (profile["twice.x"]["moda"], profile["twice.x"]["frequencia"], profile["once"]["distintos"]) == (b, 2, 5)
+    assert aggregate.top_values(df.where("false"), df.columns).count() == 0
+    digest = "c" * 64
+    near = spark.createDataFrame([(digest,), (digest,), ("d" * 40,), ("d" * 41,)], "t string")
+    assert tuple(aggregate.top_values(near, ["t"]).first()) == ("t", 3, digest, 2)
