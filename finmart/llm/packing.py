@@ -10,6 +10,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,42 +24,61 @@ from finmart.session import written
 
 SEQUENCE_TOKENS = 1024
 Filling = tuple[int, ...]
+# The search completes its sequences by best fit at every so many branches.
+INCUMBENT_EVERY = 16
 
 
-def _fillings(lengths: list[int], counts: dict[int, int], room: int, most_waste: int, limit: int) -> list[Filling]:
-    """Undominated ways to fill ``room`` that waste ``most_waste`` at most, least waste first.
+def _dominated(taken: Filling, left: int, spare: int) -> bool:
+    """Whether a piece that is not taken could stand for one taken piece, being larger, or for several, being as large
+    as they are together or larger, within the room ``left`` beside them. ``spare``: a bit for each length that remains.
+    """
+    one = many = 0
+    for length in taken:
+        many |= many << length | one << length
+        one |= 1 << length
+    # the sums of one piece shifted by 1 to left, those of several by 0 to left, by doubling
+    reached, width = many | one << 1 if left else many, 1
+    while width < left:
+        step = min(width, left - width)
+        reached |= reached << step
+        width += step
+    if left:
+        reached |= many << left
+    return bool(reached & spare)
+
+
+def _fillings(lengths: list[int], counts: dict[int, int], room: int, most_waste: int, limit: int) -> tuple[list[Filling], bool]:
+    """(fillings, whole): the undominated ways to fill ``room`` that waste ``most_waste`` at most, least waste first.
 
-    A filling dominates another when it puts as large or larger pieces in its places; so at each place pieces are tried
-    from the largest that fits, and a filling to which a remaining piece could be added is no result. The best waste so
-    far prunes a branch that even the largest pieces cannot fill better. ``lengths`` descends.
+    A filling dominates another when its pieces can take the places of one or several pieces of the other each, none
+    smaller than what it stands for. A branch ends when the pieces still to come cannot bring the waste down to
+    ``most_waste``. ``lengths`` descends. After ``limit`` steps the enumeration ends, and ``whole`` is False.
     """
+    if counts.get(room):
+        return [(room,)], True  # one piece that fills the room dominates everything
     found: list[tuple[int, Filling]] = []
-    seen = [0]
-
-    def grow(at: int, left: int, taken: Filling) -> bool:
+    # tokens of all pieces from a length on
+    ahead = [*accumulate(length * counts[length] for length in reversed(lengths))][::-1]
+    spare = sum(1 << length for length in lengths)
+    steps = 0
+    # (place in lengths, room left, pieces taken, lengths of which none remains)
+    stack: list[tuple[int, int, Filling, int]] = [(0, room, (), 0)]
+    while stack and steps < limit:
+        at, left, taken, gone = stack.pop()
+        steps += 1
         while at < len(lengths) and lengths[at] > left:
             at += 1
-        extended = False
-        for i in range(at, len(lengths)):
-            length = lengths[i]
-            if taken.count(length) >= counts[length]:
-                continue
-            extended = True
-            if grow(i, left - length, (*taken, length)):
-                return True
-            seen[0] += 1
-            # what is wasted after a smaller piece here is no better once pieces run out
-            if seen[0] > limit:
-                break
-        if not extended and left <= most_waste:
-            found.append((left, taken))
-        return bool(found) and (found[-1][0] == 0 or seen[0] > limit)
-
-    grow(0, room, ())
-    if not found:
-        return []
-    unique = {t: w for w, t in found}
-    return sorted(unique, key=lambda t: (unique[t], [-x for x in t]))
+        if at == len(lengths) or left - ahead[at] > most_waste:
+            if left <= most_waste and not _dominated(taken, left, spare & ~gone) and not spare & ~gone & ((1 << left + 1) - 1):
+                found.append((left, taken))
+            continue
+        length = lengths[at]
+        stack.append((at + 1, left, taken, gone))
+        held = taken.count(length) + 1
+        stack.append((at if held < counts[length] else at + 1, left - length, (*taken, length),
+                      gone if held < counts[length] else gone | 1 << length))
+    found.sort(key=lambda f: (f[0], [-x for x in f[1]]))
+    return [filling for _, filling in found], not stack
 
 
 def _best_fit(counts: dict[int, int], size: int) -> list[tuple[Filling, int]]:
@@ -87,48 +107,79 @@ def _sequences(runs: list[tuple[Filling, int]]) -> int:
     return sum(times for _, times in runs)
 
 
-def plan(counts: dict[int, int], size: int = SEQUENCE_TOKENS, branches: int = 6000, limit: int = 600,
-         width: int = 3) -> list[tuple[Filling, int]]:
+def _completion(counts: dict[int, int], order: list[int], room: int) -> Filling:
+    """The best-fit completion of one sequence: always the largest piece that fits. ``order`` descends."""
+    taken: list[int] = []
+    for length in order:
+        n = min(counts[length], room // length)
+        taken += [length] * n
+        room -= length * n
+    return tuple(taken)
+
+
+def plan(counts: dict[int, int], size: int = SEQUENCE_TOKENS, branches: int = 6000, limit: int = 300) -> list[tuple[Filling, int]]:
     """Runs (filling, times) that place all pieces in few sequences.
 
     Depth-first search: the largest piece left is completed by its undominated fillings, best first, each repeated as
-    long as its pieces last. A branch ends when its sequences so far and the bound for the rest, the larger of total
-    tokens over ``size`` and the number of pieces beyond half, cannot beat the incumbent; incumbents are the best-fit
-    solutions of the whole and of what is left where the search turns to a second choice, and whatever the search
-    completes. It stops after ``branches`` branches or when the bound is met, and the best incumbent is the result.
+    long as its pieces last. Where the enumeration of fillings ends at ``limit`` steps, the best-fit completion is added
+    to what it found, so no branch is given up for having been cut. A branch ends when its sequences so far and the bound
+    for the rest, the larger of total tokens over ``size`` and the number of pieces beyond half, cannot beat the
+    incumbent; incumbents are the best-fit solutions of the whole, of what is left where the search turns to another
+    choice and at every ``INCUMBENT_EVERY``-th branch, and whatever the search completes. It is run twice, with the three
+    best fillings of a branch, so that early choices are revised too, and with all of them; each time it stops after
+    ``branches`` branches or when the bound is met, and the best incumbent is the result.
     """
     def bound(left: dict[int, int]) -> int:
         total = sum(length * n for length, n in left.items())
         return max(-(-total // size), sum(n for length, n in left.items() if 2 * length > size))
 
-    start = {length: n for length, n in counts.items() if n and length}
-    best = _best_fit(start, size)
-    fewest, least = _sequences(best), bound(start)
-    stack: list[tuple[dict[int, int], list, int, bool]] = [(start, [], 0, False)]
-    for _ in range(branches):
-        if not stack or fewest <= least:
-            break
-        left, runs, used, turned = stack.pop()
-        if not left:
-            if used < fewest:
-                best, fewest = runs, used
-            continue
-        if used + bound(left) >= fewest:
-            continue
-        if turned and used + _sequences(rest := _best_fit(left, size)) < fewest:
-            best, fewest = [*runs, *rest], used + _sequences(rest)
+    def choices(left: dict[int, int], used: int) -> Iterator[tuple[dict[int, int], Filling, int]]:
+        """What is left after each filling of the largest piece, the filling and how often it is repeated."""
         largest = max(left)
-        spare = {**left, largest: left[largest] - 1}
-        lengths = sorted((length for length, n in spare.items() if n), reverse=True)
+        spare = {length: n for length, n in {**left, largest: left[largest] - 1}.items() if n}
+        order = sorted(spare, reverse=True)
         # more waste than this cannot beat the incumbent
         waste = (fewest - used - 1) * size - sum(length * n for length, n in left.items())
-        ways = _fillings(lengths, spare, size - largest, waste, limit)[:width]
-        for turn, way in reversed([*enumerate(ways)]):
+        ways, whole = _fillings(order, spare, size - largest, waste, limit)
+        if not whole and (usual := _completion(spare, order, size - largest)) not in ways:
+            ways.append(usual)
+        for way in ways:
             filling = (largest, *way)
             need = _uses(filling)
             times = min(left[length] // n for length, n in need.items())
-            after = {length: n - need.get(length, 0) * times for length, n in left.items()}
-            stack.append(({length: n for length, n in after.items() if n}, [*runs, (filling, times)], used + times, turn > 0))
+            rest = {length: n - need.get(length, 0) * times for length, n in left.items()}
+            yield {length: n for length, n in rest.items() if n}, filling, times
+
+    start = {length: n for length, n in counts.items() if n and length}
+    best = _best_fit(start, size)
+    fewest, least = _sequences(best), bound(start)
+    for width in (3, None):
+        # the choices still to be tried at each depth, the run that led there, and the sequences so far
+        path = [(islice(choices(start, 0), width), None, 0)] if start else []
+        turned = False
+        for number in range(branches):
+            if not path or fewest <= least:
+                break
+            ways, _, used = path[-1]
+            step = next(ways, None)
+            if step is None:
+                path.pop()
+                turned = True
+                continue
+            left, filling, times = step
+            used += times
+            runs = [run for _, run, _ in path if run] + [(filling, times)]
+            if not left:
+                if used < fewest:
+                    best, fewest = runs, used
+                turned = True
+            elif used + bound(left) >= fewest:
+                turned = True
+            else:
+                if (turned or number % INCUMBENT_EVERY == 0) and used + _sequences(rest := _best_fit(left, size)) < fewest:
+                    best, fewest = [*runs, *rest], used + _sequences(rest)
+                turned = False
+                path.append((islice(choices(left, used), width), (filling, times), used))
     return best
 
 

@@ -1,5 +1,8 @@
 """Rows that a shortcut would lose: other lengths, missing ids, passages of very many items, texts with special tokens."""
 
+import collections
+import itertools
+import random
 import time
 
 import numpy as np
@@ -7,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from finmart.llm import decontaminate, embedding_dedup, jaccard_join, sharding, warc
+from finmart.llm import decontaminate, embedding_dedup, jaccard_join, packing, sharding, warc
 from finmart.llm.tokens import Encoder
 
 
@@ -117,3 +120,42 @@ def test_heads_of_other_writers():
     fields = warc.head_fields(head)
     assert (fields["WARC-Type"], fields.get("WARC-Record-ID"), "Content-Length" in fields) == ("response", "<urn:x>", True)
     assert warc.parsed(head + b"\r\nabc\r\n\r\n")[1:3] == ("<urn:x>", "response")
+
+
+def test_fillings_are_all_the_undominated_ones():
+    """Against all fillings, compared two by two: pieces of one that take the places of one or several pieces of the other."""
+    def stands_for(better, worse):
+        if not worse:
+            return True
+        if not better:
+            return False
+        first, rest = better[0], better[1:]
+        for mask in range(1 << len(worse)):
+            taken = [x for i, x in enumerate(worse) if mask >> i & 1]
+            if sum(taken) <= first and stands_for(rest, [x for i, x in enumerate(worse) if not mask >> i & 1]):
+                return True
+        return False
+
+    rng = random.Random(5)
+    for counts, room in [({k: 3 for k in range(1, 7)}, 9), ({k: 1 for k in range(1, 9)}, 13),
+                         *(({rng.randint(1, 9): rng.randint(1, 2) for _ in range(5)}, rng.randint(3, 12)) for _ in range(30))]:
+        pieces = [length for length, n in counts.items() for _ in range(n)]
+        every = {tuple(sorted(c, reverse=True)) for n in range(len(pieces) + 1) if n <= 6
+                 for c in itertools.combinations(pieces, n) if sum(c) <= room}
+        best = {f for f in every if not any(g != f and stands_for(list(g), list(f)) for g in every)}
+        got, whole = packing._fillings(sorted(counts, reverse=True), counts, room, room, 10 ** 6)
+        assert whole and len(got) == len(set(got)) and set(got) <= every
+        assert best <= set(got), (counts, room)
+    assert packing._fillings([6, 5, 4, 3, 2, 1], {k: 3 for k in range(1, 7)}, 9, 9, 10 ** 6) == ([(6, 3), (5, 4)], True)
+
+
+def test_a_cut_enumeration_gives_up_no_branch():
+    counts = collections.Counter(random.Random(4).randint(20, 60) for _ in range(300))
+    for limit in (0, 1, 5):
+        runs = packing.plan(counts, 100, branches=50, limit=limit)
+        used = collections.Counter()
+        for filling, times in runs:
+            assert sum(filling) <= 100
+            for length in filling:
+                used[length] += times
+        assert used == counts
