@@ -29,7 +29,7 @@ RECORD = "source_id bigint, record_id string, kind string, target string, refers
 _NAMES = ["source_id", "record_id", "kind", "target", "refers_to", "head", "block"]
 # Compressed bytes after which a task begins another file.
 FILE_BYTES = 256 * 1024 * 1024
-_HIDDEN = re.compile(r"(<!--)|<(?:(script|style|noscript|template)\b|!DOCTYPE)", re.I)
+_HIDDEN = re.compile(r"<(?:(!--)|(script|style|noscript|template)\b|!DOCTYPE)", re.I)
 _CLOSE = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "title")}
 _BREAK = re.compile(r"<(?:/?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|thead|tbody|section|article|header|footer|nav|"
                     r"aside|main|pre|blockquote|form|title|head|body|html|figure|figcaption|option|select))\b[^>]*>", re.I)
@@ -73,7 +73,7 @@ def head_bytes(fields: Header) -> bytes:
 def head_fields(head: bytes) -> Fields:
     """The fields of a record's head, whoever wrote it: any case, blanks around a value or none."""
     lines = head.decode("utf-8", "replace").split("\r\n")[1:]
-    return Fields((k.strip().lower(), v.strip()) for k, colon, v in (line.partition(":") for line in lines) if colon)
+    return Fields([(k.lower(), v.strip()) for k, colon, v in [line.partition(":") for line in lines] if colon])
 
 
 def response(source_id: int | None, url: str | None, page: bytes, date: str) -> tuple[str, bytes, bytes]:
@@ -135,15 +135,17 @@ def page_title(page: str) -> str | None:
 
 def _addresses(page: str) -> Iterator[str]:
     """What the first ``href`` of each anchor names; the ends of tags and the next ``href`` are looked for once each."""
-    look, end, href = 0, -1, _HREF.search(page)
-    while (anchor := _ANCHOR.search(page, look)) and href:
+    look, end, href = 0, -1, None
+    while anchor := _ANCHOR.search(page, look):
         look = anchor.end()
         if end < look:
             end = page.find(">", look)
             end = len(page) if end < 0 else end
-        if href.start() < look:
+        if href is None or href.start() < look:
             href = _HREF.search(page, look)
-        if href and href.start() < end:
+            if href is None:
+                return
+        if href.start() < end:
             yield href[1] or href[2] or href[3] or ""
             look = href.end()
 
