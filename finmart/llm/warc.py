@@ -37,6 +37,9 @@ _TAG = re.compile(r"</?[A-Za-z][^>]*>")
 _TITLE = re.compile(r"<title\b", re.I)
 _ANCHOR = re.compile(r"<a\s", re.I)
 _HREF = re.compile(r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_ORIGIN = re.compile(r"https?://[a-z0-9.-]+(?=/|$)")
+_ROOTED = re.compile(r"(?:/[A-Za-z0-9_-]+)+/?")
+_ABSOLUTE = re.compile(r"https?://[a-z0-9.-]+(?:/[A-Za-z0-9_-]+)*/?")
 
 
 class Fields(dict):
@@ -153,12 +156,16 @@ def _addresses(page: str) -> Iterator[str]:
 def links(page: str, base: str) -> list[str]:
     """Distinct addresses that the anchors of a page without hidden parts point to, in order, absolute where possible."""
     found = []
+    origin = _ORIGIN.match(base)
     for raw in dict.fromkeys(_addresses(page)):
         target = one_line(html.unescape(raw))
-        try:
-            target = urljoin(base, target)
-        except ValueError:
-            pass
+        if origin and _ROOTED.fullmatch(target):  # what joining gives for a path without dots
+            target = origin[0] + target
+        elif not (origin and _ABSOLUTE.fullmatch(target)):
+            try:
+                target = urljoin(base, target)
+            except ValueError:
+                pass
         found.append(target)
     return list(dict.fromkeys(t for t in found if t))
 

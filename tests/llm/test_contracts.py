@@ -4,6 +4,7 @@ import collections
 import itertools
 import random
 import time
+import urllib.parse
 
 import numpy as np
 import public_tokenizers
@@ -159,3 +160,12 @@ def test_a_cut_enumeration_gives_up_no_branch():
             for length in filling:
                 used[length] += times
         assert used == counts
+
+
+def test_addresses_are_those_of_the_plain_join():
+    bases = ["http://h.org/d/e", "https://h.org", "http://h.org:80/d", "HTTP://H.org/d", "", "ftp://h/d", "http://h.org?q"]
+    targets = ["/a", "/a/", "/a/b-c_d", "/a/../b", "/a//b", "/", "//o/x", "http://o.org", "http://o.org/", "https://o.org/a/b", "http://o.org/a/../b",
+               "http://O.org/a", "b", "?q", "#f", "/a?b", "mailto:x"]
+    for base in bases:
+        for target in targets:
+            assert warc.links(f'<a href="{target}">', base) == [t for t in [urllib.parse.urljoin(base, target)] if t], (base, target)
