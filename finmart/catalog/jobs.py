@@ -386,12 +386,14 @@ def job_rewards(t: Tables) -> DataFrame:
 DEBT_SEGMENTS = {2019: ["HOUSEHOLD", "MACHINERY", "FURNITURE"], 2020: ["AUTOMOBILE", "BUILDING"]}
 
 
-def _debts(t: Tables, year: int) -> DataFrame:
+def _debts(t: Tables, year: int, instead: dict[str, Column] | None = None) -> DataFrame:
+    """The table of a year as published; ``instead`` has texts that stand in a column in place of the amount, unless NULL."""
     first = F.col("c_mktsegment").isin(DEBT_SEGMENTS[2019])
     amount = _ptbr(F.col("c_acctbal"))
     names = list(precatorios.yearly_names(year))
     rows = t.customer.where(first if year == 2019 else ~first).select(
-        F.col("c_name").alias(names[0]), F.col("c_mktsegment").alias(names[1]), *(amount.alias(n) for n in names[2:]),
+        F.col("c_name").alias(names[0]), F.col("c_mktsegment").alias(names[1]),
+        *(F.coalesce((instead or {}).get(n, F.lit(None)), amount).alias(n) for n in names[2:]),
         *(F.lit(None).cast("string").alias(b) for b in precatorios.BLANK_COLUMNS))
     return rows
 
@@ -437,8 +439,8 @@ def job_precatorios_check(t: Tables) -> DataFrame:
 def job_precatorios_quarantine(t: Tables) -> DataFrame:
     """2019 with unreadable amounts, 2020 with gaps: every row is accepted or kept back with its reasons."""
     names = {year: list(precatorios.yearly_names(year)) for year in DEBT_SEGMENTS}
-    first = _debts(t, 2019).withColumn(names[2019][3], F.when(F.col(f"`{names[2019][3]}`").startswith("-"), "n/d").otherwise(
-        F.col(f"`{names[2019][3]}`")))
+    # by the balance, not by the sign in its text: -0.0 is printed with one and is no negative amount
+    first = _debts(t, 2019, {names[2019][3]: F.when(F.col("c_acctbal") < 0, "n/d")})
     second = _debts(t, 2020).withColumn("Esfera", F.when(F.col("Esfera") != "AUTOMOBILE", F.col("Esfera")))
     told = precatorios.sorted_out({2019: first, 2020: second})
     count = F.count(F.lit(1)).alias("linhas")
