@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finmart.operators.columns import quoted
-from finmart.session import BROADCAST_BYTES, fits_broadcast
+from finmart.session import BROADCAST_BYTES, TASK_ROWS, dealt, fits_broadcast, written
 
 # A key is hot when it holds more than this share of the rows, or a fiftieth of it and more rows than a share should
 # have; so fewer than 50,000 keys are.
@@ -69,15 +69,20 @@ def _mark_hot(df: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
     return out.select(*_pick("l", df.columns), F.col("r._hot"))
 
 
-def latest(df: DataFrame, key: list[str], by: str) -> DataFrame:
+def latest(df: DataFrame, key: list[str], by: str, in_task: int = TASK_ROWS) -> DataFrame:
     """One row per key, the one with the greatest ``by`` (a total order within the key).
 
-    An aggregate, not a window: partial results are combined before the shuffle, so a hot key costs nothing.
+    An aggregate, not a window: partial results are combined before the shuffle, so a hot key costs nothing. Whole rows
+    are aggregated by sorting; above ``in_task`` rows they are dealt out by key and ``by`` first, so that no task sorts
+    more than about that many, and the result is stored, because a join measures it before it reads it.
     """
+    rows = df.count()
+    df = dealt(df, rows, *key, by, most=in_task)
     rest = [c for c in df.columns if c not in key]
     # the row itself breaks ties, so the result does not depend on row order
     best = df.groupBy(*key).agg(F.max(F.struct(quoted(by).alias("_by"), *(quoted(c) for c in rest))).alias("_row"))
-    return best.select(*key, *(F.col("_row")[c].alias(c) for c in rest)).select(*(quoted(c) for c in df.columns))
+    best = best.select(*key, *(F.col("_row")[c].alias(c) for c in rest)).select(*(quoted(c) for c in df.columns))
+    return written(best, "latest") if rows > in_task else best
 
 
 def registry_join(facts: DataFrame, registry: DataFrame, key: str = "CodInst", period: str | None = "AnoMes",

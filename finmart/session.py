@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 # A side of a join is broadcast only when it was measured to be at most this big.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Rows that one task should sort or group at most, where their number is known.
+TASK_ROWS = 2_000_000
 # A per-group exact percentile keeps its values in one task; allowed up to this many rows in all.
 IN_TASK_ROWS = 4_000_000
 
@@ -71,6 +73,16 @@ def fits_task(df: DataFrame, limit: int = IN_TASK_ROWS) -> bool:
     return df.count() <= limit
 
 
+def dealt(df: DataFrame, rows: int, *by: str, most: int | None = None) -> DataFrame:
+    """Hand ``rows`` rows to as many tasks as they need, by the hash of columns, so that a task has about ``most`` at most.
+
+    What a task sorts then does not grow with the table, however few files or row groups hold it. A table that fits one
+    task stays as it is.
+    """
+    tasks = -(-rows // (most or TASK_ROWS))
+    return df if tasks <= 1 else df.repartition(tasks, *by)
+
+
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """Hand the rows of a table that is read in fewer tasks than there are cores to all cores, by the hash of columns.
 

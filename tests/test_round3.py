@@ -3,6 +3,8 @@
 import duckdb
 
 from finmart import catalog
+from finmart.operators import joins
+from finmart.session import dealt
 from tests.compare import assert_same
 
 SMALL = "/root/testdata/sf0.001"
@@ -16,3 +18,13 @@ def test_quarantine_goes_by_the_balance_and_not_by_its_text(spark, folder):
     connection.execute(f"CREATE VIEW customer AS SELECT * FROM '{folder}/customer.parquet'")
     name = "job_precatorios_quarantine"
     assert_same(catalog.QUERIES[name](spark, folder), connection.sql(catalog.SQL[name]))
+
+
+def test_latest_deals_many_rows_to_several_tasks(spark):
+    """One file with one row group is one task, which had to sort every row."""
+    listings = spark.range(0, 2000, 1, 1).selectExpr("id % 40 AS k", "id DIV 40 AS p", "concat('n', id) AS name")
+    assert dealt(listings, 2000, "k", "p", most=100).rdd.getNumPartitions() == 20
+    assert dealt(listings, 2000, "k", "p").rdd.getNumPartitions() == 1
+    plain = sorted(map(tuple, joins.latest(listings, ["k"], "p").collect()))
+    assert plain == [(k, 49, f"n{49 * 40 + k}") for k in range(40)]
+    assert sorted(map(tuple, joins.latest(listings, ["k"], "p", in_task=100).collect())) == plain
