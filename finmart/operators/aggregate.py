@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from finmart.functions.numbers import nan_to_null, whole_number
 from finmart.operators.columns import numeric_columns, quoted
 from finmart.operators.joins import lookup
-from finmart.operators.ordering import quantiles
-from finmart.session import IN_TASK_ROWS, fits_task, written
+from finmart.operators.ordering import for_percentile, quantiles
+from finmart.session import IN_TASK_ROWS, written
 
 QUARTILES = [0.25, 0.5, 0.75]
 QUARTILE_NAMES = ["q1", "mediana", "q3"]
@@ -69,8 +69,9 @@ def describe(df: DataFrame, measure: str, keys: list[str], in_task: int = IN_TAS
     present = _tidy(df.select(*(quoted(k) for k in keys), quoted(measure).alias("_m")))
     for k in keys:
         present = present.where(quoted(k).isNotNull())
-    if fits_task(present, in_task):
-        packed = present.groupBy(*keys).agg(*_moments("_m"), F.percentile("_m", QUARTILES).alias("_q"))
+    ready = for_percentile(present, keys, in_task)
+    if ready is not None:
+        packed = ready.groupBy(*keys).agg(*_moments("_m"), F.percentile("_m", QUARTILES).alias("_q"))
         return packed.withColumns({n: F.col("_q")[i] for i, n in enumerate(QUARTILE_NAMES)}).drop("_q")
     # both sides hold one row per key
     points = quantiles(present, "_m", QUARTILES, keys, QUARTILE_NAMES, in_task)

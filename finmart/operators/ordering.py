@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from finmart.operators.columns import quoted
 from finmart.operators.joins import lookup
-from finmart.session import IN_TASK_ROWS, fits_task, written
+from finmart.session import IN_TASK_ROWS, dealt, written
+
+# The values of a group of up to this many rows may be collected in a task.
+SMALL_GROUP = 100_000
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
 
@@ -102,13 +105,13 @@ def average_rank(df: DataFrame, value: str, groups: list[str] | None = None, nam
 
 def quantiles(df: DataFrame, value: str, probs: list[float], groups: list[str] | None = None,
               names: list[str] | None = None, in_task: int = IN_TASK_ROWS, accuracy: int = 10_000,
-              small_group: int = 100_000) -> DataFrame:
+              small_group: int = SMALL_GROUP) -> DataFrame:
     """Exact quantiles with linear interpolation, per group (NULL groups dropped) or overall.
 
-    Up to ``in_task`` rows the built-in ``percentile`` does it, whose memory grows with the values of a group.
-    Beyond that, sketches of ``accuracy`` first bracket each quantile and a second pass counts the values below each
-    bracket and keeps only those inside, some ``4 / accuracy`` of the rows, to be ordered. Should a bracket miss its
-    quantile, all values are ordered instead.
+    Up to ``in_task`` rows, and for groups of up to ``small_group`` rows however many there are, the built-in
+    ``percentile`` does it, whose memory grows with the values of a group. For larger groups, sketches of ``accuracy``
+    first bracket each quantile and a second pass counts the values below each bracket and keeps only those inside, some
+    ``4 / accuracy`` of the rows, to be ordered. Should a bracket miss its quantile, all their values are ordered instead.
     """
     keys = groups or []
     names = names or [f"q{round(p * 100)}" for p in probs]
@@ -117,13 +120,37 @@ def quantiles(df: DataFrame, value: str, probs: list[float], groups: list[str] |
     present = present.select(*(quoted(k) for k in keyed), quoted(value).alias("_v"))
     for column in [*keyed, "_v"]:
         present = present.where(quoted(column).isNotNull())
-    if fits_task(present, in_task):
-        packed = present.groupBy(*keyed).agg(F.percentile("_v", probs).alias("_q"))
-        return packed.select(*keys, *(F.col("_q")[i].alias(n) for i, n in enumerate(names)))
-    found = _bracketed(present, probs, keyed, names, accuracy, small_group)
+    ready = for_percentile(present, keyed, in_task, small_group)
+    if ready is not None:
+        return _percentiles(ready, probs, keyed, names).select(*keys, *names)
+    # fewer than one key per ``small_group`` rows
+    large = F.broadcast(written(_sizes(present, keyed).where(F.col("_n") > small_group).select(*keyed), "large-groups"))
+    rest = present.join(large, keyed, "left_anti")
+    small = _percentiles(dealt(rest, rest.count(), *keyed), probs, keyed, names)
+    present = present.join(large, keyed, "left_semi")
+    found = _bracketed(present, probs, keyed, names, accuracy)
     if found is None:
         found = _all_ordered(present, probs, keyed, names)
-    return found.select(*keys, *names)
+    return found.select(*keys, *names).unionByName(small.select(*keys, *names))
+
+
+def _sizes(present: DataFrame, keyed: list[str]) -> DataFrame:
+    return present.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def for_percentile(present: DataFrame, keyed: list[str], in_task: int = IN_TASK_ROWS,
+                   small_group: int = SMALL_GROUP) -> DataFrame | None:
+    """The rows, dealt out so that tasks may collect the values of each group; None if some group is too large for that."""
+    rows = present.count()
+    if rows <= in_task:
+        return present
+    most = _sizes(present, keyed).agg(F.max("_n")).first()[0]
+    return None if most is not None and most > small_group else dealt(present, rows, *keyed)
+
+
+def _percentiles(present: DataFrame, probs: list[float], keyed: list[str], names: list[str]) -> DataFrame:
+    packed = present.groupBy(*keyed).agg(F.percentile("_v", probs).alias("_q"))
+    return packed.select(*keyed, *(F.col("_q")[i].alias(n) for i, n in enumerate(names)))
 
 
 def _all_ordered(present: DataFrame, probs: list[float], keyed: list[str], names: list[str]) -> DataFrame:
@@ -134,19 +161,17 @@ def _all_ordered(present: DataFrame, probs: list[float], keyed: list[str], names
     return _side_by_side(points, keyed, names)
 
 
-def _bracketed(present: DataFrame, probs: list[float], keyed: list[str], names: list[str], accuracy: int,
-               small_group: int) -> DataFrame | None:
+def _bracketed(present: DataFrame, probs: list[float], keyed: list[str], names: list[str],
+               accuracy: int) -> DataFrame | None:
     """Quantiles from the values near them, or None if some bracket missed."""
     margin = 2 / accuracy  # a sketch is off by at most 1 / accuracy of the rows
     ends = [e for p in probs for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketch = F.percentile_approx("_v", ends, accuracy)
     stats = present.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_total"), F.min("_v").alias("_min"),
                                         F.max("_v").alias("_max"), sketch.alias("_ends"))
-    # a small group is its own bracket
-    whole = F.col("_total") <= small_group
-    lows = [F.when(whole | F.lit(p <= margin), F.col("_min")).otherwise(F.col("_ends")[2 * i]).alias(f"_lo{i}")
+    lows = [F.when(F.lit(p <= margin), F.col("_min")).otherwise(F.col("_ends")[2 * i]).alias(f"_lo{i}")
             for i, p in enumerate(probs)]
-    highs = [F.when(whole | F.lit(p >= 1 - margin), F.col("_max")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_hi{i}")
+    highs = [F.when(F.lit(p >= 1 - margin), F.col("_max")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_hi{i}")
              for i, p in enumerate(probs)]
     brackets = written(stats.select(*keyed, "_total", *lows, *highs), "brackets")
 

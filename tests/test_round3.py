@@ -1,9 +1,10 @@
 """What the third review found: signs of zero, and steps whose tasks grew with the table."""
 
 import duckdb
+import pytest
 
 from finmart import catalog
-from finmart.operators import joins
+from finmart.operators import joins, ordering
 from finmart.session import dealt
 from tests.compare import assert_same
 
@@ -28,3 +29,19 @@ def test_latest_deals_many_rows_to_several_tasks(spark):
     plain = sorted(map(tuple, joins.latest(listings, ["k"], "p").collect()))
     assert plain == [(k, 49, f"n{49 * 40 + k}") for k in range(40)]
     assert sorted(map(tuple, joins.latest(listings, ["k"], "p", in_task=100).collect())) == plain
+
+
+def test_many_small_groups_are_not_ordered_as_a_whole(spark, monkeypatch):
+    """Beyond the rows of one task, groups that are small each had all their values bracketed, stored and ordered."""
+    df = spark.range(6000).selectExpr("IF(id < 3000, 0, id % 300) AS g", "CAST((id * 7919) % 1009 AS DOUBLE) AS v")
+    values = df.toPandas()
+    expected = values.groupby("g")["v"].quantile([0.25, 0.5]).unstack()
+    ordered = []
+    placed = ordering._placed
+    monkeypatch.setattr(ordering, "_placed", lambda frame, *rest: ordered.append(frame.agg({"_n": "sum"}).first()[0]) or placed(frame, *rest))
+    for small_group, rows in ((5000, []), (100, [3000])):  # no large group, and one beside 300 small ones
+        ordered.clear()
+        got = ordering.quantiles(df, "v", [0.25, 0.5], ["g"], ["a", "b"], in_task=0, small_group=small_group, accuracy=20)
+        got = got.toPandas().set_index("g").sort_index()
+        assert got.to_numpy() == pytest.approx(expected.to_numpy())
+        assert len(ordered) == len(rows) and all(n <= 2 * most for n, most in zip(ordered, rows))
