@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from finmart.functions.numbers import nan_to_null
 from finmart.operators.columns import quoted
 from finmart.operators.joins import lookup
-from finmart.operators.ordering import average_rank
+from finmart.operators.ordering import average_ranks
 from finmart.session import BROADCAST_BYTES, spread, written
 
 
@@ -29,8 +29,9 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of average ranks, a pair's ranks taken over the rows that have both values.
 
     The cells are counted once by column and value, for each ranking that the column needs: one for every partner with
-    gaps and one for all others. Each column then gets all its ranks in
-    one join, so there are as many joins, and copies of a row before the count, as columns.
+    gaps and one for all others. A value keeps all its rankings in one row, so that it is ordered once, and each column
+    then gets all its ranks in one join, so there are as many joins, and copies of a row before the count, as columns.
+    The counts also tell the joins which values are hot.
     """
     df = spread(nan_to_null(df.select(*(quoted(c).cast("double").alias(c) for c in columns))), *columns)
     missing = df.agg(*(F.count_if(quoted(c).isNull()).alias(c) for c in columns)).first().asDict()
@@ -57,21 +58,16 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
 
     cells = df.select(F.explode(F.array(*(cell(i, c) for i, c in enumerate(columns)))).alias("c")).select("c.*")
     counted = written(cells.where("_value IS NOT NULL").groupBy("_own", "_value").agg(
-        *(F.sum(w).alias(w) for w in weights)), "cells")
-    names_of = F.array(*(F.array(*(F.lit(name) for _, name in own_rankings[c]), *[F.lit("")] * (widest - len(own_rankings[c])))
-                         for c in columns))
-    member = F.arrays_zip(F.element_at(names_of, F.col("_own") + 1).alias("ranking"), F.array(*weights).alias("weight"))
-    members = counted.select("_value", F.explode(member).alias("m")).select(
-        F.col("m.ranking").alias("_ranking"), "_value", F.col("m.weight").alias("_weight")).where("_ranking <> ''")
-    ranks = written(average_rank(members, "_value", ["_ranking"], "_rank", weight="_weight"), "rankings")
-
+        F.count(F.lit(1)).alias("_rows"), *(F.sum(w).alias(w) for w in weights)), "cells")
+    places = [f"_p{k}" for k in range(widest)]
+    ranks = average_ranks(counted, "_value", ["_own"], dict(zip(weights, places)))
     sizes = dict(counted.groupBy("_own").count().collect())  # one row per column
     out = df
     for i, c in enumerate(columns):
         names = [name for _, name in own_rankings[c]]
-        mine = ranks.where(F.col("_ranking").isin(names)).groupBy(F.col("_value").alias(c)).agg(
-            *(F.max(F.when(F.col("_ranking") == name, F.col("_rank"))).alias(name) for name in names))
+        mine = ranks.where(F.col("_own") == i).select(F.col("_value").alias(c), *(F.col(p).alias(n) for p, n in zip(places, names)))
+        often = counted.where(F.col("_own") == i).select(F.col("_value").alias(c), F.col("_rows").alias("_n"))
         # doubles alone: the count proves the size
-        out = lookup(out, mine, [c], "left", fits=sizes.get(i, 0) * 32 * (1 + len(names)) <= BROADCAST_BYTES)
+        out = lookup(out, mine, [c], "left", fits=sizes.get(i, 0) * 32 * (1 + len(names)) <= BROADCAST_BYTES, counts=often)
     lacking = {name: F.when(quoted(partner).isNotNull(), F.col(name)) for (_, partner), name in rankings.items() if partner}
     return _long(out.withColumns(lacking) if lacking else out, pairs)

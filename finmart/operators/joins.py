@@ -28,23 +28,30 @@ def _pick(side: str, names: list[str]) -> list[Column]:
     return [F.col(f"{side}.`{c}`") for c in names]
 
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE, counts: DataFrame | None = None) -> DataFrame:
     """Keys with ``_n`` rows, more than ``share`` of all rows, or a fiftieth of it and over ``ROWS_PER_SHARE`` rows.
 
-    Fewer than ``50 / share`` of them, whatever the data.
+    Fewer than ``50 / share`` of them, whatever the data. ``counts`` has the rows of each key (``_n``; NULL may be left
+    out) where they are known.
     """
     total = df.count()
     least = min(share * total, max(share / 50 * total, ROWS_PER_SHARE))
-    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > least)
+    if counts is None:
+        counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        lacking = reduce(Column.__or__, (quoted(c).isNull() for c in on))
+        counts = counts.where(~lacking).unionByName(df.where(lacking).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
+    return counts.where(F.col("_n") > least)
 
 
 def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", null_safe: bool = False,
-           limit: int = BROADCAST_BYTES, salts: int = SALTS, fits: bool | None = None) -> DataFrame:
+           limit: int = BROADCAST_BYTES, salts: int = SALTS, fits: bool | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Join ``facts`` to ``dim`` on equal keys (``how``: inner, left, left_semi, left_anti).
 
     A ``dim`` measured to fit is broadcast, so the facts do not move. A bigger one is joined by shuffle; the facts
     of hot keys (NULL counts as one) are then spread over ``salts`` shares, more where a key's counted rows need
-    them, and only those keys' ``dim`` rows are copied, once to each share of their key. ``fits`` states a size check already made. Output: the columns of ``facts``, then the rest of ``dim``.
+    them, and only those keys' ``dim`` rows are copied, once to each share of their key. ``fits`` states a size check already made, ``counts`` the rows of
+    each key of ``facts`` (``_n``) where they are known. Output: the columns of ``facts``, then the rest of ``dim``.
     """
     keep = list(facts.columns)
     extra = [c for c in dim.columns if c not in on] if how in ("inner", "left") else []
@@ -53,7 +60,7 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", n
         return out.select(*_pick("l", keep), *_pick("r", extra))
 
     needed = F.greatest(F.lit(salts), F.ceil(F.col("_n") / ROWS_PER_SHARE)).cast("int")
-    hot = hot_keys(facts, on).select(*on, needed.alias("_hot"))
+    hot = hot_keys(facts, on, counts=counts).select(*on, needed.alias("_hot"))
     # salt by map partition: spreads a hot key, and a rerun of a lost task gives the same salt
     salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_hot"))).otherwise(F.lit(0))
     shares = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.col("_hot") - 1)).otherwise(F.array(F.lit(0)))

@@ -103,6 +103,26 @@ def average_rank(df: DataFrame, value: str, groups: list[str] | None = None, nam
         *(groups or []), value, F.col("_n").alias("n"), rank.cast("double").alias(name))
 
 
+def average_ranks(df: DataFrame, value: str, groups: list[str], weights: dict[str, str]) -> DataFrame:
+    """One row per group and value, in which it stands once, with an average rank by each weight column (``weights``: column -> rank).
+
+    All rankings of a value travel in one row and are summed in one order. A weight of 0 leaves the value out of that
+    ranking; its rank there says nothing.
+    """
+    present = df.where(quoted(value).isNotNull()).select(*groups, value, *weights)
+    placed = _placed(present, [*(F.col(g) for g in groups), F.col(value)], "ranks")
+    running = Window.partitionBy(*groups, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    cells = placed.groupBy(*groups, "_part").agg(*(F.sum(w).alias(w) for w in weights))
+    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = cells.select(*groups, "_part", *(F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"_before{w}") for w in weights))
+    within = placed.withColumns({f"_upto{w}": F.sum(w).over(running) for w in weights})
+    # one row per group and range partition
+    joined = within.join(F.broadcast(before), [*groups, "_part"])
+    return joined.select(*groups, value, *(
+        (F.col(f"_before{w}") + F.col(f"_upto{w}") - F.col(w) + (F.col(w) + 1) / 2).cast("double").alias(name)
+        for w, name in weights.items()))
+
+
 def quantiles(df: DataFrame, value: str, probs: list[float], groups: list[str] | None = None,
               names: list[str] | None = None, in_task: int = IN_TASK_ROWS, accuracy: int = 10_000,
               small_group: int = SMALL_GROUP) -> DataFrame:

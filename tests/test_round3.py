@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from finmart import catalog
-from finmart.operators import joins, ordering
+from finmart.operators import correlation, joins, ordering
 from finmart.session import dealt
 from tests.compare import assert_same
 
@@ -45,3 +45,19 @@ def test_many_small_groups_are_not_ordered_as_a_whole(spark, monkeypatch):
         got = got.toPandas().set_index("g").sort_index()
         assert got.to_numpy() == pytest.approx(expected.to_numpy())
         assert len(ordered) == len(rows) and all(n <= 2 * most for n, most in zip(ordered, rows))
+
+
+def test_spearman_orders_a_value_once_for_all_rankings(spark, monkeypatch):
+    """A value went through the order, and to two tables, once for each ranking that its column needs."""
+    df = spark.range(400).selectExpr("CAST(id * 7919 % 101 AS DOUBLE) AS a", "IF(id % 3 = 0, NULL, CAST(id * 31 % 57 AS DOUBLE)) AS b",
+                                     "IF(id % 5 = 0, NULL, CAST(id * 17 % 13 AS DOUBLE)) AS c")
+    ordered = []
+    placed = ordering._placed
+    monkeypatch.setattr(ordering, "_placed", lambda frame, *rest: ordered.append(frame.count()) or placed(frame, *rest))
+    # the second time no side is broadcast, so the counts name the hot values
+    for limit in (correlation.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(correlation, "BROADCAST_BYTES", limit)
+        expected = df.toPandas().corr("spearman")
+        for r in correlation.spearman(df, ["a", "b", "c"]).collect():
+            assert r["r"] == pytest.approx(expected.loc[r["a"], r["b"]], abs=1e-9)
+    assert ordered == [df.toPandas().nunique().sum()] * 2
