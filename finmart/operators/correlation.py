@@ -48,6 +48,9 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
 
     # how often a value counts in each ranking of its column: those of partners that the row lacks leave it out
     own_rankings = {c: [(partner, name) for (own, partner), name in rankings.items() if own == c] for c in columns}
+    for c in columns:  # where all partners have gaps, no ranking of the column counts all rows of a value
+        if all(partner for partner, _ in own_rankings[c]):
+            own_rankings[c].append(("", f"_all_{c}"))
     widest = max(map(len, own_rankings.values()))
     weights = [f"_w{k}" for k in range(widest)]
 
@@ -58,7 +61,7 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
 
     cells = df.select(F.explode(F.array(*(cell(i, c) for i, c in enumerate(columns)))).alias("c")).select("c.*")
     counted = written(cells.where("_value IS NOT NULL").groupBy("_own", "_value").agg(
-        F.count(F.lit(1)).alias("_rows"), *(F.sum(w).alias(w) for w in weights)), "cells")
+        *(F.sum(w).alias(w) for w in weights)), "cells")
     places = [f"_p{k}" for k in range(widest)]
     ranks = average_ranks(counted, "_value", ["_own"], dict(zip(weights, places)))
     sizes = dict(counted.groupBy("_own").count().collect())  # one row per column
@@ -66,7 +69,8 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     for i, c in enumerate(columns):
         names = [name for _, name in own_rankings[c]]
         mine = ranks.where(F.col("_own") == i).select(F.col("_value").alias(c), *(F.col(p).alias(n) for p, n in zip(places, names)))
-        often = counted.where(F.col("_own") == i).select(F.col("_value").alias(c), F.col("_rows").alias("_n"))
+        all_rows = weights[[partner for partner, _ in own_rankings[c]].index("")]
+        often = counted.where(F.col("_own") == i).select(F.col("_value").alias(c), F.col(all_rows).alias("_n"))
         # doubles alone: the count proves the size
         out = lookup(out, mine, [c], "left", fits=sizes.get(i, 0) * 32 * (1 + len(names)) <= BROADCAST_BYTES, counts=often)
     lacking = {name: F.when(quoted(partner).isNotNull(), F.col(name)) for (_, partner), name in rankings.items() if partner}
