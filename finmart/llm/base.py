@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +53,16 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
+def sliced(batches: Iterable[pa.RecordBatch], name: str = "text", most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in runs of about ``most`` bytes of text, so that what is made of a run stays small."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0).to_numpy(zero_copy_only=False)
+        run = np.cumsum(sizes, dtype=np.int64) // most
+        cuts = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(run)]
+        for start, end in zip(cuts, cuts[1:]):
+            yield batch.slice(start, end - start)
+
+
 class WordHashes(dict):
     """A word's 64-bit hash, remembered."""
 

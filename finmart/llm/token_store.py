@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finmart.llm.base import dealt, texts
+from finmart.llm.base import dealt, sliced, texts
 from finmart.llm.tokens import Encoder
 from finmart.session import new_folder, written
 
@@ -44,7 +44,7 @@ def _encoded(tokenizer: str, path: str | None, end: int, width: int):
     """Serialized ids of each document: little-endian, ``width`` bytes per id, the end id last."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer, path)
-        for batch in batches:
+        for batch in sliced(batches):
             arrays = [np.append(np.frombuffer(raw, "<u4"), np.uint32(end))
                       for raw in encoder.encode([t or b"" for t in texts(batch)])]
             yield pa.RecordBatch.from_arrays([
