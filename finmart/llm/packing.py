@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finmart.llm.base import texts
+from finmart.llm.base import sliced, texts
 from finmart.llm.tokens import Encoder
 from finmart.session import written
 
@@ -190,7 +190,7 @@ def _pieces(tokenizer: str, path: str | None, end: int, size: int):
         ending = np.array([end], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         number = np.zeros(size + 1, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             rows: list[tuple] = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode([t or b"" for t in texts(batch)])):
                 raw = ids + ending
