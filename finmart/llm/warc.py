@@ -6,7 +6,6 @@ date, and carries the response's digests; the metadata record also holds the tit
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import html
 import re
@@ -29,6 +28,7 @@ RECORD = "source_id bigint, record_id string, kind string, target string, refers
 _NAMES = ["source_id", "record_id", "kind", "target", "refers_to", "head", "block"]
 # Compressed bytes after which a task begins another file.
 FILE_BYTES = 256 * 1024 * 1024
+_DIGITS = [a + b for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567" for b in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
 _HIDDEN = re.compile(r"<(?:(!--)|(script|style|noscript|template)\b|!DOCTYPE)", re.I)
 _CLOSE = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "title")}
 _BREAK = re.compile(r"<(?:/?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|thead|tbody|section|article|header|footer|nav|"
@@ -38,8 +38,8 @@ _TITLE = re.compile(r"<title\b", re.I)
 _ANCHOR = re.compile(r"<a\s", re.I)
 _HREF = re.compile(r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _ORIGIN = re.compile(r"https?://[a-z0-9.-]+(?=/|$)")
-_ROOTED = re.compile(r"(?:/[A-Za-z0-9_-]+)+/?")
-_ABSOLUTE = re.compile(r"https?://[a-z0-9.-]+(?:/[A-Za-z0-9_-]+)*/?")
+_ROOTED = re.compile(r"(?:/[\w-][\w.,-]*)+/?")
+_ABSOLUTE = re.compile(r"https?://[a-z0-9.-]+(?:/[\w-][\w.,-]*)*/?")
 
 
 class Fields(dict):
@@ -56,7 +56,9 @@ class Fields(dict):
 
 
 def digest(data: bytes) -> str:
-    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    """SHA-1 in base 32: two of its 32 digits at a time."""
+    value = int.from_bytes(hashlib.sha1(data).digest())
+    return "sha1:" + "".join([_DIGITS[value >> shift & 1023] for shift in range(150, -1, -10)])
 
 
 def record_id(*parts: object) -> str:
@@ -125,8 +127,8 @@ def _without_tags(page: str, tag: re.Pattern, by: str) -> str:
 def plain_text(page: str) -> str:
     """Visible text of a page without hidden parts: a line per block element, blanks in a line joined, no empty lines."""
     text = _without_tags(_without_tags(page, _BREAK, "\n"), _TAG, "")
-    lines = (one_line(line) for line in html.unescape(text).splitlines())
-    return "\n".join(line for line in lines if line)
+    lines = [line.split() for line in html.unescape(text).splitlines()]
+    return "\n".join([" ".join(words) for words in lines if words])
 
 
 def page_title(page: str) -> str | None:
@@ -159,7 +161,7 @@ def links(page: str, base: str) -> list[str]:
     origin = _ORIGIN.match(base)
     for raw in dict.fromkeys(_addresses(page)):
         target = one_line(html.unescape(raw))
-        if origin and _ROOTED.fullmatch(target):  # what joining gives for a path without dots
+        if origin and _ROOTED.fullmatch(target):  # what joining gives for a path without dots that begin a part
             target = origin[0] + target
         elif not (origin and _ABSOLUTE.fullmatch(target)):
             try:
