@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.base import WordHashes, alnum_words, ngram_hashes, texts
+from finmart.llm.base import WordHashes, alnum_words, ngram_hashes, sliced, texts
 from finmart.session import written
 
 WINDOW_WORDS = 10
@@ -180,7 +180,7 @@ def _cleaned(shared, window: int, text_col: str, spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(shared.value, window)
         hashes = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches, text_col):
             keep, out = [], []
             for raw in texts(batch, text_col):
                 words = alnum_words(raw)
