@@ -1,9 +1,10 @@
 """Similar documents by the Jaccard similarity of word shingles, with a token-group matrix.
 
 Similar documents are put into one group by the least hash of their shingles. The matrix says which shingles the
-prefixes of a group's members hold; groups that share too few such shingles cannot hold a link. Of the pairs of groups
-that are left, a group meets the other as queries: a query's overlap with the group's token union bounds its overlap
-with every member, and only a group whose bound suffices is opened and its members are compared exactly.
+prefixes of a group's members hold, and how large a set each can still link with; groups that share too few such
+shingles, or none that reaches the other, cannot hold a link. Of the pairs of groups that are left, a group meets the
+other as queries: a query's overlap with the group's token union bounds its overlap with every member, and only a group
+whose bound suffices is opened and its members are compared exactly.
 
 The prefix of a set of n shingles is its first n - ceil(t n) + 1 in a global order. Two sets of similarity t or more
 share a shingle of their prefixes whatever the order; this one puts frequent shingles last.
@@ -98,24 +99,18 @@ def _digests(n: int, percent: int, shared):
     return run
 
 
-def _sets(n: int):
-    """Whole sets of the documents that a group wants, checked against the set's name."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            nodes, groups, copies, raws = [], [], [], []
-            cells = [batch.column(c).to_pylist() for c in ("node", "group", "copies", "name")]
-            for node, group, copy, name, raw in zip(*cells, texts(batch)):
-                tokens = shingle_set(hashes.of(blank_words(raw)), n)
-                if len(tokens) and xxhash.xxh3_128_digest(tokens.tobytes()) == name:
-                    nodes.append(node)
-                    groups.append(group)
-                    copies.append(copy)
-                    raws.append(tokens.tobytes())
-            yield pa.RecordBatch.from_arrays([
-                pa.array(nodes, pa.int64()), pa.array(groups, pa.int64()), pa.array(copies, pa.int64()),
-                pa.array(raws, pa.binary())], names=["node", "group", "copies", "tokens"])
-    return run
+def _own_sets(task: pa.Table, n: int, hashes: WordHashes) -> tuple[pa.Table, list[np.ndarray]]:
+    """The rows of a task whose text has the set that its row names, each document once, and these sets."""
+    rows, sets, last = [], [], None
+    for i, (node, name, raw) in enumerate(zip(task.column("node").to_pylist(), task.column("name").to_pylist(), texts(task))):
+        if node == last:
+            continue  # a document that repeats its id
+        tokens = shingle_set(hashes.of(blank_words(raw)), n)
+        if len(tokens) and xxhash.xxh3_128_digest(tokens.tobytes()) == name:
+            rows.append(i)
+            sets.append(tokens)
+            last = node
+    return task.select(["node", "role", "copies"]).take(pa.array(rows, pa.int64())), sets
 
 
 class TokenGroup:
@@ -143,17 +138,15 @@ class TokenGroup:
         return np.flatnonzero(100 * common >= percent * (len(query) + self.sizes - common))
 
 
-def _open_groups(percent: int):
+def _open_groups(n: int, percent: int):
     """Links between the members of a group, and with the documents of its query groups, as (node, root, links)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for task in sorted_groups(batches, "task"):
+            task, sets = _own_sets(task, n, hashes)
             node = task.column("node").to_numpy()
-            if len(node) > 1 and (node[1:] == node[:-1]).any():  # a document that repeats its id
-                task = task.filter(pa.array(np.append(True, node[1:] != node[:-1])))
-                node = task.column("node").to_numpy()
             role = task.column("role").to_numpy()  # 0: member, 1: query, 2: member that is also compared inside
             copies = task.column("copies").to_numpy()
-            sets = [np.frombuffer(raw, np.uint64) for raw in task.column("tokens").to_pylist()]
             members = np.flatnonzero(role != 1)
             if not len(members):
                 continue
@@ -240,18 +233,24 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # the matrix: which groups hold a token in a prefix; a token that only one document holds joins nothing
     common = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("held"))
     common = written(common.where("held > 1").select("token"), "common")
-    matrix = grouped.select("group", F.explode("prefix").alias("token")).join(small_side(common), "token").distinct()
-    matrix = written(matrix.select("token", "group"), "matrix")
+    # sets of x and y shingles share p (x + y) / (100 + p), all of it from their first common token on: behind i others of
+    # x shingles, that token reaches sets of (x - i) (100 + p) / p - x shingles at most
+    held = grouped.select("group", "n", F.posexplode("prefix").alias("at", "token")).join(small_side(common), "token")
+    matrix = held.groupBy("token", "group").agg(
+        F.min("n").alias("low"), F.max(F.expr(f"(n - at) * {100 + percent} div {percent} - n")).alias("reach"))
+    matrix = written(matrix, "matrix")
     other = F.col("group").alias("other")
-    pairs = matrix.join(matrix.select("token", other), "token").where("group < other").groupBy("group", "other").agg(
-        F.count(F.lit(1)).alias("shared"))
+    partners = matrix.select("token", other, F.col("low").alias("other_low"), F.col("reach").alias("other_reach"))
+    pairs = matrix.join(partners, "token").where("group < other").groupBy("group", "other").agg(
+        F.count(F.lit(1)).alias("shared"),
+        F.max((F.col("low") <= F.col("other_reach")) & (F.col("other_low") <= F.col("reach"))).alias("reached"))
     others = groups.select(other, *(F.col(c).alias(f"other_{c}") for c in ("rows", "low", "high")))
     high, low = F.greatest("high", "other_high"), F.least("low", "other_low")
     # sets of x >= y shingles share p (x + y) / (100 + p); p x / 100 of them at most lie behind the prefix that ends first
     least = percent * (high + low) / (100 + percent) - percent * high / 100
     pairs = pairs.join(groups, "group").join(others, "other").where(
         (100 * F.col("high") >= percent * F.col("other_low")) & (100 * F.col("other_high") >= percent * F.col("low"))
-        & (F.col("shared") >= least))
+        & (F.col("shared") >= least) & F.col("reached"))
     # the smaller group asks the larger one
     turned = F.col("rows") < F.col("other_rows")
     asked = pairs.select(F.when(turned, F.col("other")).otherwise(F.col("group")).alias("group"),
@@ -264,22 +263,18 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tasks = written(asked.drop("queries").join(small_side(many), "group").select(
         "group", "other", F.xxhash64("group", share).alias("task")), "tasks")
 
-    # whole sets of the documents whose group meets another, from their texts
-    met = tasks.select("group").unionByName(tasks.select(F.col("other").alias("group"))).distinct()
-    wanted = grouped.join(met, "group").select(F.col("least_id").alias("id"), "name", "node", "group", "copies")
-    wanted = written(wanted.where("id IS NOT NULL"), "wanted")
-    found = slim.join(small_side(wanted), "id")
-    sets = found.select("node", "group", "copies", "name", "text").mapInArrow(
-        _sets(words), "node bigint, group bigint, copies bigint, tokens binary")
     # a member is wanted once for a task, a query for each task its group is asked in
     member = tasks.groupBy("task", "group").agg(
         F.max(F.when(F.col("group") == F.col("other"), 2).otherwise(0)).alias("role"))
     asked = tasks.where("group <> other").select("task", F.col("other").alias("group"), F.lit(1).alias("role"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     calls = written(member.unionByName(asked), "calls")
-    met_rows = sets.join(small_side(calls), "group").select("task", "node", "role", "copies", "tokens")
+    wanted = grouped.where("least_id IS NOT NULL").select(F.col("least_id").alias("id"), "name", "node", "group", "copies")
+    wanted = written(wanted.join(small_side(calls), "group").drop("group"), "wanted")
+    # texts travel, which are smaller than their sets, and a task makes the sets of its documents
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met_rows = slim.join(small_side(wanted), "id").select("task", "node", "role", "copies", "name", "text")
     links = written(met_rows.repartition(parts, "task").sortWithinPartitions("task", "node").mapInArrow(
-        _open_groups(percent), "node bigint, root bigint, links bigint"), "links")
+        _open_groups(words, percent), "node bigint, root bigint, links bigint"), "links")
 
     degree = links.groupBy("node").agg(F.sum("links").alias("others"))
     reached = components(links.select("node", "root")).join(classes.select("node", "least_id"), "node")

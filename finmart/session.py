@@ -16,6 +16,9 @@ TASK_ROWS = 2_000_000
 # A per-group exact percentile keeps its values in one task; allowed up to this many rows in all.
 IN_TASK_ROWS = 4_000_000
 
+# Whether Spark removes a query's shuffle files when the query has ended.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _LOCAL_BASE: dict[str, str] = {}
 
 
@@ -43,10 +46,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     """Store ``df`` as a Parquet table in the shared folder and read it back.
 
-    Cuts the lineage, and freezes partition ids and row positions, in a way that outlives executors.
+    Cuts the lineage, and freezes partition ids and row positions, in a way that outlives executors. What was shuffled
+    for it is removed at once; else it stays on the executors' disks until the driver happens to collect its garbage.
     """
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    path, conf = new_folder(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(_DROP_SHUFFLES)
+    conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_DROP_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
