@@ -14,6 +14,9 @@ training: classes after the last two words, words of the vocabulary after the la
 any last word. The shared model is their base measure. They grow with the corpus, so they are never gathered: all tokens
 of a context meet in one bucket, where its features are counted, fitted and used, and the number of buckets follows the
 number of tokens.
+
+Texts are cut into words once; the tokens are stored as numbers of the distinct words of some texts, with the counts of
+these words. The contexts are dealt to rounds, and only the tokens of one round's contexts lie on disk at a time.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.base import WordHashes, blank_words, mixed, sorted_groups, texts
+from finmart.llm.base import blank_words, mixed, sliced, small_side, sorted_groups, texts
 from finmart.session import written
 
 VOCABULARY = 4096
@@ -41,17 +44,19 @@ SKIP = CLASSES + 2  # the last but one by its class, rare, or none
 PAIRS = 4096  # hashed values of both
 END = b""  # no word is empty
 SMOOTH = 0.1
-# Tokens handled at a time inside a task.
+# Text whose tokens share a list of distinct words, about, and tokens handled at a time inside a task.
+RECORD_BYTES = 16_000_000
 BLOCK_TOKENS = 500_000
 # Tokens of exact contexts in a bucket, about, and texts whose sums travel together, as a power of two.
 BUCKET_ENTRIES = 1_000_000
 SLICE_BITS = 10
+# Rounds at most, and buckets that a round has at least: what lies on disk for the contexts is one round's share.
+ROUNDS = 16
+ROUND_BUCKETS = 4
 # A token in an exact context; ``row`` is that of its text, and TRAINS is added for training texts.
 ENTRY = np.dtype([("context", "<u8"), ("row", "<i8"), ("outcome", "<u8"), ("base", "<f4")])
 SUM = np.dtype([("row", "<i8"), ("value", "<f8")])
-RARE = np.dtype([("before", "<u8"), ("text", "<u4")])  # a rare token: the last word, and its text with two flags
 TRAINS = 1 << 62
-TEXT_TRAINS, TEXT_COMMON = 1 << 31, 1 << 30
 # Tasks of an update step; the counts they share are as many at every size of the corpus.
 STEP_TASKS = 8
 
@@ -89,18 +94,25 @@ class Vocabulary:
         return np.where(place < min(OWN, self.rare), place, other)
 
 
-def _contexts(vocabulary: Vocabulary, hashes: np.ndarray, starts: np.ndarray):
-    """(place, last, skip) of each token of texts laid end to end; ``starts`` are their first tokens."""
-    place = vocabulary.places(hashes)
-    last = np.empty(len(hashes), np.int64)
-    last[1:] = vocabulary.last_of(place, hashes)[:-1]
-    skip = np.empty(len(hashes), np.int64)
-    skip[2:] = vocabulary.class_of[place][:-2]
-    last[starts] = LAST - 1
-    skip[starts] = SKIP - 1
-    second = starts + 1
-    skip[second[second < len(skip)]] = SKIP - 1
-    return place, last, skip
+class Told:
+    """What the vocabulary says of the distinct words of a record; a row more stands for no word."""
+
+    def __init__(self, vocabulary: Vocabulary, words: np.ndarray):
+        self.hashes = np.append(words, np.uint64(0))
+        self.place = vocabulary.places(words)
+        self.known = self.place < vocabulary.rare
+        self.group = np.append(vocabulary.class_of[self.place], SKIP - 1)
+        self.last = np.append(vocabulary.last_of(self.place, words), LAST - 1)
+        self.common = (self.last < OWN) | (self.last == LAST - 1)  # has shared weights of its own
+
+    def before(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The last word and the last but one of each token of texts laid end to end; ``starts`` are their first tokens."""
+        none = len(self.hashes) - 1
+        one = np.append(none, codes[:-1])
+        one[starts] = none
+        two = np.append(none, one[:-1])
+        two[starts] = none
+        return one, two
 
 
 def _pair(last: np.ndarray, skip: np.ndarray) -> np.ndarray:
@@ -112,18 +124,6 @@ def _exact(one: np.ndarray, two: np.ndarray, kind: int) -> np.ndarray:
     return mixed(mixed(one + np.uint64(kind)) + two * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _before(block: np.ndarray, starts: np.ndarray, last: np.ndarray):
-    """The last word and the last but one of each token, 0 where there is none, and whether each has shared weights of its own."""
-    one = np.append(np.zeros(1, np.uint64), block[:-1])
-    one[starts] = 0
-    two = np.append(np.zeros(1, np.uint64), one[:-1])
-    two[starts] = 0
-    common = (last < OWN) | (last == LAST - 1)
-    common_two = np.append(True, common[:-1])
-    common_two[starts] = True
-    return one, two, common, common_two
-
-
 def _dealt(entries: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
     """Entries by the bucket of their context."""
     bucket = (entries["context"] % np.uint64(buckets)).astype(np.int64)
@@ -190,44 +190,138 @@ def _slice_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.bincount(place, weights=sums["value"]))], names=["row", "exact"])
 
 
-def _blocks(raws: list[bytes | None], hashes: WordHashes, end: np.uint64) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first text, hashes, starts) of runs of texts with at least BLOCK_TOKENS tokens; texts stay whole."""
-    held, size, first = [], 0, 0
-    for i, raw in enumerate(raws):
-        held.append(np.append(hashes.of(blank_words(raw)), end))
-        size += len(held[-1])
-        if size >= BLOCK_TOKENS or i + 1 == len(raws):
-            lengths = np.array([len(h) for h in held])
-            yield first, np.concatenate(held), np.cumsum(lengths) - lengths
-            held, size, first = [], 0, i + 1
+def _packed(values: np.ndarray, size: int) -> bytes:
+    """Whole numbers below 256**size, all lowest bytes first, compressed."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T
+    return pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
 
 
-def _end() -> np.uint64:
-    return np.uint64(xxhash.xxh3_64_intdigest(END))
+def _unpacked(raw: bytes, count: int, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, count * size, codec="zstd"), np.uint8).reshape(size, count)
+    out = np.zeros((count, 8), np.uint8)
+    out[:, :size] = planes.T
+    return out.view("<i8").ravel()
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, end = WordHashes(), _end()
+def _width(most: int) -> int:
+    return max(1, (int(most).bit_length() + 7) // 8)
+
+
+class Codes(dict):
+    """A word's place in the order in which words came."""
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self)
+        return code
+
+
+def _tokens(fold: int | None):
+    """Texts as records; without ``fold`` all train."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for batch in sliced(batches, most=RECORD_BYTES):
+            if not batch.num_rows:
+                continue
+            known, parts = Codes(), []
+            for raw in texts(batch):
+                words = blank_words(raw)
+                words.append(END)
+                parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+            ids, codes = batch.column(0), np.concatenate(parts)
+            lengths = np.array([len(p) for p in parts])
+            trains = np.ones(len(parts), bool) if fold is None else _trains(ids, fold)
+            words = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([row]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                pa.array([len(codes)]), *(pa.array([raw], pa.binary()) for raw in (
+                    _packed(lengths, 8), _packed(trains, 1), words.tobytes(), _packed(codes, _width(len(words)))))],
+                names=["row", "ids", "tokens", "lengths", "trains", "words", "codes"])
+            row += len(parts)
+    return run
+
+
+_TOKENS = "row bigint, ids array<bigint>, tokens bigint, lengths binary, trains binary, words binary, codes binary"
+
+
+class Record:
+    """The texts of one stored row."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        cell = dict(zip(batch.schema.names, (column[i] for column in batch.columns)))
+        self.row, self.ids = cell["row"].as_py(), cell["ids"].values
+        self.words = np.frombuffer(cell["words"].as_py(), np.uint64)
+        self.lengths = _unpacked(cell["lengths"].as_py(), len(self.ids), 8)
+        self.trains = _unpacked(cell["trains"].as_py(), len(self.ids), 1).astype(bool)
+        self.codes = _unpacked(cell["codes"].as_py(), cell["tokens"].as_py(), _width(len(self.words)))
+        self.raw_counts = cell["counts"].as_py() if "counts" in cell else None
+
+    def counts(self, vocabulary: Vocabulary, told: Told) -> np.ndarray:
+        """How often each word occurs in training."""
+        out = np.append(vocabulary.counts, 0)[told.place]
+        rare = np.flatnonzero(~told.known)
+        if len(rare):
+            order = np.argsort(self.words[rare].view(np.int64), kind="stable")
+            out[rare[order]] = _unpacked(self.raw_counts, len(rare), 8)
+        return out
+
+    def blocks(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first text, texts, codes, starts, text of each token) of runs of texts with at least BLOCK_TOKENS tokens."""
+        ends = np.cumsum(self.lengths)
+        first = start = 0
+        while first < len(ends):
+            last = min(int(np.searchsorted(ends, start + BLOCK_TOKENS)) + 1, len(ends))
+            lengths = self.lengths[first:last]
+            yield (first, last - first, self.codes[start:ends[last - 1]], np.cumsum(lengths) - lengths,
+                   np.repeat(np.arange(last - first), lengths))
+            first, start = last, int(ends[last - 1])
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[Record]:
     for batch in batches:
-        every = [h for _, h, _ in _blocks(texts(batch), hashes, end)]
-        words, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *every]), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], names=["word", "n"])
+        for i in range(batch.num_rows):
+            yield Record(batch, i)
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for record in _records(batches):
+        n = np.bincount(record.codes[np.repeat(record.trains, record.lengths)], minlength=len(record.words))
+        seen = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(record.words[seen].view(np.int64)), pa.array(n[seen])], names=["word", "n"])
+
+
+def _rare_words(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for record in _records(batches):
+            words = record.words[shared.value.places(record.words) == shared.value.rare]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(words), record.row)), pa.array(words.view(np.int64))], names=["row", "word"])
+    return run
+
+
+def _counts_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of a record's rare words, in the order of the words."""
+    for group in sorted_groups(batches, "row"):
+        yield pa.RecordBatch.from_arrays(
+            [group.column("row").slice(0, 1).combine_chunks(), pa.array([_packed(group.column("c").to_numpy(), 8)], pa.binary())],
+            names=["row", "counts"])
 
 
 def _cells(shared):
     """How often an outcome follows a context: classes after (last, skip), words after last."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary: Vocabulary = shared.value
-        hashes, end = WordHashes(), _end()
         classes = np.zeros(LAST * SKIP * (CLASSES + 1), np.int64)
         words = np.zeros(LAST * max(1, vocabulary.rare), np.int64)
-        for batch in batches:
-            for _, block, starts in _blocks(texts(batch), hashes, end):
-                place, last, skip = _contexts(vocabulary, block, starts)
-                cell = (last * SKIP + skip) * (CLASSES + 1) + vocabulary.class_of[place]
+        for record in _records(batches):
+            told = Told(vocabulary, record.words)
+            for first, _, codes, starts, text in record.blocks():
+                one, two = told.before(codes, starts)
+                trains = record.trains[first + text]
+                codes, last, skip = codes[trains], told.last[one[trains]], told.group[two[trains]]
+                cell = (last * SKIP + skip) * (CLASSES + 1) + told.group[codes]
                 classes += np.bincount(cell, minlength=len(classes))
-                known = place < vocabulary.rare
-                words += np.bincount(last[known] * vocabulary.rare + place[known], minlength=len(words))
+                known = told.known[codes]
+                words += np.bincount(last[known] * vocabulary.rare + told.place[codes[known]], minlength=len(words))
         for kind, cells in ((0, classes), (1, words)):
             held = np.flatnonzero(cells)
             yield pa.RecordBatch.from_arrays(
@@ -251,8 +345,8 @@ class Weights:
         return scores - np.log(np.exp(scores).sum(1, keepdims=True))
 
 
-def _class_step(shared):
-    """Observed and expected feature counts of the contexts of one task, summed."""
+def _class_step(shared, first: bool):
+    """Expected feature counts of the contexts of one task, summed, and the observed ones, which the first step tells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights()
         weights.rows = shared.value
@@ -268,11 +362,12 @@ def _class_step(shared):
             loss -= float((counts * logs).sum())
             model = counts.sum(1, keepdims=True) * np.exp(logs)
             for rows in weights.active(last, skip).T:
-                np.add.at(observed, rows, counts)
+                if first:
+                    np.add.at(observed, rows, counts)
                 np.add.at(expected, rows, model)
+        raws = [x.astype(np.float32).tobytes() if told else None for x, told in ((observed, first), (expected, True))]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in (observed, expected)] + [pa.array([loss])],
-            names=["observed", "expected", "loss"])
+            [*(pa.array([raw], pa.binary()) for raw in raws), pa.array([loss])], names=["observed", "expected", "loss"])
     return run
 
 
@@ -281,19 +376,25 @@ def _train_classes(cells: DataFrame, vocabulary: Vocabulary, steps: int, penalty
     context = cells.sparkSession.sparkContext
     # whole contexts in a task: a context's outcomes are neighbours in the sorted cells
     spread = written(cells.repartition(STEP_TASKS, F.floor(F.col("cell") / (CLASSES + 1))).sortWithinPartitions("cell"), "contexts")
-    spread = spread.select("cell", "n")
+    spread = spread.select("cell", "n").coalesce(STEP_TASKS)
     weights, losses = Weights(), []
     # a class without words, as a small vocabulary leaves some, gets no share
     weights.rows[0, np.setdiff1d(np.arange(CLASSES), vocabulary.class_of)] = -60.0
-    for _ in range(steps):
+    observed = np.zeros_like(weights.rows)
+
+    def summed(told: list, name: str) -> np.ndarray:
+        return sum((np.frombuffer(r[name], np.float32).astype(float) for r in told), np.zeros(weights.rows.size)).reshape(weights.rows.shape)
+
+    for step in range(steps):
         shared = context.broadcast(weights.rows)
-        told = spread.mapInArrow(_class_step(shared), "observed binary, expected binary, loss double").collect()
-        observed, expected = (sum((np.frombuffer(r[k], np.float32).astype(float) for r in told), np.zeros(weights.rows.size))
-                              .reshape(weights.rows.shape) for k in ("observed", "expected"))
+        told = spread.mapInArrow(_class_step(shared, not step), "observed binary, expected binary, loss double").collect()
+        if not step:
+            observed = summed(told, "observed")
+        expected = summed(told, "expected")
         losses.append(sum(r["loss"] for r in told))
         gradient = observed - expected - penalty * weights.rows
         weights.rows = weights.rows + np.clip(0.4 * gradient / (expected + penalty), -0.6, 0.6)
-        shared.unpersist()
+        shared.destroy()
     return weights, losses
 
 
@@ -354,118 +455,79 @@ def _trains(ids: pa.Array, fold: int) -> np.ndarray:
     return np.array([i is not None and zlib.crc32(str(i).encode()) % fold != 0 for i in ids.to_pylist()], bool)
 
 
-def _scored(shared, fold: int, buckets: int):
-    """Rows of three kinds: a text with the sums over its vocabulary words, a rare word with the texts it is in, and a
-    bucket with tokens in exact contexts."""
+def _scored(shared):
+    """A row for each text, with sums over its tokens; the rare words' share of their class is left out of the score."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         vocabulary = model.vocabulary
-        hashes, end = WordHashes(), _end()
-        logs = np.log10(np.append(vocabulary.counts, 1) + SMOOTH)
-        row = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            ids = batch.column(0)
-            for first, block, starts in _blocks(texts(batch), hashes, end):
-                texts_here = len(starts)
-                place, last, skip = _contexts(vocabulary, block, starts)
-                known = place < vocabulary.rare
-                score = model.classes[last * SKIP + skip, vocabulary.class_of[place]].astype(float)
-                score[known] += model.words[last[known], place[known]]
-                text = np.repeat(np.arange(texts_here), np.diff(np.append(starts, len(block))))
-                sums = [np.bincount(text, minlength=texts_here), np.bincount(text[known], minlength=texts_here),
-                        np.bincount(text[known], weights=logs[place[known]], minlength=texts_here),
-                        np.bincount(text, weights=score, minlength=texts_here)]
-                none = pa.nulls(texts_here, pa.int64())
-                yield pa.RecordBatch.from_arrays([
-                    none, pa.array(row + np.arange(texts_here)), ids.slice(first, texts_here),
-                    pa.array(sums[0]), pa.array(sums[1]), pa.array(sums[2]), pa.array(sums[3]),
-                    pa.nulls(texts_here, pa.binary()), none, pa.nulls(texts_here, pa.binary())], names=_SCORED)
-                one, two, common, common_two = _before(block, starts, last)
-                trains = _trains(ids.slice(first, texts_here), fold)
-                rows = row + np.arange(texts_here) + trains * TRAINS
-                group = vocabulary.class_of[place]
-                classed = np.flatnonzero(~(common & common_two))
-                worded = np.flatnonzero(known & ~common)
-                entries = np.empty(len(classed) + len(worded), ENTRY)
-                for here, at in ((entries[:len(classed)], classed), (entries[len(classed):], worded)):
-                    here["row"] = rows[text[at]]
-                here = entries[:len(classed)]
-                here["context"], here["outcome"] = _exact(one[classed], two[classed], 1), group[classed]
-                here["base"] = 10.0 ** model.classes[last[classed] * SKIP + skip[classed], group[classed]]
-                here = entries[len(classed):]
-                here["context"], here["outcome"] = _exact(one[worded], group[worded].astype(np.uint64), 2), place[worded]
-                here["base"] = 10.0 ** model.words[last[worded], place[worded]]
-                dealt = list(_dealt(entries, buckets))
-                n = len(dealt)
-                empty, nothing, raw = pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.binary())
-                yield pa.RecordBatch.from_arrays([
-                    empty, empty, empty, empty, empty, nothing, nothing, raw, pa.array([b for b, _ in dealt], pa.int64()),
-                    pa.array([e for _, e in dealt], pa.binary())], names=_SCORED)
-                words = block[~known]
-                order = np.argsort(words, kind="stable")
-                words, where = words[order], np.empty(len(words), RARE)
-                where["before"] = one[~known][order]
-                where["text"] = (text + trains[text] * TEXT_TRAINS + common * TEXT_COMMON)[~known][order]
-                cuts = np.flatnonzero(np.append(True, words[1:] != words[:-1])) if len(words) else np.empty(0, np.int64)
-                n = len(cuts)
-                ends = np.append(cuts, len(words)).astype(np.int32) * RARE.itemsize
-                lists = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(where.tobytes())])
-                empty = pa.nulls(n, pa.int64())
+        for record in _records(batches):
+            told = Told(vocabulary, record.words)
+            counts = record.counts(vocabulary, told)
+            logs = np.log10(counts + SMOOTH)
+            for first, size, codes, starts, text in record.blocks():
+                one, two = told.before(codes, starts)
+                known = told.known[codes]
+                last = told.last[one]
+                score = model.classes[last * SKIP + told.group[two], told.group[codes]].astype(float)
+                score[known] += model.words[last[known], told.place[codes[known]]]
+                score[~known] += logs[codes[~known]]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(words[cuts].view(np.int64)), pa.array(np.full(n, row)), empty, empty, empty,
-                    pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), lists, empty, pa.nulls(n, pa.binary())], names=_SCORED)
-                row += texts_here
+                    pa.array(record.row + first + np.arange(size)), record.ids.slice(first, size),
+                    pa.array(np.bincount(text, minlength=size)), pa.array(np.bincount(text[counts[codes] > 0], minlength=size)),
+                    pa.array(np.bincount(text[~known], minlength=size)),
+                    pa.array(np.bincount(text, weights=logs[codes], minlength=size)),
+                    pa.array(np.bincount(text, weights=score, minlength=size))],
+                    names=["row", "id", "n_tokens", "n_known", "n_rare", "base", "score"])
     return run
 
 
-_SCORED = ["word", "row", "id", "n_tokens", "n_known", "base", "score", "texts", "bucket", "entries"]
-_RARE_ROWS = ["row", "known", "logs", "bucket", "entries"]
-
-
-def _rare_sums(shares: np.ndarray, buckets: int):
-    """Rows of two kinds: a text with its rare tokens, how many are known and the sum of their log10 smoothed counts; and
-    a bucket with known rare tokens after exact last words.
+def _entries(shared, shares: np.ndarray, buckets: int, rounds: int, turn: int):
+    """Buckets with tokens in those exact contexts that it is the turn of; all tokens of a context have one turn.
 
     ``shares`` has the smoothed counts of all rare words, then of each part of them. The commonest last words have a
     context for each part, so that none is large.
     """
     parts = len(shares) - 1
 
-    def dealt(held: list[np.ndarray]) -> pa.RecordBatch:
-        rows = list(_dealt(np.concatenate(held), buckets))
-        empty = pa.nulls(len(rows), pa.int64())
-        return pa.RecordBatch.from_arrays([
-            empty, empty, pa.nulls(len(rows), pa.float64()), pa.array([b for b, _ in rows], pa.int64()),
-            pa.array([e for _, e in rows], pa.binary())], names=_RARE_ROWS)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            block, counts, raw = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
-            sizes = np.array([len(r) // RARE.itemsize for r in raw], np.int64)
-            tokens = np.frombuffer(b"".join(raw), RARE)
-            text = tokens["text"].astype(np.int64)
-            row = np.repeat(block, sizes) + (text & (TEXT_COMMON - 1))
-            rows, place = np.unique(row, return_inverse=True)
-            many = np.repeat(counts, sizes)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(rows), pa.array(np.bincount(place, weights=many > 0, minlength=len(rows)).astype(np.int64)),
-                pa.array(np.bincount(place, weights=np.log10(many + SMOOTH), minlength=len(rows))),
-                pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.binary())], names=_RARE_ROWS)
-            known = many > 0
-            word = np.repeat(batch.column(3).to_numpy(), sizes)[known]
-            part = np.where(text[known] & TEXT_COMMON, 1 + word % parts, 0)
-            entries = np.empty(len(word), ENTRY)
-            entries["context"] = _exact(tokens["before"][known], part.astype(np.uint64), 3)
-            entries["row"] = row[known] + ((text[known] & TEXT_TRAINS) > 0) * TRAINS
-            entries["outcome"] = word.view(np.uint64)
-            entries["base"] = (many[known] + SMOOTH) / shares[part]
-            held.append(entries)
-            if sum(map(len, held)) >= BLOCK_TOKENS:
-                yield dealt(held)
-                held = []
-        if held:
-            yield dealt(held)
+        model: Model = shared.value
+        vocabulary = model.vocabulary
+        for record in _records(batches):
+            told = Told(vocabulary, record.words)
+            counts = record.counts(vocabulary, told)
+            rare, common, known = ~told.known & (counts > 0), told.common, told.known
+            part = 1 + record.words.view(np.int64) % parts
+            seed = (mixed(told.hashes) % np.uint64(rounds)).astype(np.int16)
+            for first, _, codes, starts, text in record.blocks():
+                one, two = told.before(codes, starts)
+                common_one, seed_one = common[one], seed[one]
+                classed = np.flatnonzero((seed_one + seed[two]) % rounds == turn)
+                classed = classed[~(common_one[classed] & common[two[classed]])]
+                worded = np.flatnonzero((seed_one == turn) & ~common_one)
+                worded = worded[known[codes[worded]]]
+                rares = np.flatnonzero(rare[codes])
+                parted = np.where(common_one[rares], part[codes[rares]], 0)
+                mine = (seed_one[rares] + parted) % rounds == turn
+                rares, parted = rares[mine], parted[mine]
+                entries = np.empty(len(classed) + len(worded) + len(rares), ENTRY)
+                at = np.concatenate([classed, worded, rares])
+                entries["row"] = record.row + first + text[at] + record.trains[first + text[at]] * TRAINS
+                here, last, group = entries[:len(classed)], told.last[one[classed]], told.group[codes[classed]]
+                here["context"] = _exact(told.hashes[one[classed]], told.hashes[two[classed]], 1)
+                here["outcome"] = group
+                here["base"] = 10.0 ** model.classes[last * SKIP + told.group[two[classed]], group]
+                here, last, place = entries[len(classed):-len(rares) or None], told.last[one[worded]], told.place[codes[worded]]
+                here["context"] = _exact(told.hashes[one[worded]], told.group[codes[worded]].astype(np.uint64), 2)
+                here["outcome"] = place
+                here["base"] = 10.0 ** model.words[last, place]
+                here, codes = entries[len(classed) + len(worded):], codes[rares]
+                here["context"] = _exact(told.hashes[one[rares]], parted.astype(np.uint64), 3)
+                here["outcome"] = record.words[codes]
+                here["base"] = (counts[codes] + SMOOTH) / shares[parted]
+                dealt = list(_dealt(entries, buckets))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b for b, _ in dealt], pa.int64()), pa.array([e for _, e in dealt], pa.binary())],
+                    names=["bucket", "entries"])
     return run
 
 
@@ -480,17 +542,26 @@ def _rare_shares(words: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     return np.append(max(shares.sum(), SMOOTH), np.maximum(shares, SMOOTH))
 
 
-def train(slim: DataFrame, vocabulary_size: int = VOCABULARY, steps: int = 14, penalty: float = 1.0) -> tuple[Model, DataFrame, list[float]]:
+def _stored_tokens(slim: DataFrame, fold: int | None) -> DataFrame:
+    return written(slim.select("id", "text").mapInArrow(_tokens(fold), _TOKENS), "tokens")
+
+
+def train(slim: DataFrame, **options) -> tuple[Model, DataFrame, list[float]]:
     """(model, counts of all training words, loss before each step) from a frame with the column ``text``."""
-    spark = slim.sparkSession
-    words = slim.mapInArrow(_word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("c"))
+    return _train(_stored_tokens(slim.select(F.lit(None).cast("long").alias("id"), "text"), None), **options)
+
+
+def _train(tokens: DataFrame, vocabulary_size: int = VOCABULARY, steps: int = 14, penalty: float = 1.0) -> tuple[Model, DataFrame, list[float]]:
+    """The same from stored tokens, of which those of training texts count."""
+    spark = tokens.sparkSession
+    words = tokens.mapInArrow(_word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("c"))
     words = written(words, "words")
     sums = words.agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     top = words.orderBy(F.desc("c"), "word").limit(vocabulary_size).collect()
     vocabulary = Vocabulary(np.array([r["word"] for r in top], np.int64).view(np.uint64),
                             np.array([r["c"] for r in top], np.int64), sums["total"] or 0, sums["distinct"])
     shared = spark.sparkContext.broadcast(vocabulary)
-    cells = written(slim.mapInArrow(_cells(shared), "kind int, cell bigint, n bigint").groupBy("kind", "cell").agg(
+    cells = written(tokens.mapInArrow(_cells(shared), "kind int, cell bigint, n bigint").groupBy("kind", "cell").agg(
         F.sum("n").alias("n")), "cells")
     weights, losses = _train_classes(cells.where("kind = 0"), vocabulary, steps, penalty)
     pairs = cells.where("kind = 1").select("cell", "n")
@@ -513,34 +584,35 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = df.sparkSession
     slim = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     held_out = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % fold == 0, F.lit(True))
-    model, words, _ = train(slim.where(~held_out).select("text"), **options)
+    tokens = _stored_tokens(slim, fold)
+    model, words, _ = _train(tokens, **options)
     vocabulary = model.vocabulary
     shared = spark.sparkContext.broadcast(model)
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # each record gets the counts of its rare words
+    rare = tokens.mapInArrow(_rare_words(spark.sparkContext.broadcast(vocabulary)), "row bigint, word bigint").join(
+        words, "word", "left").select("row", "word", F.coalesce("c", F.lit(0)).alias("c"))
+    counts = written(rare.repartition(parts, "row").sortWithinPartitions("row", "word").mapInArrow(
+        _counts_together, "row bigint, counts binary"), "counts")
+    tokens = written(tokens.join(small_side(counts), "row", "left"), "counted")
+    scored = written(tokens.mapInArrow(_scored(shared), "row bigint, id bigint, n_tokens bigint, n_known bigint, "
+                                                        "n_rare bigint, base double, score double"), "scored")
     # a token is in one or two exact contexts
     buckets = max(1, math.ceil(1.5 * vocabulary.total / BUCKET_ENTRIES))
-    scored = written(slim.mapInArrow(
-        _scored(shared, fold, buckets), "word bigint, row bigint, id bigint, n_tokens bigint, n_known bigint, base double, "
-                                        "score double, texts binary, bucket bigint, entries binary"), "scored")
-    rare = scored.where("word IS NOT NULL").select("word", "row", "texts").join(words, "word", "left").select(
-        "row", F.coalesce("c", F.lit(0)).alias("c"), "texts", "word")
-    rare = written(rare.mapInArrow(_rare_sums(_rare_shares(words, vocabulary), buckets),
-                                   "row bigint, known bigint, logs double, bucket bigint, entries binary"), "rare")
-    sums = rare.where("row IS NOT NULL").groupBy("row").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"))
-    met = scored.where("bucket IS NOT NULL").select("bucket", "entries").unionByName(
-        rare.where("bucket IS NOT NULL").select("bucket", "entries"))
-    told = met.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_exact_sums, "slice bigint, sums binary")
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    exact = written(told.repartition(parts, "slice").sortWithinPartitions("slice").mapInArrow(
-        _slice_sums, "row bigint, exact double"), "exact")
+    rounds = max(1, min(ROUNDS, buckets // ROUND_BUCKETS))
+    buckets, shares, exact = -(-buckets // rounds), _rare_shares(words, vocabulary), None
+    for turn in range(rounds):
+        met = tokens.mapInArrow(_entries(shared, shares, buckets, rounds, turn), "bucket bigint, entries binary")
+        told = met.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_exact_sums, "slice bigint, sums binary")
+        told = written(told.repartition(parts, "slice").sortWithinPartitions("slice").mapInArrow(
+            _slice_sums, "row bigint, exact double"), "exact")
+        exact = told if exact is None else exact.unionByName(told)
+    exact = exact.groupBy("row").agg(F.sum("exact").alias("exact"))
     total, distinct = vocabulary.total, vocabulary.distinct
     rare_total, rare_kinds = total - int(vocabulary.counts.sum()), distinct - vocabulary.rare
     whole = float(np.log10(total + SMOOTH * (distinct + 1)))
     within = float(np.log10(rare_total + SMOOTH * (rare_kinds + 1)))
-    known, logs = F.coalesce("known", F.lit(0)), F.coalesce("logs", F.lit(0.0))
-    rare_tokens = F.col("n_tokens") - F.col("n_known")
-    texts_told = scored.where("n_tokens IS NOT NULL").drop("texts", "word", "bucket", "entries")
-    return texts_told.join(written(sums, "sums"), "row", "left").join(exact, "row", "left").select(
-        "id", held_out.alias("held_out"), "n_tokens", (F.col("n_known") + known).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + logs - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("score") + logs - rare_tokens * within + F.coalesce("exact", F.lit(0.0))).alias("score"))
+    return scored.join(exact, "row", "left").select(
+        "id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * whole).alias("base_score"),
+        (F.col("score") - F.col("n_rare") * within + F.coalesce("exact", F.lit(0.0))).alias("score"))

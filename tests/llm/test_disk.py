@@ -1,9 +1,13 @@
 """What lies on disk while a query runs: no shuffle of a step that has ended, no row twice where once will do."""
 
+import glob
+import os
 import random
 
-from finmart.llm import jaccard_join
-from finmart.session import written
+import pytest
+
+from finmart.llm import jaccard_join, lm_score
+from finmart.session import shared_base, written
 
 
 def shuffles(spark):
@@ -66,3 +70,36 @@ def test_texts_that_cannot_link_do_not_travel(spark, monkeypatch):
     links = oracle(rows)
     assert got == dict(enumerate(links)) and sum(n > 0 for n in links) == 150
     assert stored["wanted"].select("id").distinct().count() <= 1.2 * 150
+
+
+def prose(n, words):
+    """Texts of common and rare words, one without an id and one without words among them."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 50_000}" for _ in range(words))) for i in range(n)]
+    return [*rows, (None, "w1 w2 w3 w777777"), (n, None), (3, rows[3][1])]
+
+
+def stored_bytes(spark):
+    return sum(os.path.getsize(f) for f in glob.glob(shared_base(spark).removeprefix("file://") + "/*/part-*"))
+
+
+def test_tokens_in_exact_contexts_are_not_stored(spark):
+    """All tables of a run are a few bytes a token; with a stored entry for each context a token took some thirty."""
+    df = spark.createDataFrame(prose(1500, 200), "doc_id long, text string").repartition(3)
+    before = stored_bytes(spark)
+    tokens = lm_score.score_documents(df, steps=2).agg({"n_tokens": "sum"}).first()[0]
+    assert tokens > 300_000 and (stored_bytes(spark) - before) / tokens < 15
+
+
+def test_rounds_do_not_change_scores(spark, monkeypatch):
+    df = spark.createDataFrame(prose(120, 150), "doc_id long, text string").repartition(2)
+
+    def scores():
+        rows = lm_score.score_documents(df, vocabulary_size=300, steps=2).collect()
+        return sorted((str(r["id"]), r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in rows)
+
+    once = scores()
+    monkeypatch.setattr(lm_score, "BUCKET_ENTRIES", 3000)
+    monkeypatch.setattr(lm_score, "ROUND_BUCKETS", 2)
+    for a, b in zip(once, scores(), strict=True):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-9)
