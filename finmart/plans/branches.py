@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from finmart.functions.numbers import to_number
 from finmart.operators.columns import drop_first, quoted
 from finmart.plans.fixed_values import BRANCH_COLUMNS, BRANCH_FOOTER, BRANCH_LETTERS, BRANCH_SKIP
+from finmart.session import written
 from finmart.sources.sheets import read_workbooks, shape_sheet, shape_sheets
 
 
@@ -29,7 +30,7 @@ def branches(cells: DataFrame, layouts: DataFrame, sheet: str | int | None = "qu
 
 def read_branches(spark: SparkSession, root: str, layouts: DataFrame | None = None, **how) -> DataFrame:
     """The workbooks below ``root/ano=<year>``, in one scan."""
-    cells = read_workbooks(spark, root, carry=("ano",))
+    cells = written(read_workbooks(spark, root, carry=("ano",)), "cells")
     return branches(cells, branch_layouts(spark) if layouts is None else layouts, **how)
 
 

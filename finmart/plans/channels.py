@@ -34,7 +34,7 @@ def operations_union(sheets: dict[str, DataFrame]) -> DataFrame:
 
 def read_access_channels(spark: SparkSession, path: str, sheet: str | int | None = 0) -> DataFrame:
     """The workbook's sheet of channels by year, from the file on."""
-    return access_channels(sheet_table(read_workbooks(spark, path), sheet))
+    return access_channels(sheet_table(written(read_workbooks(spark, path), "cells"), sheet))
 
 
 def read_operations(spark: SparkSession, path: str, channels: list[str]) -> DataFrame:
